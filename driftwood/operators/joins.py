@@ -3,7 +3,7 @@ hot-key skew joins, as-of joins, nested-loop guards."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,152 @@ def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000, fallback: bool =
     if fallback:
         return df
     raise TooLargeToBroadcast(f"more than {max_rows} rows")
+
+
+def cross_join_bounded(big: DataFrame, small: DataFrame, max_small_rows: int = 10_000) -> DataFrame:
+    """Cartesian product with a side proven to hold at most ``max_small_rows`` rows.
+
+    The output grows linearly with ``big``; the small side is broadcast, so
+    ``big`` is never shuffled. Unbounded products are refused.
+    """
+    small = broadcast_checked(small, max_rows=max_small_rows, fallback=False)
+    return big.crossJoin(small)
+
+
+def _bin(ts: str, seconds: int):
+    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("long")
+
+
+def range_join_binned(points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str,
+                      bin_seconds: int, keys: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """Points joined to the intervals that contain them (closed bounds).
+
+    Intervals are exploded into the fixed-width time bins they cover, points
+    fall in exactly one bin, and the equi-join on (keys, bin) is followed by
+    the exact bound check. Each (point, interval) pair appears once because
+    a point lives in one bin. Pairs are only formed inside a bin, never
+    across a whole key group.
+    """
+    iv = intervals.withColumn("__bin", F.explode(F.sequence(_bin(start, bin_seconds), _bin(end, bin_seconds))))
+    pt = points.withColumn("__pbin", _bin(ts, bin_seconds))
+    cond = (pt["__pbin"] == iv["__bin"]) & (pt[ts] >= iv[start]) & (pt[ts] <= iv[end])
+    for lk, rk in keys:
+        cond = cond & (pt[lk] == iv[rk])
+    return pt.join(iv, cond, "inner").drop("__bin", "__pbin")
+
+
+def interval_join(left: DataFrame, lkey: str, lts: str, right: DataFrame, rkey: str, rts: str,
+                  seconds: int) -> DataFrame:
+    """``right.rts BETWEEN left.lts AND left.lts + seconds`` on equal keys,
+    binned on time so a busy key is not paired all-against-all."""
+    lv = left.withColumn("__end", F.col(lts) + F.make_dt_interval(secs=F.lit(seconds)))
+    out = range_join_binned(right, rts, lv, lts, "__end", bin_seconds=seconds, keys=((rkey, lkey),))
+    return out.drop("__end")
+
+
+def salted_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, salts: int = 8) -> DataFrame:
+    """Skew-tolerant equi-join: the big side gets a deterministic salt in
+    ``[0, salts)`` from a row hash (stable under task retries, unlike
+    ``rand``); the small side is replicated once per salt."""
+    b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
+    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return b.join(s, (b[bkey] == s[skey]) & (b["__salt"] == s["__salt"])).drop("__salt")
+
+
+# Runtime skew split as configured in the guides (values are Spark's names).
+AQE_SKEW_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+}
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
+    """Keys holding at least ``min_share`` of the rows; at most 1/min_share of them."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    hot = counts.filter(F.col("n") >= total * F.lit(min_share)).select(key)
+    limit = int(1 / min_share) + 1
+    return [r[0] for r in hot.limit(limit).collect()]
+
+
+def hot_key_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, min_share: float = 0.01,
+                 max_hot_rows: int = 1_000_000) -> DataFrame:
+    """Declared-skew join: rows of hot keys join a broadcast slice of the small
+    side (no shuffle of the hot rows); the rest takes a normal shuffle join."""
+    keys = hot_keys(big, bkey, min_share)
+    if not keys:
+        return big.join(small, big[bkey] == small[skey])
+    is_hot = F.col(bkey).isin(keys)
+    small_hot = broadcast_checked(small.filter(F.col(skey).isin(keys)), max_rows=max_hot_rows, fallback=False)
+    hot = big.filter(is_hot).join(small_hot, F.col(bkey) == small_hot[skey])
+    cold_small = small.filter(~F.col(skey).isin(keys))
+    cold = big.filter(~is_hot | F.col(bkey).isNull()).join(cold_small, F.col(bkey) == cold_small[skey])
+    return hot.unionByName(cold)
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int, root: str, name: str) -> str:
+    """Write ``df`` as a bucketed, sorted Parquet table at ``root/name``; returns
+    the table name. Two tables bucketed alike on the join key join without an
+    Exchange."""
+    import uuid
+
+    table = f"{name}_{uuid.uuid4().hex[:8]}"
+    (df.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+     .option("path", f"{root}/{name}").saveAsTable(table))
+    return table
+
+
+def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = 10_000):
+    """A small key/value table as a literal map column (size proven first)."""
+    if not row_count_at_most(df, max_rows):
+        raise TooLargeToBroadcast(f"lookup table above {max_rows} rows")
+    pairs = df.select(key, value).collect()
+    flat = []
+    for k, v in pairs:
+        flat += [F.lit(k), F.lit(v)]
+    return F.create_map(*flat)
+
+
+def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+              right_tiebreak: str | None = None, bucket_seconds: int = 86400) -> DataFrame:
+    """For each left row, the latest right row of the same key with
+    ``right_ts <= left_ts`` (NULL columns when none). Ties on ``right_ts``
+    go to the largest ``right_tiebreak``.
+
+    Skew-proof two-level plan: the carry-forward runs inside (key, time
+    bucket) groups, and the value carried into a bucket comes from a small
+    per-(key, bucket) table. A key holding a third of the rows is spread over
+    its buckets; no group is paired all-against-all.
+    """
+    rcols = [c for c in right.columns if c != key]
+    order = [right_ts] + ([right_tiebreak] if right_tiebreak else [])
+    rpay = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__r_{c}") for c in rcols])
+
+    lb = left.withColumn("__b", _bin(left_ts, bucket_seconds))
+    rb = right.withColumn("__b", _bin(right_ts, bucket_seconds))
+
+    # 1) inside each (key, bucket): merge both sides in time order
+    lrows = lb.select(F.col(key).alias("__k"), "__b", F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
+                      F.struct(*[F.col(c) for c in left.columns]).alias("__l"),
+                      F.lit(None).cast(right.select(rpay).schema[0].dataType).alias("__p"))
+    rrows = rb.select(F.col(key).alias("__k"), "__b", F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
+                      F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__l"),
+                      rpay.alias("__p"))
+    tb = [F.col(f"__p.{right_tiebreak}")] if right_tiebreak else []
+    w = (Window.partitionBy("__k", "__b").orderBy("__t", "__side", *tb)
+         .rowsBetween(Window.unboundedPreceding, 0))
+    merged = lrows.unionByName(rrows).withColumn("__in", F.last("__p", ignorenulls=True).over(w))
+    lres = merged.filter(F.col("__side") == 1)
+
+    # 2) value carried into each bucket: last right row of earlier buckets
+    rlast = rb.groupBy(F.col(key).alias("__k"), "__b").agg(F.max_by(rpay, rpay).alias("__last"))
+    lkeys = lb.select(F.col(key).alias("__k"), "__b").distinct()
+    grid = lkeys.join(rlast, ["__k", "__b"], "full_outer")
+    wc = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = grid.withColumn("__carry", F.last("__last", ignorenulls=True).over(wc)).select("__k", "__b", "__carry")
+
+    out = lres.join(carry, ["__k", "__b"], "left")
+    best = F.coalesce(F.col("__in"), F.col("__carry"))
+    return out.select("__l.*", *[best[f"__r_{c}"].alias(c) for c in rcols])
