@@ -133,14 +133,13 @@ def win_range_interval(spark, d):
 
 
 @case("win_event_gap", """
-SELECT event_id, date_diff('second', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) AS gap_seconds
+SELECT event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) // 1000000
+       AS gap_seconds
 FROM events""")
 def win_event_gap(spark, d):
     e = load(spark, d, "events")
-    prev = F.lag("ts").over(UW)
-    return e.select("event_id", F.expr("timestampdiff(SECOND, prev_ts, ts)").alias("gap_seconds")) \
-        if False else e.withColumn("prev_ts", prev).select(
-            "event_id", F.timestamp_diff("SECOND", F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
+    return e.withColumn("prev_ts", F.lag("ts").over(UW)).select(
+        "event_id", F.timestamp_diff("SECOND", F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
 
 
 @case("latest_per_key", """
