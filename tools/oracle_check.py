@@ -95,8 +95,9 @@ def compare(spark, con, key, fn, sql, sf_dir, verbose=True):
         kd = sorted(drows, key=repr)
         if ks != kd:
             ok = False
-            only_s = [r for r in ks if r not in set(kd)][:3]
-            only_d = [r for r in kd if r not in set(ks)][:3]
+            sd, ss = set(kd), set(ks)
+            only_s = [str(r)[:300] for r in ks if r not in sd][:3]
+            only_d = [str(r)[:300] for r in kd if r not in ss][:3]
             detail = f"rows {len(ks)} vs {len(kd)}; spark-only {only_s}; duck-only {only_d}"
     return {"key": key, "ok": ok, "rows": len(srows), "sec": round(t1 - t0, 2), "detail": detail}
 
