@@ -45,3 +45,32 @@ class RowCounter:
     def close(self, error):
         if error:
             raise error
+
+
+def late_router(root: str, ts: str, threshold: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: rows older than (max event time of earlier
+    batches - threshold) go to ``root/corrections``, the rest to
+    ``root/main``. The running max lives in ``root/_bound`` keyed by batch id,
+    so a replayed batch sees the same bound and rewrites the same partitions."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            prev = (spark.read.parquet(f"{root}/_bound").filter(F.col("batch_id") < batch_id)
+                    .agg(F.max("max_ts")).first()[0])
+        except Exception:  # first batch: no bound yet
+            prev = None
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if prev is None:
+                on_time, late = batch, batch.limit(0)
+            else:
+                bound = F.lit(prev) - F.expr(f"INTERVAL {threshold}")
+                on_time, late = batch.filter(F.col(ts) >= bound), batch.filter(F.col(ts) < bound)
+            write_batch(on_time, f"{root}/main", batch_id)
+            write_batch(late, f"{root}/corrections", batch_id)
+            write_batch(batch.agg(F.max(ts).alias("max_ts")), f"{root}/_bound", batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
