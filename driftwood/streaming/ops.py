@@ -74,3 +74,31 @@ def late_router(root: str, ts: str, threshold: str) -> Callable[[DataFrame, int]
             batch.unpersist()
 
     return run
+
+
+def read_latest_snapshot(spark, root: str) -> DataFrame:
+    """Latest ``v=<batch_id>`` snapshot under ``root``."""
+    t = spark.read.parquet(root)
+    return t.filter(F.col("v") == t.select(F.max("v")).scalar()).drop("v")
+
+
+def upsert_batch(root: str, keys, seq: str, tiebreak=()) -> Callable[[DataFrame, int], None]:
+    """foreachBatch MERGE: the batch's latest event per key (tombstones kept)
+    merged with the previous snapshot into snapshot ``v=<batch_id>``. A
+    replayed batch rebuilds the same snapshot from the same predecessor."""
+    from driftwood.operators.cdc import latest_events
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        merged = latest_events(batch, keys, seq, tiebreak)
+        try:
+            t = spark.read.parquet(root).filter(F.col("v") < batch_id)
+            last = t.select(F.max("v")).first()[0]
+        except Exception:  # first batch
+            last = None
+        if last is not None:
+            prev = t.filter(F.col("v") == last).drop("v")
+            merged = latest_events(prev.unionByName(merged), keys, seq, tiebreak)
+        merged.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+
+    return run
