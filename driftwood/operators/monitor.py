@@ -67,7 +67,8 @@ def heartbeat_state(last_seen: DataFrame, now, ts_col: str = "last_ts", healthy_
         .otherwise("CRITICAL"))
 
 
-SEVERITY = F.expr("CASE status WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END")
+def severity():
+    return F.expr("CASE status WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END")
 
 
 def health_board(parts: Sequence[DataFrame]) -> DataFrame:
@@ -78,7 +79,7 @@ def health_board(parts: Sequence[DataFrame]) -> DataFrame:
         u = u.unionByName(p)
     row = F.struct(*[F.col(c) for c in u.columns])
     latest = u.groupBy("component").agg(F.max_by(row, F.col("check_ts")).alias("r")).select("r.*")
-    return latest.orderBy(SEVERITY, "component")
+    return latest.orderBy(severity(), "component")
 
 
 def event_log_report(log: DataFrame) -> DataFrame:

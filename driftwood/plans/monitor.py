@@ -157,7 +157,7 @@ def health_board(spark, d):
     row = Fn.struct("component", "check_ts", "status", "metric")
     order = Fn.struct(Fn.col("check_ts"), Fn.col("metric"), Fn.lit(0) - Fn.ascii("status"))
     latest = u.groupBy("component").agg(Fn.max_by(row, order).alias("r")).select("r.*")
-    return latest.orderBy(M.SEVERITY, "component")
+    return latest.orderBy(M.severity(), "component")
 
 
 EVLOG_SQL = """WITH log AS (

@@ -17,11 +17,17 @@ from driftwood.sources.lineage import with_lineage
 from driftwood.streaming.runner import read_sink, run_available_now
 from driftwood.tables import load, path
 
-ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
-ORDERS_SCHEMA = T.StructType.fromDDL(ORDERS_DDL)
-EVENTS_SCHEMA = T.StructType.fromDDL(
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+
+
+def _schema(*fields):
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+L_, S_, D_, N_ = T.LongType(), T.StringType(), T.DoubleType(), T.TimestampNTZType()
+ORDERS_SCHEMA = _schema(("o_orderkey", L_), ("o_custkey", L_), ("o_orderstatus", S_), ("o_totalprice", D_),
+                        ("o_orderdate", N_), ("o_orderpriority", S_))
+EVENTS_SCHEMA = _schema(("event_id", L_), ("ts", N_), ("user_id", L_), ("event_type", S_), ("value", D_),
+                        ("props", S_))
 
 
 @case("inline_relation", """
@@ -249,7 +255,7 @@ def _messy_json_lines(spark, d):
     return root
 
 
-KNOWN = T.StructType.fromDDL("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE")
+KNOWN = _schema(("o_orderkey", L_), ("o_custkey", L_), ("o_orderstatus", S_), ("o_totalprice", D_))
 
 
 @case("evolve_rescue", """

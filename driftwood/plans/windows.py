@@ -10,7 +10,8 @@ from driftwood.operators import windows as W
 from driftwood.plans.registry import case
 from driftwood.tables import load
 
-UW = Window.partitionBy("user_id").orderBy("ts", "event_id")
+def user_window():
+    return Window.partitionBy("user_id").orderBy("ts", "event_id")
 
 
 @case("win_row_number", """
@@ -52,8 +53,8 @@ SELECT event_id, lag(value, 1) OVER w AS prev_value, coalesce(lag(value, 1) OVER
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win_lag(spark, d):
     e = load(spark, d, "events")
-    return e.select("event_id", F.lag("value", 1).over(UW).alias("prev_value"),
-                    F.lag("value", 1, 0.0).over(UW).alias("prev_or_zero"))
+    return e.select("event_id", F.lag("value", 1).over(user_window()).alias("prev_value"),
+                    F.lag("value", 1, 0.0).over(user_window()).alias("prev_or_zero"))
 
 
 @case("win_lead", """
@@ -61,14 +62,14 @@ SELECT event_id, coalesce(lead(value, 1) OVER (PARTITION BY user_id ORDER BY ts,
 FROM events""")
 def win_lead(spark, d):
     e = load(spark, d, "events")
-    return e.select("event_id", F.lead("value", 1, 0.0).over(UW).alias("next_value"))
+    return e.select("event_id", F.lead("value", 1, 0.0).over(user_window()).alias("next_value"))
 
 
 @case("win_first", """
 SELECT event_id, first_value(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS first_type FROM events""")
 def win_first(spark, d):
     e = load(spark, d, "events")
-    return e.select("event_id", F.first_value(F.col("event_type")).over(UW).alias("first_type"))
+    return e.select("event_id", F.first_value(F.col("event_type")).over(user_window()).alias("first_type"))
 
 
 @case("win_last", """
@@ -76,7 +77,7 @@ SELECT event_id, last_value(event_type) OVER (PARTITION BY user_id ORDER BY ts,
        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_type FROM events""")
 def win_last(spark, d):
     e = load(spark, d, "events")
-    w = UW.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = user_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return e.select("event_id", F.last_value(F.col("event_type")).over(w).alias("last_type"))
 
 
@@ -119,7 +120,7 @@ SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_
        ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 4) AS centred_avg FROM events""")
 def win_rows_frame(spark, d):
     e = load(spark, d, "events")
-    return e.select("event_id", F.round(F.avg("value").over(UW.rowsBetween(-3, 3)), 4).alias("centred_avg"))
+    return e.select("event_id", F.round(F.avg("value").over(user_window().rowsBetween(-3, 3)), 4).alias("centred_avg"))
 
 
 @case("win_range_interval", """
@@ -138,7 +139,7 @@ SELECT event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORD
 FROM events""")
 def win_event_gap(spark, d):
     e = load(spark, d, "events")
-    return e.withColumn("prev_ts", F.lag("ts").over(UW)).select(
+    return e.withColumn("prev_ts", F.lag("ts").over(user_window())).select(
         "event_id", F.timestamp_diff("SECOND", F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
 
 
