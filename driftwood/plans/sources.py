@@ -334,6 +334,20 @@ def file_inventory(spark, d):
     return ingest.file_inventory(spark, f"{root}/in", f"{root}/_ledger")
 
 
+@case("file_policy", check="A")
+def file_policy(spark, d):
+    """includeExistingFiles=false, maxFileAge and allowOverwrites over a ledger."""
+    root = _events_landing(spark, d, slices=2)
+    ingest.seed_ledger(spark, f"{root}/in", f"{root}/_ledger")  # existing files: skipped
+    load(spark, d, "events").filter("event_type = 'click'").write.mode("append").parquet(f"{root}/in")
+    fresh = ingest.pending_files(spark, f"{root}/in", f"{root}/_ledger", max_file_age_hours=24)
+    by_version = ingest.pending_files(spark, f"{root}/in", f"{root}/_ledger", allow_overwrites=True)
+    paths = [r.path for r in fresh.collect()]
+    return (FS.read(spark, "parquet", paths, EVENTS_SCHEMA)
+            .withColumn("pending_files", F.lit(len(paths)))
+            .withColumn("pending_by_version", F.lit(by_version.count())))
+
+
 @case("kafka_shape", """
 SELECT CAST(o_orderkey AS VARCHAR) AS key, 'orders' AS topic, o_orderstatus, o_totalprice FROM orders""")
 def kafka_shape(spark, d):

@@ -156,3 +156,11 @@ def with_file_ts(df: DataFrame) -> DataFrame:
 
 def options_str(options: Mapping[str, object]) -> dict[str, str]:
     return {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
+
+
+def rate_stream(spark: SparkSession, rows_per_second: int | None = None, rows_per_batch: int | None = None):
+    """Generated test stream: ``rate`` (rows per second) or the deterministic
+    ``rate-micro-batch`` (rows per batch) source."""
+    if rows_per_batch is not None:
+        return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
+    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second or 1).load()

@@ -109,3 +109,26 @@ def orphan_files(spark: SparkSession, table_dir: str, live_paths: DataFrame, ret
     listing = list_files(spark, table_dir).filter(~F.col("path").contains("/_"))
     stale = listing.join(live_paths.select("path"), "path", "left_anti")
     return stale.filter(F.col("mtime") < now - F.make_dt_interval(hours=F.lit(retain_hours)))
+
+
+def seed_ledger(spark: SparkSession, source: str, ledger: str, glob: str | None = None) -> int:
+    """``includeExistingFiles = false``: record the files present now as already
+    seen, so only files arriving later are loaded. Returns the count seeded."""
+    files = list_files(spark, source, glob).withColumn("load_id", F.lit("seed")).withColumn(
+        "loaded_at", F.current_timestamp())
+    files.write.mode("append").parquet(ledger)
+    return read_ledger(spark, ledger).filter(F.col("load_id") == "seed").count()
+
+
+def pending_files(spark: SparkSession, source: str, ledger: str, max_file_age_hours: float | None = None,
+                  allow_overwrites: bool = False, glob: str | None = None) -> DataFrame:
+    """Files a load would pick up under the file policy: not in the ledger
+    (by path, or by (path, mtime) when ``allow_overwrites`` lets a rewritten
+    file load again) and not older than ``max_file_age_hours``."""
+    listing = list_files(spark, source, glob)
+    keys = ["path", "mtime"] if allow_overwrites else ["path"]
+    new = listing.join(read_ledger(spark, ledger).select(*keys), keys, "left_anti")
+    if max_file_age_hours is not None:
+        new = new.filter(F.col("mtime") >= F.current_timestamp() - F.make_dt_interval(
+            secs=F.lit(float(max_file_age_hours) * 3600)))
+    return new

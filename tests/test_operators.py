@@ -157,3 +157,18 @@ def test_late_rows_are_dropped_out_of_order(spark, sf):
 def test_cluster_score_prefers_ranged_layout(spark, sf):
     r = {x.layout: x.score for x in queries()["cluster_score"](spark, sf).collect()}
     assert r["ranged"] > r["random"]
+
+
+def test_rate_sources(spark, tmp_path):
+    from driftwood.sources.files import rate_stream
+    from driftwood.streaming.runner import run_available_now
+
+    s = rate_stream(spark, rows_per_batch=50)
+    run_available_now(s, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() >= 0
+
+
+def test_file_policy_only_new_files(spark, sf):
+    df = queries()["file_policy"](spark, sf)
+    r = df.select("pending_files").first()
+    assert df.filter("event_type <> 'click'").count() == 0 and r.pending_files >= 1
