@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 
-def segment_code_py(seg: str | None) -> str | None:
+def segment_code_py(seg):
+    # plain (unannotated) function: a row-at-a-time Python UDF
     return None if seg is None else seg[:3].upper()
 
 
