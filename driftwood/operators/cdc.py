@@ -8,14 +8,15 @@ update with a lower sequence never revives a deleted key.
 
 Everything is a DataFrame rewrite: ``max_by`` over a struct for "latest
 per key" (map-side partial aggregation, no per-key sort), joins for merges,
-and a window over (key, sequence) only where history needs neighbours.
+and, where history needs neighbours (type 2), lag/lead as equi-joins on
+(key, position) with positions from the skew-safe ``keyed_row_number``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,18 +100,19 @@ def apply_scd2(events: DataFrame, keys: Sequence[str], seq: str, tiebreak: Seque
     sequence), ``valid_to`` (next change's sequence, NULL when open) and
     ``is_current``. A delete closes the open row and adds none. With
     ``track_columns`` only changes of those columns open a new row."""
+    from driftwood.operators.windows import keyed_shift
+
     data_cols = [c for c in events.columns if c not in set(keys) | {op, seq, *tiebreak}]
-    w = Window.partitionBy(*keys).orderBy(F.col(seq), *[F.col(c) for c in tiebreak],
-                                          (F.lower(F.col(op)) == "d"))
-    ev = events
+    is_del = F.lower(F.col(op)) == "d"
+    ev = events.withColumn("__isdel", is_del)
+    order = [seq, *tiebreak, "__isdel"]  # at equal sequence the delete sorts last
     if track_columns is not None:
-        tracked = F.struct(*[F.col(c) for c in track_columns])
-        is_del = F.lower(F.col(op)) == "d"
-        prev = F.lag(F.struct(tracked.alias("t"), is_del.alias("d"))).over(w)
-        keep = prev.isNull() | is_del | prev["d"] | ~(prev["t"].eqNullSafe(tracked))
-        ev = ev.withColumn("__keep", keep).filter("__keep").drop("__keep")
-    nxt = F.lead(F.col(seq)).over(w)
-    hist = ev.withColumn("valid_to", nxt).filter(F.lower(F.col(op)) != "d")
+        ev = ev.withColumn("__trk", F.struct(*[F.col(c) for c in track_columns]))
+        ev = keyed_shift(ev, keys, order, {"__trk": "__prev_trk", "__isdel": "__prev_del"}, offset=1)
+        keep = (F.col("__prev_del").isNull() | F.col("__isdel") | F.col("__prev_del")
+                | ~F.col("__prev_trk").eqNullSafe(F.col("__trk")))
+        ev = ev.filter(keep).drop("__trk", "__prev_trk", "__prev_del")
+    hist = keyed_shift(ev, keys, order, {seq: "valid_to"}, offset=-1).filter(~F.col("__isdel"))
     return hist.select(*keys, *data_cols, F.col(seq).alias("valid_from"), "valid_to",
                        F.col("valid_to").isNull().alias("is_current"))
 

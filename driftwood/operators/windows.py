@@ -5,8 +5,10 @@ Spark evaluates ``f() OVER (PARTITION BY k ORDER BY t)`` by clustering each
 ``k`` into one task, and ``OVER (ORDER BY t)`` with no partition in a single
 task. The helpers below compute the same values with bounded work per task:
 
-* ``global_row_number`` / ``global_ntile``: range-partitioned sort, per-partition
-  counts, prefix offsets from a table with one row per partition.
+* ``global_row_number`` / ``global_ntile`` / ``keyed_row_number``: rows are
+  numbered inside value chunks of the first order column (quantile edges),
+  then shifted by the sizes of earlier chunks from a small count table;
+  ``keyed_shift`` (lag/lead) and ``keyed_rank`` build on it with equi-joins.
 * ``running_sum``: prefix sums inside (key, time bucket) plus the carried total
   of earlier buckets from a per-(key, bucket) table.
 * ``partition_agg``: aggregate per key (map-side partial) joined back; the
@@ -23,22 +25,54 @@ from pyspark.sql import functions as F
 from driftwood.operators.joins import broadcast_checked
 
 
+def _chunk_of(df: DataFrame, col: str, chunks: int, ascending: bool = True) -> Column:
+    """Deterministic chunk index in [0, chunks) from the value of ``col``: the
+    quantile edges of the column (a bounded list of chunks - 1 values, fetched
+    once) and a binary search in column algebra. Unlike a partition id, it is
+    the same every time the plan is evaluated, so separately computed parts of
+    a plan agree on it."""
+    bits = max(1, (chunks - 1).bit_length())
+    n = 1 << bits
+    dt = df.schema[col].dataType.typeName()
+    if dt not in ("byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp",
+                  "timestamp_ntz"):
+        return F.lit(0)
+    edges = df.agg(F.percentile_approx(col, [i / n for i in range(1, n)], 10000).alias("e")).first()["e"] or []
+    if not edges:
+        return F.lit(0)
+    arr = F.array(*[F.lit(v) for v in edges]).cast(f"array<{df.schema[col].dataType.simpleString()}>")
+    pos = F.lit(0)
+    for level in range(bits - 1, -1, -1):
+        probe = pos + F.lit(1 << level)
+        pos = F.when(F.col(col) > F.element_at(arr, probe), probe).otherwise(pos)
+    return pos if ascending else F.lit(n - 1) - pos
+
+
+def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
+                     chunks: int | None) -> DataFrame:
+    """Adds ``__rn``: the row number within ``keys`` in ``order``, computed per
+    (keys, chunk) with chunk offsets from a small (keys, chunk) count table."""
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ords = _orders(order, ascending)
+    c = df.withColumn("__chunk", _chunk_of(df, order[0], n, ascending))
+    local = Window.partitionBy(*keys, "__chunk").orderBy(*ords)
+    numbered = c.withColumn("__local", F.row_number().over(local))
+    counts = c.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = (Window.partitionBy(*keys) if keys else Window).orderBy("__chunk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
+    if not keys:
+        offsets = F.broadcast(offsets)  # one row per chunk
+    out = numbered.join(offsets, [*keys, "__chunk"])
+    return out.withColumn("__rn", (F.col("__off") + F.col("__local")).cast("int")).drop("__chunk", "__local", "__off")
+
+
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
                       partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (ORDER BY order)`` without a single-task window.
-
-    ``order`` must be unique (add a key as tie-break) so ranges split evenly
-    and numbering is deterministic.
-    """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0))).select("__pid", "__off")
-    local = Window.partitionBy("__pid").orderBy(*order)
-    numbered = ranged.withColumn("__local", F.row_number().over(local))
-    out = numbered.join(F.broadcast(offsets), "__pid")
-    return out.withColumn(name, (F.col("__off") + F.col("__local")).cast("int")).drop("__pid", "__off", "__local")
+    """``row_number() OVER (ORDER BY order)`` without a single-task window:
+    rows are numbered inside value chunks of the first order column and
+    shifted by the sizes of earlier chunks. ``order`` must be unique."""
+    return _chunked_numbers(df, [], order, True, partitions).withColumnRenamed("__rn", name)
 
 
 def global_ntile(df: DataFrame, buckets: int, order: Sequence[str], name: str = "ntile") -> DataFrame:
@@ -87,3 +121,55 @@ def partition_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str,
         cond = c if cond is None else cond & c
     out = df.join(per_key, cond, "left")
     return out.drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+# ------------------------------------------------------------ per-key ordered windows
+
+def _orders(order: Sequence[str], ascending: bool):
+    return [F.col(c).asc_nulls_first() if ascending else F.col(c).desc_nulls_last() for c in order]
+
+
+def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
+                     ascending: bool = True, partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays
+    parallel when one key holds a large share of the rows.
+
+    Each key's rows are cut into chunks by the value of the first order
+    column (quantile edges), numbered inside (key, chunk), and shifted by the
+    sizes of the key's earlier chunks from a small (key, chunk) count table.
+    ``order`` should be unique within a key; keys must not be NULL.
+    """
+    return _chunked_numbers(df, keys, order, ascending, partitions).withColumnRenamed("__rn", name)
+
+
+def keyed_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str], offset: int = 1,
+                default=None, partitions: int | None = None) -> DataFrame:
+    """``lag`` (offset > 0) or ``lead`` (offset < 0) of ``cols`` ({source: output})
+    per key, as an equi-join on (key, position): positions come from
+    ``keyed_row_number``, so no key is sorted in a single task."""
+    numbered = keyed_row_number(df, keys, order, "__rn", partitions=partitions)
+    src = numbered.select(*keys, (F.col("__rn") + F.lit(offset)).alias("__rn"),
+                          *[F.col(c).alias(o) for c, o in cols.items()])
+    out = numbered.join(src, [*keys, "__rn"], "left").drop("__rn")
+    if default is not None:
+        out = out.fillna({o: default for o in cols.values()})
+    return out
+
+
+def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
+               ascending: bool = True, dense: bool = False, partitions: int | None = None) -> DataFrame:
+    """``rank()`` / ``dense_rank()`` per key without a per-key sort in one task.
+
+    rank = smallest row number among the rows tied on ``order``; dense_rank =
+    row number of the distinct ``order`` values. The tie table is joined back
+    on (keys, order)."""
+    if dense:
+        vals = df.select(*keys, *order).distinct()
+        ranks = keyed_row_number(vals, keys, order, name, ascending, partitions)
+    else:
+        numbered = keyed_row_number(df.select(*keys, *order), keys, order, "__rn", ascending, partitions)
+        ranks = numbered.groupBy(*keys, *order).agg(F.min("__rn").alias(name))
+    # order values may be NULL: null-safe match
+    out = df.join(ranks.select(*[F.col(c).alias(f"__k_{c}") for c in [*keys, *order]], name),
+                  [df[c].eqNullSafe(F.col(f"__k_{c}")) for c in [*keys, *order]])
+    return out.drop(*[f"__k_{c}" for c in [*keys, *order]])

@@ -12,9 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwood.functions import masks
 from driftwood.operators import cdc as C
-from driftwood.operators import relational as R
 from driftwood.plans.registry import case
 from driftwood.session import workdir
 from driftwood.streaming import ops

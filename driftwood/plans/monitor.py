@@ -13,7 +13,6 @@ from driftwood.operators import monitor as M
 from driftwood.plans.layout import QLOG_SQL, query_log
 from driftwood.plans.registry import case
 from driftwood.plans.sources import EVENTS_SCHEMA, _events_landing
-from driftwood.session import workdir
 from driftwood.sources import bus
 from driftwood.streaming import streams as S
 from driftwood.streaming.runner import run_available_now

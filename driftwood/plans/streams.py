@@ -10,7 +10,6 @@ never emitted; oracles keep windows with ``end <= max(ts) - 10 minutes``.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from driftwood.operators import relational as R
 from driftwood.plans.registry import case

@@ -18,27 +18,27 @@ def user_window():
 SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
 FROM orders""")
 def win_row_number(spark, d):
-    o = load(spark, d, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rn"))
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return W.keyed_row_number(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "rn").select(
+        "o_orderkey", "o_custkey", "rn")
 
 
 @case("win_rank", """
 SELECT c_custkey, c_nationkey, CAST(rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS INT) AS rnk
 FROM customer""")
 def win_rank(spark, d):
-    c = load(spark, d, "customer")
-    w = Window.partitionBy("c_mktsegment").orderBy(F.desc("c_nationkey"))
-    return c.select("c_custkey", "c_nationkey", F.rank().over(w).alias("rnk"))
+    c = load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return W.keyed_rank(c, ["c_mktsegment"], ["c_nationkey"], "rnk", ascending=False).select(
+        "c_custkey", "c_nationkey", "rnk")
 
 
 @case("win_dense_rank", """
 SELECT c_custkey, CAST(dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS INT) AS drnk
 FROM customer""")
 def win_dense_rank(spark, d):
-    c = load(spark, d, "customer")
-    w = Window.partitionBy("c_mktsegment").orderBy(F.desc("c_nationkey"))
-    return c.select("c_custkey", F.dense_rank().over(w).alias("drnk"))
+    c = load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return W.keyed_rank(c, ["c_mktsegment"], ["c_nationkey"], "drnk", ascending=False, dense=True).select(
+        "c_custkey", "drnk")
 
 
 @case("win_ntile", """
@@ -52,17 +52,18 @@ def win_ntile(spark, d):
 SELECT event_id, lag(value, 1) OVER w AS prev_value, coalesce(lag(value, 1) OVER w, 0) AS prev_or_zero
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def win_lag(spark, d):
-    e = load(spark, d, "events")
-    return e.select("event_id", F.lag("value", 1).over(user_window()).alias("prev_value"),
-                    F.lag("value", 1, 0.0).over(user_window()).alias("prev_or_zero"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    r = W.keyed_shift(e, ["user_id"], ["ts", "event_id"], {"value": "prev_value"}, offset=1)
+    return r.select("event_id", "prev_value", F.coalesce("prev_value", F.lit(0.0)).alias("prev_or_zero"))
 
 
 @case("win_lead", """
 SELECT event_id, coalesce(lead(value, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) AS next_value
 FROM events""")
 def win_lead(spark, d):
-    e = load(spark, d, "events")
-    return e.select("event_id", F.lead("value", 1, 0.0).over(user_window()).alias("next_value"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    r = W.keyed_shift(e, ["user_id"], ["ts", "event_id"], {"value": "next_value"}, offset=-1, default=0.0)
+    return r.select("event_id", "next_value")
 
 
 @case("win_first", """
@@ -139,8 +140,8 @@ SELECT event_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORD
 FROM events""")
 def win_event_gap(spark, d):
     e = load(spark, d, "events")
-    return e.withColumn("prev_ts", F.lag("ts").over(user_window())).select(
-        "event_id", F.timestamp_diff("SECOND", F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
+    r = W.keyed_shift(e.select("event_id", "user_id", "ts"), ["user_id"], ["ts", "event_id"], {"ts": "prev_ts"})
+    return r.select("event_id", F.timestamp_diff("SECOND", F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
 
 
 @case("latest_per_key", """
