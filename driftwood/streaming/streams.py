@@ -113,3 +113,46 @@ def split_late(batch: DataFrame, ts: str, bound) -> tuple[DataFrame, DataFrame]:
     """(on time, late) split of a micro-batch against an event-time bound."""
     late = F.col(ts) < F.lit(bound)
     return batch.filter(~late), batch.filter(late)
+
+
+# ------------------------------------------------------------------ typed state (transformWithState)
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ACTIVITY_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("events", T.LongType()),
+                             T.StructField("event_types", T.LongType())])
+
+
+def _activity_processor():
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class UserActivity(StatefulProcessor):
+        """Typed state per key: a value state (event count) and a map state
+        (count per event type); emits the key's running totals each batch."""
+
+        def init(self, handle) -> None:
+            self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
+            self.types = handle.getMapState("types", T.StructType([T.StructField("t", T.StringType())]),
+                                            T.StructType([T.StructField("c", T.LongType())]))
+
+        def handleInputRows(self, key, rows, timerValues):
+            n = self.count.get()[0] if self.count.exists() else 0
+            for pdf in rows:
+                n += len(pdf)
+                for t, c in pdf["event_type"].value_counts().items():
+                    prev = self.types.getValue((t,))[0] if self.types.containsKey((t,)) else 0
+                    self.types.updateValue((t,), (prev + int(c),))
+            self.count.update((n,))
+            n_types = sum(1 for _ in self.types.keys())
+            yield pd.DataFrame({"user_id": [key[0]], "events": [n], "event_types": [n_types]})
+
+        def close(self) -> None:
+            pass
+
+    return UserActivity()
+
+
+def typed_state(stream: DataFrame, key: str = "user_id") -> DataFrame:
+    """``transformWithStateInPandas`` with value and map state (RocksDB store)."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return stream.select(key, "event_type").groupBy(key).transformWithStateInPandas(
+        _activity_processor(), ACTIVITY_OUT, "Update", "None")
