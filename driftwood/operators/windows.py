@@ -173,3 +173,37 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: s
     out = df.join(ranks.select(*[F.col(c).alias(f"__k_{c}") for c in [*keys, *order]], name),
                   [df[c].eqNullSafe(F.col(f"__k_{c}")) for c in [*keys, *order]])
     return out.drop(*[f"__k_{c}" for c in [*keys, *order]])
+
+
+def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, lo: int, hi: int,
+                     agg=F.avg, name: str = "frame_value", partitions: int | None = None) -> DataFrame:
+    """``agg(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN lo AND hi)``
+    (``lo`` <= 0 <= ``hi``) as an equi-join on (key, position + offset): each
+    row is copied once per frame offset (a constant factor), so a hot key is
+    spread by position instead of sorted in one task."""
+    numbered = keyed_row_number(df, keys, order, "__rn", partitions=partitions)
+    src = (numbered.select(*keys, F.col("__rn").alias("__src"), F.col(value).alias("__v"))
+           .withColumn("__off", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
+           .select(*keys, (F.col("__src") - F.col("__off")).alias("__rn"), "__v"))
+    frame = src.groupBy(*keys, "__rn").agg(agg("__v").alias(name))
+    return numbered.join(frame, [*keys, "__rn"], "left").drop("__rn")
+
+
+def keyed_range_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, preceding_seconds: int,
+                    name: str = "range_sum", bucket_seconds: int = 86400) -> DataFrame:
+    """``sum(value) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
+    <preceding> PRECEDING AND CURRENT ROW)`` as a difference of prefix sums:
+    P(ts, peers included) - P(just before ts - preceding). Both prefix sums come
+    from the skew-safe ``running_sum`` and the bucketed ``asof_join``."""
+    from driftwood.operators.joins import asof_join
+
+    r = running_sum(df, key, ts, tiebreak, value, "__run", bucket_seconds)
+    peers = r.groupBy(key, ts).agg(F.max_by("__run", F.col(tiebreak)).alias("__incl"))
+    r = r.join(peers, [key, ts])
+    start = F.col(ts) - F.make_dt_interval(secs=F.lit(preceding_seconds)) - F.expr("INTERVAL 0.000001 SECOND")
+    left = r.withColumn("__start", start)
+    right = r.select(F.col(key).alias("__rk"), F.col(ts).alias("__rts"), F.col(tiebreak).alias("__rtb"),
+                     F.col("__run").alias("__before")).withColumnRenamed("__rk", key)
+    j = asof_join(left, right, key, "__start", "__rts", "__rtb", bucket_seconds)
+    return j.withColumn(name, F.col("__incl") - F.coalesce(F.col("__before"), F.lit(0.0))).drop(
+        "__run", "__incl", "__start", "__rts", "__rtb", "__before")

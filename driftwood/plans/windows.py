@@ -69,17 +69,19 @@ def win_lead(spark, d):
 @case("win_first", """
 SELECT event_id, first_value(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS first_type FROM events""")
 def win_first(spark, d):
-    e = load(spark, d, "events")
-    return e.select("event_id", F.first_value(F.col("event_type")).over(user_window()).alias("first_type"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    # first row of the key: a min_by aggregate joined back (no per-key sort)
+    r = W.partition_agg(e, ["user_id"], F.min_by("event_type", F.struct("ts", "event_id")), "first_type")
+    return r.select("event_id", "first_type")
 
 
 @case("win_last", """
 SELECT event_id, last_value(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id
        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_type FROM events""")
 def win_last(spark, d):
-    e = load(spark, d, "events")
-    w = user_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return e.select("event_id", F.last_value(F.col("event_type")).over(w).alias("last_type"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    r = W.partition_agg(e, ["user_id"], F.max_by("event_type", F.struct("ts", "event_id")), "last_type")
+    return r.select("event_id", "last_type")
 
 
 @case("win_running_sum", """
@@ -120,18 +122,18 @@ def win_total(spark, d):
 SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
        ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 4) AS centred_avg FROM events""")
 def win_rows_frame(spark, d):
-    e = load(spark, d, "events")
-    return e.select("event_id", F.round(F.avg("value").over(user_window().rowsBetween(-3, 3)), 4).alias("centred_avg"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    r = W.keyed_rows_frame(e, ["user_id"], ["ts", "event_id"], "value", -3, 3, F.avg, "centred_avg")
+    return r.select("event_id", F.round("centred_avg", 4).alias("centred_avg"))
 
 
 @case("win_range_interval", """
 SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts
        RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW), 2) AS week_value FROM events""")
 def win_range_interval(spark, d):
-    e = load(spark, d, "events")
-    return e.select("event_id", F.round(F.expr(
-        "sum(value) OVER (PARTITION BY user_id ORDER BY ts "
-        "RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)"), 2).alias("week_value"))
+    e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    r = W.keyed_range_sum(e, "user_id", "ts", "event_id", "value", 7 * 86400, "week_value")
+    return r.select("event_id", F.round("week_value", 2).alias("week_value"))
 
 
 @case("win_event_gap", """
