@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driftwood.operators import relational as R
@@ -10,10 +9,6 @@ from driftwood.operators import windows as W
 from driftwood.plans.registry import case
 from driftwood.tables import load
 
-def user_window():
-    return Window.partitionBy("user_id").orderBy("ts", "event_id")
-
-
 @case("win_row_number", """
 SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
 FROM orders""")

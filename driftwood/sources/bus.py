@@ -8,7 +8,7 @@ tables and the decode path is the same one a ``format("kafka")`` stream feeds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,11 @@ def to_bus_records(df: DataFrame, topic: str, key_col: str, partitions: int = 8,
         F.lit(topic).alias("topic"), part.alias("partition"),
         (F.col(ts_col).cast("timestamp") if ts_col else F.current_timestamp()).alias("timestamp"),
         F.lit(0).alias("timestampType"), F.col(key_col).alias("__k"))
-    w = Window.partitionBy("partition").orderBy("__k")
-    return rec.withColumn("offset", (F.row_number().over(w) - 1).cast("long")).drop("__k")
+    # offsets per bus partition: skew-safe numbering (a partition is never sorted in one task)
+    from driftwood.operators.windows import keyed_row_number
+
+    numbered = keyed_row_number(rec, ["partition"], ["__k"], "__rn")
+    return numbered.withColumn("offset", (F.col("__rn") - 1).cast("long")).drop("__k", "__rn")
 
 
 def decode_value(records: DataFrame, schema: str | T.StructType, keep_meta: bool = True) -> DataFrame:
