@@ -1,8 +1,9 @@
 """Cases for streaming operators.
 
 Input: ``events`` written as four time-ordered slices (rising modification
-times) and read one file per trigger, so the watermark advances batch by
-batch. Queries run with ``availableNow`` into a file sink and the finished
+times). ``availableNow`` takes all available files without a rate limit (a
+backfill); cases about late data read one file per trigger so the watermark
+advances batch by batch. Queries run with ``availableNow`` into a file sink and the finished
 table is returned. In append mode windows still open at the end of input are
 never emitted; oracles keep windows with ``end <= max(ts) - 10 minutes``.
 """
@@ -24,7 +25,7 @@ from driftwood.tables import load
 WM = "WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)"
 
 
-def _stream(spark, d, max_files=1):
+def _stream(spark, d, max_files=None):
     root = _events_landing(spark, d)
     return root, S.event_stream(spark, f"{root}/in", EVENTS_SCHEMA, max_files=max_files)
 
