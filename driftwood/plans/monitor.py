@@ -66,11 +66,19 @@ def batch_alert(spark, d):
     return M.batch_alerts(hourly_batches(spark, d), max_duration_ms=2000, empty_run=3)
 
 
-@case("offset_lag", check="A")
+@case("offset_lag", """
+WITH r AS (SELECT CAST(o_orderkey % 8 AS INT) AS partition, o_orderdate,
+                  row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) - 1 AS "offset" FROM orders),
+e AS (SELECT partition, max("offset") + 1 AS end_offset FROM r GROUP BY 1),
+c AS (SELECT partition, max("offset") + 1 AS committed_offset FROM r WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY 1)
+SELECT 'orders' AS topic, e.partition, e.end_offset - coalesce(c.committed_offset, 0) AS lag,
+       e.end_offset - coalesce(c.committed_offset, 0) > 5000 AS alert
+FROM e LEFT JOIN c ON e.partition = c.partition""")
 def offset_lag(spark, d):
-    recs = bus.to_bus_records(load(spark, d, "orders"), "orders", "o_orderkey", partitions=8, ts_col="o_orderdate")
+    recs = bus.to_bus_records(load(spark, d, "orders"), "orders", "o_orderkey", partitions=8, ts_col="o_orderdate",
+                              partitioner="modulo")
     end = recs.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
-    cut = F.lit("1999-01-01").cast("timestamp")
+    cut = F.lit("1999-01-01 00:00:00").cast("timestamp")
     committed = recs.filter(F.col("timestamp") < cut).groupBy("topic", "partition").agg(
         (F.max("offset") + 1).alias("committed_offset"))
     return M.offset_lag(end, committed, threshold=5000)

@@ -25,10 +25,14 @@ def read_kafka(spark: SparkSession, servers: str, stream: bool = True, **options
 
 
 def to_bus_records(df: DataFrame, topic: str, key_col: str, partitions: int = 8,
-                   ts_col: str | None = None) -> DataFrame:
-    """Rows as bus records: JSON value, key bytes, hash partition and a
-    per-partition offset in key order (the order a producer would write)."""
-    part = F.pmod(F.xxhash64(F.col(key_col)), F.lit(partitions)).cast("int")
+                   ts_col: str | None = None, partitioner: str = "hash") -> DataFrame:
+    """Rows as bus records: JSON value, key bytes, partition (``hash`` of the
+    key, or ``modulo`` of an integer key) and a per-partition offset in key
+    order (the order a producer would write)."""
+    if partitioner == "modulo":
+        part = F.pmod(F.col(key_col), F.lit(partitions)).cast("int")
+    else:
+        part = F.pmod(F.xxhash64(F.col(key_col)), F.lit(partitions)).cast("int")
     rec = df.select(
         F.col(key_col).cast("string").cast("binary").alias("key"),
         F.to_json(F.struct(*df.columns)).cast("binary").alias("value"),
