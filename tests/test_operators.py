@@ -172,3 +172,10 @@ def test_file_policy_only_new_files(spark, sf):
     df = queries()["file_policy"](spark, sf)
     r = df.select("pending_files").first()
     assert df.filter("event_type <> 'click'").count() == 0 and r.pending_files >= 1
+
+
+def test_hilbert_forms_agree(spark, sf):
+    li = load(spark, sf, "lineitem").selectExpr("l_partkey % 256 AS a", "l_suppkey % 256 AS b", "l_orderkey % 256 AS c")
+    e = L.hilbert_value(li, ["a", "b", "c"], 8, "h")
+    v = L.hilbert_value_vectorised(li, ["a", "b", "c"], 8, "h")
+    assert e.exceptAll(v).count() == 0
