@@ -249,23 +249,34 @@ def ss_inner(spark, d):
     return _run(spark, root, j.select("view_id", "click_id"))
 
 
-@case("ss_left", check="A")
+SS_WM = """, m AS (SELECT least((SELECT max(ts) FROM events WHERE event_type = 'view'),
+                        (SELECT max(ts) FROM events WHERE event_type = 'click')) - INTERVAL 10 MINUTE AS wm),
+pairs AS (SELECT v.view_id, c.click_id FROM v JOIN c ON v.user_id = c.user_id
+          AND c.click_ts BETWEEN v.view_ts AND v.view_ts + INTERVAL 1 HOUR),
+lonely_views AS (SELECT view_id, NULL::BIGINT AS click_id FROM v, m
+                 WHERE view_id NOT IN (SELECT view_id FROM pairs) AND v.view_ts + INTERVAL 1 HOUR < m.wm),
+lonely_clicks AS (SELECT NULL::BIGINT AS view_id, click_id FROM c, m
+                  WHERE click_id NOT IN (SELECT click_id FROM pairs) AND c.click_ts < m.wm)"""
+
+
+@case("ss_left", VC_SQL + SS_WM + " SELECT * FROM pairs UNION ALL SELECT * FROM lonely_views")
 def ss_left(spark, d):
-    """Left outer: unmatched views are emitted with NULLs once both
-    watermarks pass the end of their match window."""
+    """Left outer: an unmatched view is emitted with NULLs once the global
+    watermark (min of both inputs) passes the end of its match window."""
     root, s = _stream(spark, d)
     v, c = _views_clicks(s)
     j = S.stream_stream_join(v, c, "v_user", "c_user", "view_ts", "click_ts", "1 hour", how="leftOuter")
     return _run(spark, root, j.select("view_id", "click_id"))
 
 
-@case("ss_full", check="A")
+@case("ss_full", VC_SQL + SS_WM + """ SELECT * FROM pairs UNION ALL SELECT * FROM lonely_views
+UNION ALL SELECT * FROM lonely_clicks""")
 def ss_full(spark, d):
+    """Full outer: unmatched views and unmatched clicks are emitted with NULLs
+    once the watermark shows no partner can still arrive."""
     root, s = _stream(spark, d)
     v, c = _views_clicks(s)
-    r = S.stream_stream_join(v, c, "v_user", "c_user", "view_ts", "click_ts", "1 hour", how="rightOuter")
     f = S.stream_stream_join(v, c, "v_user", "c_user", "view_ts", "click_ts", "1 hour", how="fullOuter")
-    run_available_now(r.select("view_id", "click_id"), f"{root}/right", f"{root}/_ckpt_r")
     return _run(spark, root, f.select("view_id", "click_id"))
 
 
