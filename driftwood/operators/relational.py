@@ -99,18 +99,23 @@ def key_skew(df: DataFrame, key: str, top_pct: float = 1.0) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,
+                   rsd: float = 0.01) -> DataFrame:
     """One aggregate pass over all columns, unpivoted to one row per column.
 
     count, distinct, cardinality pct, nulls, min, max (as strings),
-    average and max string length.
+    average and max string length. Exact distinct counts make Spark expand
+    every row once per column for the shuffle; ``exact=False`` uses
+    HyperLogLog++ sketches (``rsd`` relative error) with no expansion, the
+    choice for very wide or very large tables.
     """
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         s = F.col(c).cast("string")
+        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
         aggs += [
-            F.count_distinct(F.col(c)).alias(f"d{i}"),
+            distinct.alias(f"d{i}"),
             F.count_if(F.col(c).isNull()).alias(f"z{i}"),
             F.min(F.col(c)).cast("string").alias(f"lo{i}"),
             F.max(F.col(c)).cast("string").alias(f"hi{i}"),

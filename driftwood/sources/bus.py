@@ -59,3 +59,27 @@ def to_kafka_value(df: DataFrame, key_col: str | None, topic: str) -> DataFrame:
     if key_col:
         cols.insert(0, F.col(key_col).cast("string").alias("key"))
     return df.select(*cols)
+
+
+BUS_FORMATS = {"kafka": "kafka", "eventhubs": "kafka", "kinesis": "kinesis", "pulsar": "pulsar"}
+
+
+def read_bus(spark: SparkSession, kind: str, stream: bool = True, **options) -> DataFrame:
+    """Other buses behind one reader: Event Hubs through its Kafka endpoint,
+    Kinesis and Pulsar through their own formats (vendor jars needed). The
+    decode path (``decode_value``) is the same for all."""
+    r = (spark.readStream if stream else spark.read).format(BUS_FORMATS[kind])
+    for k, v in options.items():
+        r = r.option(k, str(v))
+    return r.load()
+
+
+def write_kafka(df: DataFrame, servers: str, topic: str, key_col: str | None = None, checkpoint: str | None = None):
+    """Bus sink: value = JSON of the row, optional key (connector jar needed).
+    Streaming frames need a checkpoint; batch frames are written once."""
+    out = to_kafka_value(df, key_col, topic)
+    if df.isStreaming:
+        return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+                .option("checkpointLocation", checkpoint).start())
+    out.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+    return None

@@ -164,3 +164,43 @@ def rate_stream(spark: SparkSession, rows_per_second: int | None = None, rows_pe
     if rows_per_batch is not None:
         return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).load()
     return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second or 1).load()
+
+
+# --------------------------------------------------------------- connectors that need jars
+
+def read_avro(spark: SparkSession, path: str, schema_json: str | None = None) -> DataFrame:
+    """Avro files (needs the spark-avro module on the classpath)."""
+    r = spark.read.format("avro")
+    if schema_json:
+        r = r.option("avroSchema", schema_json)
+    return r.load(path)
+
+
+def decode_avro(df: DataFrame, col: str, schema_json: str) -> DataFrame:
+    """Avro-encoded binary payload (e.g. a bus value) to a struct column."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return df.withColumn(col, from_avro(F.col(col), schema_json))
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
+              lower_bound: int | None = None, upper_bound: int | None = None, num_partitions: int = 8,
+              **properties) -> DataFrame:
+    """JDBC table scan split into ``num_partitions`` range reads on
+    ``partition_column`` (needs the database driver jar)."""
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if partition_column is not None:
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
+             .option("upperBound", upper_bound).option("numPartitions", num_partitions))
+    for k, v in properties.items():
+        r = r.option(k, v)
+    return r.load()
+
+
+def format_available(spark: SparkSession, fmt: str) -> bool:
+    """True when a data source short name resolves on this cluster."""
+    try:
+        spark.read.format(fmt).load("/nonexistent-path-for-probe")
+    except Exception as e:  # missing path is fine; a missing source is not
+        return "DATA_SOURCE_NOT_FOUND" not in str(e) and "Failed to find data source" not in str(e)
+    return True
