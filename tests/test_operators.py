@@ -207,3 +207,70 @@ def test_column_profile_approx(spark, sf):
     approx = {r.column_name: r.distinct_count for r in column_profile(load(spark, sf, "orders"), exact=False).collect()}
     for c, n in exact.items():
         assert abs(approx[c] - n) <= max(2, 0.05 * n)
+
+
+# ------------------------------------------------------------------ plan shapes of join strategies
+
+def _executed(df):
+    df.collect()  # the same QueryExecution: its adaptive plan is now final
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key,node", [("join_sort_merge", "SortMergeJoin"), ("join_shuffle_hash", "ShuffledHashJoin"),
+                                      ("join_theta", "BroadcastNestedLoopJoin"), ("join_broadcast", "BroadcastHashJoin")])
+def test_join_strategy_in_plan(spark, sf, key, node):
+    assert node in _executed(queries()[key](spark, sf))
+
+
+def test_dynamic_partition_pruning(spark, sf):
+    df = queries()["join_dpp"](spark, sf)
+    assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_filter_pushed_below_join(spark, sf):
+    p = queries()["filter_before_join"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(c_mktsegment,AUTOMOBILE)" in p and "GreaterThan(o_totalprice,100000.0)" in p
+
+
+def test_aqe_skew_confs_set(spark, sf):
+    queries()["join_aqe_skew"](spark, sf)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "5"
+
+
+# ------------------------------------------------------------------ hot keys: results unchanged
+
+def _hot_events(spark, sf):
+    e = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    return e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+
+
+def test_keyed_windows_with_a_hot_key(spark, sf):
+    from pyspark.sql import Window
+
+    e = _hot_events(spark, sf)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ref = e.select("event_id", F.row_number().over(w).alias("rn"), F.lag("value").over(w).alias("prev"))
+    rn = W.keyed_row_number(e, ["user_id"], ["ts", "event_id"], "rn", partitions=8).select("event_id", "rn")
+    lag = W.keyed_shift(e, ["user_id"], ["ts", "event_id"], {"value": "prev"}, 1, partitions=8).select(
+        "event_id", "prev")
+    mine = rn.join(lag, "event_id")
+    assert mine.exceptAll(ref).count() == 0 and ref.exceptAll(mine).count() == 0
+
+
+def test_salted_and_hot_key_joins_keep_rows(spark, sf):
+    li = load(spark, sf, "lineitem").withColumn(
+        "k", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")))
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("ok"), "o_custkey")
+    plain = li.join(o, li.k == o.ok).count()
+    assert J.salted_join(li, "k", o, "ok", salts=8).count() == plain
+    assert J.hot_key_join(li, "k", o, "ok", min_share=0.1).count() == plain
+
+
+def test_stream_equals_batch(spark, sf):
+    assert queries()["live_vs_stream"](spark, sf).count() == 0
+
+
+def test_idempotent_write_replay(spark, sf):
+    df = queries()["idempotent_write"](spark, sf)
+    assert df.count() == load(spark, sf, "orders").count()
