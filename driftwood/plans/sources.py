@@ -71,7 +71,7 @@ def scan_json(spark, d):
     root = workdir(spark, "scan_json")
     o = load(spark, d, "orders")
     o.write.json(f"{root}/lines")
-    FS.write_json_documents(o, f"{root}/docs", buckets=8)
+    FS.write_json_documents(o, f"{root}/docs", rows_per_doc=2_000)
     lines = spark.read.schema(ORDERS_SCHEMA).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]").json(
         f"{root}/lines")
     docs = spark.read.schema(ORDERS_SCHEMA).option("multiLine", "true").json(f"{root}/docs")

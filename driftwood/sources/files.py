@@ -55,9 +55,11 @@ def write_slices(df: DataFrame, path: str, fmt: str, order_col: str, slices: int
     return cuts
 
 
-def write_json_documents(df: DataFrame, path: str, buckets: int = 8) -> None:
-    """Write ``df`` as multi-line JSON: each file holds one JSON array of
-    records (``multiLine`` readers parse a whole file per split)."""
+def write_json_documents(df: DataFrame, path: str, rows_per_doc: int = 10_000) -> None:
+    """Write ``df`` as multi-line JSON: each file holds one JSON array of about
+    ``rows_per_doc`` records (``multiLine`` readers parse a whole file per
+    split, so documents are kept small; the document count grows with the data)."""
+    buckets = max(1, -(-df.count() // rows_per_doc))
     doc = (df.withColumn("__bucket", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)))
            .groupBy("__bucket").agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")))
     doc.write.partitionBy("__bucket").text(path)
