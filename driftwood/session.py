@@ -36,8 +36,38 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (as
+    ``--py-files`` would): pandas UDFs and state functions defined here are
+    pickled by reference and must be importable on every worker. Done once
+    per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    import driftwood
+
+    pkg_dir = os.path.dirname(os.path.abspath(driftwood.__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="driftwood-pyfiles-"), "driftwood.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime confs on an existing session (idempotent)."""
+    """Apply the runtime confs on an existing session (idempotent) and make
+    the package importable on the executors."""
+    ship_package(spark)
     for k, v in DEFAULT_CONF.items():
         if k.startswith("spark.sql.streaming.stateStore"):
             continue  # static once a stream ran; set at build time
