@@ -243,7 +243,7 @@ def map_explode(spark, d):
 
 
 @case("map_filter", """
-SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS bal, c_nationkey * 1.0 AS nation FROM customer""")
+SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS bal, CAST(c_nationkey AS DOUBLE) AS nation FROM customer""")
 def map_filter(spark, d):
     c = load(spark, d, "customer")
     m = F.create_map(F.lit("bal"), F.col("c_acctbal"), F.lit("nation"), F.col("c_nationkey").cast("double"))
@@ -336,7 +336,8 @@ def json_parse(spark, d):
 
 
 @case("json_write", """
-SELECT event_id, to_json(struct_pack(event_id := event_id, event_type := event_type, user_id := user_id)) AS j FROM events""")
+SELECT event_id, CAST(to_json(struct_pack(event_id := event_id, event_type := event_type, user_id := user_id)) AS VARCHAR) AS j
+FROM events""")
 def json_write(spark, d):
     e = load(spark, d, "events")
     return e.select("event_id", F.to_json(F.struct("event_id", "event_type", "user_id")).alias("j"))

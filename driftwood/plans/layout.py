@@ -200,7 +200,7 @@ f AS (SELECT column_name, count(DISTINCT query_id) * 1.0 / (SELECT count(DISTINC
              count_if(clause = 'filter') * 1.0 / count(*) AS filter_share,
              count_if(clause IN ('join', 'group')) * 1.0 / count(*) AS gain FROM qlog GROUP BY 1),
 s AS (SELECT f.column_name, f.frequency, nd.ndv,
-             CASE WHEN nd.ndv BETWEEN 10 AND 100000000 THEN 1.0 ELSE 0.0 END AS cardinality_score,
+             CAST(CASE WHEN nd.ndv BETWEEN 10 AND 100000000 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS cardinality_score,
              0.4 * f.frequency + 0.2 * (CASE WHEN nd.ndv BETWEEN 10 AND 100000000 THEN 1.0 ELSE 0.0 END)
              + 0.2 * f.filter_share + 0.1 * (1.0 - 1.0 / nd.ndv) + 0.1 * f.gain AS score
       FROM f JOIN nd ON f.column_name = nd.column_name)

@@ -10,7 +10,8 @@ from driftwood.plans.registry import case
 from driftwood.tables import load
 
 @case("win_row_number", """
-SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+SELECT o_orderkey, o_custkey,
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rn
 FROM orders""")
 def win_row_number(spark, d):
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

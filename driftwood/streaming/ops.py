@@ -55,11 +55,10 @@ def late_router(root: str, ts: str, threshold: str) -> Callable[[DataFrame, int]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        prev = None
+        if batch_id > 0:  # every earlier batch wrote its bound row
             prev = (spark.read.parquet(f"{root}/_bound").filter(F.col("batch_id") < batch_id)
                     .agg(F.max("max_ts")).first()[0])
-        except Exception:  # first batch: no bound yet
-            prev = None
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if prev is None:
@@ -91,11 +90,10 @@ def upsert_batch(root: str, keys, seq: str, tiebreak=()) -> Callable[[DataFrame,
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         merged = latest_events(batch, keys, seq, tiebreak)
-        try:
+        last = None
+        if batch_id > 0:  # every earlier batch wrote its snapshot
             t = spark.read.parquet(root).filter(F.col("v") < batch_id)
             last = t.select(F.max("v")).first()[0]
-        except Exception:  # first batch
-            last = None
         if last is not None:
             prev = t.filter(F.col("v") == last).drop("v")
             merged = latest_events(prev.unionByName(merged), keys, seq, tiebreak)

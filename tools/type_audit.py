@@ -16,8 +16,10 @@ from oracle_check import duck  # noqa: E402
 
 def family_spark(t: str) -> str:
     t = t.lower()
-    if t in ("bigint", "int", "smallint", "tinyint"):
-        return "int"
+    if t == "bigint":
+        return "int64"
+    if t in ("int", "smallint", "tinyint"):
+        return "int32"
     if t in ("double", "float"):
         return "float"
     if t.startswith("decimal"):
@@ -29,8 +31,10 @@ def family_spark(t: str) -> str:
 
 def family_duck(t: str) -> str:
     t = str(t).upper()
-    if t in ("BIGINT", "INTEGER", "SMALLINT", "TINYINT", "HUGEINT", "UBIGINT", "UINTEGER"):
-        return "int"
+    if t in ("BIGINT", "HUGEINT", "UBIGINT"):
+        return "int64"
+    if t in ("INTEGER", "SMALLINT", "TINYINT", "UINTEGER"):
+        return "int32"
     if t in ("DOUBLE", "FLOAT"):
         return "float"
     if t.startswith("DECIMAL"):
