@@ -496,7 +496,8 @@ FROM events GROUP BY 1, 2, 3""")
 def agg_by_expr(spark, d):
     e = T(spark, d, "events")
     return e.groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
-                     F.date_trunc("hour", "ts").alias("hour_start")).agg(F.count(F.lit(1)).alias("n"))
+                     F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @case("agg_conditional", """
