@@ -69,6 +69,24 @@ def mv_incremental(new_rows: DataFrame, stored: DataFrame | None, keys: Sequence
     return both.groupBy(*keys).agg(*[MERGEABLE[fn](out).alias(out) for out, (fn, _) in aggs.items()])
 
 
+def mv_refresh(new_rows: DataFrame, all_rows: DataFrame, stored: DataFrame | None, keys: Sequence[str],
+               aggs: dict[str, tuple[str, str]], source_rewritten: bool = False) -> tuple[DataFrame, str]:
+    """Choose the refresh kind the way the guides describe: incremental when
+    the source only appended rows and every aggregate merges; full on the
+    first run, after updates/deletes or a schema change in the source
+    (``source_rewritten``), or for aggregates that do not merge. Returns
+    (result, "incremental" | "full")."""
+    mergeable = all(fn in MERGEABLE for fn, _ in aggs.values())
+    if stored is None or source_rewritten or not mergeable:
+        exprs = []
+        for out, (fn, colname) in aggs.items():
+            exprs.append((F.count(F.col(colname)) if fn == "count" else getattr(F, fn)(colname)).alias(out))
+        return all_rows.groupBy(*keys).agg(*exprs), "full"
+    if set(stored.columns) != set(keys) | set(aggs):
+        return mv_refresh(new_rows, all_rows, None, keys, aggs)
+    return mv_incremental(new_rows, stored, keys, aggs), "incremental"
+
+
 @dataclass
 class Dataset:
     name: str

@@ -274,3 +274,17 @@ def test_stream_equals_batch(spark, sf):
 def test_idempotent_write_replay(spark, sf):
     df = queries()["idempotent_write"](spark, sf)
     assert df.count() == load(spark, sf, "orders").count()
+
+
+def test_mv_refresh_choice(spark, sf):
+    from driftwood.operators.datasets import mv_refresh
+
+    o = load(spark, sf, "orders")
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    aggs = {"n": ("count", "o_orderkey"), "hi": ("max", "o_totalprice")}
+    first, kind1 = mv_refresh(o.filter(cut), o.filter(cut), None, ["o_orderstatus"], aggs)
+    second, kind2 = mv_refresh(o.filter(~cut), o, first, ["o_orderstatus"], aggs)
+    full, kind3 = mv_refresh(o.filter(~cut), o, first, ["o_orderstatus"], {"m": ("avg", "o_totalprice")})
+    assert (kind1, kind2, kind3) == ("full", "incremental", "full")
+    ref = o.groupBy("o_orderstatus").agg(F.count("o_orderkey").alias("n"), F.max("o_totalprice").alias("hi"))
+    assert second.exceptAll(ref.select(*second.columns)).count() == 0
