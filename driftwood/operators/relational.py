@@ -78,25 +78,23 @@ def key_skew(df: DataFrame, key: str, top_pct: float = 1.0) -> DataFrame:
     """Share of rows held by the top ``top_pct`` percent of keys (exact).
 
     Works on the histogram of key counts (how many keys have each count),
-    which is tiny compared with the key set, so the ranking window never
-    sees more than a few thousand rows even for billions of keys.
+    which is tiny compared with the key set (at most about sqrt(2 * rows)
+    distinct counts), so its ranking window runs in one small task; the data
+    is scanned once.
     """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
     hist = per_key.groupBy("cnt").agg(F.count(F.lit(1)).alias("n_keys"))
-    totals = hist.agg(F.sum("n_keys").alias("keys"), F.sum(F.col("cnt") * F.col("n_keys")).alias("rows"))
-    top_k = F.ceil(totals.select(F.col("keys") * F.lit(top_pct / 100.0)).scalar())
-    w = Window.orderBy(F.desc("cnt")).rowsBetween(Window.unboundedPreceding, -1)
-    h = hist.withColumn("keys_before", F.coalesce(F.sum("n_keys").over(w), F.lit(0)))
-    take = F.greatest(F.lit(0), F.least(F.col("n_keys"), top_k - F.col("keys_before")))
-    top_rows = h.agg(F.sum(take * F.col("cnt")).alias("top_rows"))
-    return top_rows.select(
-        F.lit(key).alias("key_column"),
-        totals.select("keys").scalar().alias("n_keys"),
-        top_k.cast("bigint").alias("top_keys"),
-        F.col("top_rows").cast("bigint").alias("top_rows"),
-        totals.select("rows").scalar().alias("total_rows"),
-        F.round(F.col("top_rows") * 100.0 / totals.select("rows").scalar(), 4).alias("top_share_pct"),
-    )
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.orderBy(F.desc("cnt")).rowsBetween(Window.unboundedPreceding, -1)
+    h = (hist.withColumn("keys", F.sum("n_keys").over(everything))
+         .withColumn("rows", F.sum(F.col("cnt") * F.col("n_keys")).over(everything))
+         .withColumn("keys_before", F.coalesce(F.sum("n_keys").over(before), F.lit(0)))
+         .withColumn("top_k", F.ceil(F.col("keys") * F.lit(top_pct / 100.0))))
+    take = F.greatest(F.lit(0), F.least(F.col("n_keys"), F.col("top_k") - F.col("keys_before")))
+    agg = h.agg(F.first("keys").alias("n_keys"), F.first("top_k").cast("bigint").alias("top_keys"),
+                F.sum(take * F.col("cnt")).cast("bigint").alias("top_rows"), F.first("rows").alias("total_rows"))
+    return agg.select(F.lit(key).alias("key_column"), "n_keys", "top_keys", "top_rows", "total_rows",
+                      F.round(F.col("top_rows") * 100.0 / F.col("total_rows"), 4).alias("top_share_pct"))
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True,

@@ -49,18 +49,23 @@ def _chunk_of(df: DataFrame, col: str, chunks: int, ascending: bool = True) -> C
 
 
 def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
-                     chunks: int | None) -> DataFrame:
+                     chunks: int | None, with_total: bool = False) -> DataFrame:
     """Adds ``__rn``: the row number within ``keys`` in ``order``, computed per
-    (keys, chunk) with chunk offsets from a small (keys, chunk) count table."""
+    (keys, chunk) with chunk offsets from a small (keys, chunk) count table
+    (and ``__total``, the key's row count, when ``with_total``)."""
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ords = _orders(order, ascending)
     c = df.withColumn("__chunk", _chunk_of(df, order[0], n, ascending))
     local = Window.partitionBy(*keys, "__chunk").orderBy(*ords)
     numbered = c.withColumn("__local", F.row_number().over(local))
     counts = c.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = (Window.partitionBy(*keys) if keys else Window).orderBy("__chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
+    part = Window.partitionBy(*keys) if keys else Window
+    before = part.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    if with_total:
+        offsets = offsets.withColumn("__total", F.sum("__cnt").over(
+            part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    offsets = offsets.drop("__cnt")
     if not keys:
         offsets = F.broadcast(offsets)  # one row per chunk
     out = numbered.join(offsets, [*keys, "__chunk"])
@@ -77,15 +82,17 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
 
 def global_ntile(df: DataFrame, buckets: int, order: Sequence[str], name: str = "ntile") -> DataFrame:
     """``ntile(buckets) OVER (ORDER BY order)`` with the standard bucket sizes:
-    the first ``N % buckets`` buckets hold one extra row."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    numbered = global_row_number(df, order, "__rn")
+    the first ``N % buckets`` buckets hold one extra row. ``N`` comes from the
+    per-chunk count table, so the input is not scanned again for it."""
+    numbered = _chunked_numbers(df, [], order, True, None, with_total=True)
+    total = F.col("__total")
     base = F.floor(total / F.lit(buckets))
     rem = total - base * F.lit(buckets)
     big = (base + 1) * rem
     rn = F.col("__rn")
-    nt = F.when(rn <= big, F.floor((rn - 1) / (base + 1)) + 1).otherwise(F.floor((rn - 1 - rem) / F.greatest(base, F.lit(1))) + 1)
-    return numbered.withColumn(name, nt.cast("int")).drop("__rn")
+    nt = F.when(rn <= big, F.floor((rn - 1) / (base + 1)) + 1).otherwise(
+        F.floor((rn - 1 - rem) / F.greatest(base, F.lit(1))) + 1)
+    return numbered.withColumn(name, nt.cast("int")).drop("__rn", "__total")
 
 
 def _bucket(ts: str, seconds: int) -> Column:
