@@ -245,16 +245,21 @@ def maintenance_job(spark, d):
 
 @case("cache_reuse", check="A")
 def cache_reuse(spark, d):
+    """A filtered input reused by two aggregates is persisted once, both
+    results are written, then the cache is released."""
     from pyspark import StorageLevel
 
     li = load(spark, d, "lineitem").filter("l_quantity > 10").persist(StorageLevel.MEMORY_AND_DISK)
-    a = li.groupBy("l_returnflag").count()
-    b = li.groupBy("l_linestatus").count()
-    out = a.select(F.lit("flag").alias("kind"), F.col("l_returnflag").alias("k"), "count").unionByName(
-        b.select(F.lit("status").alias("kind"), F.col("l_linestatus").alias("k"), "count"))
-    res = spark.createDataFrame(out.collect(), out.schema)  # bounded: a few groups
-    li.unpersist()
-    return res
+    try:
+        a = li.groupBy("l_returnflag").count()
+        b = li.groupBy("l_linestatus").count()
+        out = a.select(F.lit("flag").alias("kind"), F.col("l_returnflag").alias("k"), "count").unionByName(
+            b.select(F.lit("status").alias("kind"), F.col("l_linestatus").alias("k"), "count"))
+        path = f"{workdir(spark, 'cache_reuse')}/out"
+        out.write.parquet(path)
+    finally:
+        li.unpersist()
+    return spark.read.parquet(path)
 
 
 @case("layout_compare", check="A")
