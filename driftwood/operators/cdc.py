@@ -26,7 +26,7 @@ def _order(seq: str, tiebreak: Sequence[str], op: str) -> Column:
 
 
 def decode_envelope(raw: DataFrame, json_col: str, row_schema: T.StructType, key: str) -> DataFrame:
-    """Debezium-style envelope -> flat change rows.
+    """Change-capture envelope -> flat change rows.
 
     ``payload.op``, ``payload.before``, ``payload.after``, ``payload.source``
     (ts_ms, file, pos). The key comes from ``after`` or, for deletes, from
