@@ -245,13 +245,19 @@ def clustering_score(stats: DataFrame, col: str) -> DataFrame:
 # -------------------------------------------------------------- catalog statistics
 
 def analyze_table(spark: SparkSession, table: str, columns: Sequence[str] | None = None,
-                  noscan: bool = False) -> DataFrame:
-    """``ANALYZE TABLE`` then the statistics as rows (DESCRIBE EXTENDED)."""
+                  noscan: bool = False, all_columns: bool = False, partition: str | None = None) -> DataFrame:
+    """``ANALYZE TABLE [PARTITION (..)] COMPUTE STATISTICS [NOSCAN | FOR COLUMNS ..
+    | FOR ALL COLUMNS]``, then the table statistics as rows (DESCRIBE EXTENDED).
+    Column statistics feed the cost-based optimizer (``spark.sql.cbo.enabled``)."""
+    part = f" PARTITION ({partition})" if partition else ""
+    base = f"ANALYZE TABLE {table}{part} COMPUTE STATISTICS"
     if noscan:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+        spark.sql(f"{base} NOSCAN")
     else:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
-        if columns:
+        spark.sql(base)
+        if all_columns and not partition:
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+        elif columns and not partition:
             spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
     return spark.sql(f"DESCRIBE EXTENDED {table}").filter(F.col("col_name") == "Statistics")
 
