@@ -47,6 +47,16 @@ def decode_envelope(raw: DataFrame, json_col: str, row_schema: T.StructType, key
                       *[F.col(f"row.{f.name}").alias(f.name) for f in row_schema.fields if f.name != key])
 
 
+def quarantine_changes(decoded: DataFrame, key: str, op: str = "op") -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantined) change rows: only a missing op or a missing key
+    quarantines a row (deletes carry their key in the before image)."""
+    from driftwood.operators.quality import quarantine_split
+
+    rules = {"op_present": F.col(op).isNotNull() & F.lower(F.col(op)).isin("c", "u", "d", "r", "t"),
+             "key_present": F.col(key).isNotNull() | (F.lower(F.col(op)) == "t")}
+    return quarantine_split(decoded, rules)
+
+
 def latest_events(events: DataFrame, keys: Sequence[str], seq: str, tiebreak: Sequence[str] = (),
                   op: str = "op") -> DataFrame:
     """Last event per key (tombstones kept)."""

@@ -55,13 +55,15 @@ def _load_id(paths: Sequence[str]) -> str:
     return hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-def copy_into(spark: SparkSession, source: str | Sequence[str], fmt: str, target: str, ledger: str,
+def copy_into(spark: SparkSession, source: str | Sequence[str], fmt: str, target: str, ledger: str | None = None,
               schema: T.StructType | str | None = None, force: bool = False, glob: str | None = None,
               transform: Callable[[DataFrame], DataFrame] | None = None, **options) -> DataFrame:
     """Load files not yet loaded into ``target``; returns a one-row report
     (load_id, num_files, num_affected_rows, num_inserted_rows). A rerun with
     nothing new returns zeros, which is success. ``force`` reloads everything
-    (duplicates by design)."""
+    (duplicates by design). The ledger defaults to ``target/_ledger`` (hidden
+    from readers of the target), so dropping the target drops its ledger."""
+    ledger = ledger or f"{target.rstrip('/')}/_ledger"
     listing = list_files(spark, source, glob)
     new = listing if force else listing.join(read_ledger(spark, ledger).select("path"), "path", "left_anti")
     picked = new.collect()  # paths only: bounded by the files of one load

@@ -326,3 +326,23 @@ def test_foreach_batch_sinks_replay_safely(spark, sf, tmp_path):
     main = spark.read.parquet(str(tmp_path / "late" / "main"))
     corr = spark.read.parquet(str(tmp_path / "late" / "corrections"))
     assert main.count() + corr.count() == e.count()
+
+
+def test_cdc_quarantine_keeps_deletes(spark, sf):
+    from driftwood.plans.cdc import change_events
+
+    ev = change_events(spark, sf)
+    bad_rows = ev.limit(3).withColumn("op", F.lit(None).cast("string"))
+    valid, bad = C.quarantine_changes(ev.unionByName(bad_rows), "o_orderkey")
+    assert bad.count() == 3
+    assert valid.filter("op = 'd'").count() == ev.filter("op = 'd'").count()
+
+
+def test_copy_into_default_ledger_is_hidden(spark, sf, tmp_path):
+    from driftwood.sources import ingest
+
+    load(spark, sf, "orders").write.json(str(tmp_path / "in"))
+    ingest.copy_into(spark, str(tmp_path / "in"), "json", str(tmp_path / "t"),
+                     schema="o_orderkey BIGINT, o_totalprice DOUBLE")
+    assert (tmp_path / "t" / "_ledger").exists()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == load(spark, sf, "orders").count()
