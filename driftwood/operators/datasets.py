@@ -96,7 +96,7 @@ class Dataset:
     expectations: dict = field(default_factory=dict)
 
 
-class Pipeline:
+class DatasetGraph:
     """Decorator registry of datasets with a topological run."""
 
     def __init__(self):

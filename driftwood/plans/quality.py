@@ -150,7 +150,7 @@ def file_completeness(spark, d):
 
 @case("dataset_runner", check="A")
 def dataset_runner(spark, d):
-    p = D.Pipeline()
+    p = D.DatasetGraph()
 
     @p.table(inputs=())
     def bronze_orders():
@@ -164,7 +164,7 @@ def dataset_runner(spark, d):
     def gold_daily(s):
         return s.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
-    return p.run(spark, workdir(spark, "pipeline"))["gold_daily"]
+    return p.run(spark, workdir(spark, "datasets"))["gold_daily"]
 
 
 MV_SQL = "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(o_totalprice) AS lo, " \
