@@ -21,6 +21,26 @@ DEFAULT_CONF = {
 }
 
 
+def sizing_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20,
+                max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a large cluster.
+
+    ``spark.sql.shuffle.partitions`` starts at max(3 x cores, shuffle bytes /
+    target) so each reducer's input fits in memory without spilling heavily;
+    AQE then coalesces small partitions toward the advisory size and splits
+    skewed ones. Scan splits stay at ``max_split_bytes`` so one task reads a
+    bounded slice of a file.
+    """
+    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.files.openCostInBytes": str(8 << 20),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "driftwood", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster the caller passes its own."""
