@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftwood import constants as C
+
 
 class TooLargeToBroadcast(ValueError):
     pass
@@ -83,8 +85,8 @@ def salted_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, salts: i
 AQE_SKEW_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": C.AQE_SKEW_FACTOR,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": C.AQE_SKEW_THRESHOLD,
 }
 
 

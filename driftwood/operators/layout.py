@@ -17,9 +17,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftwood import constants as C
 from driftwood.sources.ingest import list_files
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
+TARGET_FILE_BYTES = C.COMPACT_TARGET_BYTES
 
 
 def data_files(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +65,7 @@ def sized_write(df: DataFrame, path: str, max_records_per_file: int | None = Non
     w.parquet(path)
 
 
-def auto_compact(spark: SparkSession, path: str, small_bytes: int = TARGET_FILE_BYTES,
+def auto_compact(spark: SparkSession, path: str, small_bytes: int = C.AUTO_COMPACT_TARGET_BYTES,
                  min_num_files: int = 50, since=None) -> DataFrame:
     """Post-write compaction trigger: when at least ``min_num_files`` small
     files (newer than ``since``) exist, they are merged into new files and
@@ -197,7 +198,7 @@ def cluster_by_curve(df: DataFrame, cols: Sequence[str], curve: str = "zorder",
 
 # -------------------------------------------------------------- file statistics
 
-def file_stats(df: DataFrame, cols: Sequence[str] | None = None, max_cols: int = 32) -> DataFrame:
+def file_stats(df: DataFrame, cols: Sequence[str] | None = None, max_cols: int = C.FILE_STATS_MAX_COLUMNS) -> DataFrame:
     """Per data file: row count and per-column min, max, null count (first 32
     columns by default), from the ``_metadata.file_path`` of each row."""
     cs = list(cols or df.columns)[:max_cols]
@@ -282,15 +283,22 @@ def stale_stats(spark: SparkSession, table: str, threshold_pct: float = 20.0) ->
                             / F.nullif(F.col("analyzed_rows"), F.lit(0)) > threshold_pct, F.lit(True)))
 
 
-def retention_advice(rollup: DataFrame) -> DataFrame:
-    """files < 100 -> 30 days, monthly; < 1000 -> 14 days, bi-weekly; else 7 days, weekly."""
+def retention_advice(rollup: DataFrame, rules=C.RETENTION_RULES) -> DataFrame:
+    """Retention days and purge schedule by file count (``constants.RETENTION_RULES``)."""
     n = F.col("num_files")
-    return rollup.select(
-        "*", F.when(n < 100, 30).when(n < 1000, 14).otherwise(7).alias("retain_days"),
-        F.when(n < 100, "monthly").when(n < 1000, "bi-weekly").otherwise("weekly").alias("vacuum_schedule"))
-
-
-def partition_health(spark: SparkSession, path: str, min_bytes: int = 1 << 30, max_files: int = 10_000) -> DataFrame:
+    days = sched = None
+    for limit, d, when in rules:
+        if limit is None:
+            days, sched = days.otherwise(d), sched.otherwise(when)
+        elif days is None:
+            days, sched = F.when(n < limit, d), F.when(n < limit, when)
+        else:
+            days, sched = days.when(n < limit, d), sched.when(n < limit, when)
+    return rollup.select("*", days.alias("retain_days"), sched.alias("vacuum_schedule"))
+
+
+def partition_health(spark: SparkSession, path: str, min_bytes: int = C.PARTITION_MIN_BYTES,
+                     max_files: int = C.PARTITION_MAX_FILES) -> DataFrame:
     """Bytes and files per partition directory with sizing alerts."""
     f = data_files(spark, path).withColumn("partition", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
     g = f.groupBy("partition").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from driftwood import constants as C
 from driftwood.operators import layout as L
 
 
@@ -27,7 +28,7 @@ def batch_progress(spark: SparkSession, q: StreamingQuery) -> DataFrame:
                                        "duration_ms long")
 
 
-def batch_alerts(progress: DataFrame, max_duration_ms: int, empty_run: int = 3) -> DataFrame:
+def batch_alerts(progress: DataFrame, max_duration_ms: int, empty_run: int = C.EMPTY_BATCH_RUN) -> DataFrame:
     """Slow batch, empty batch, and ``empty_run`` empty batches in a row."""
     w = Window.orderBy("batch_id")  # progress has one row per batch (bounded)
     empty = (F.col("num_rows") == 0).cast("int")
@@ -39,7 +40,7 @@ def batch_alerts(progress: DataFrame, max_duration_ms: int, empty_run: int = 3)
         (F.coalesce(run, F.lit(0)) >= empty_run).alias("empty_streak"))
 
 
-def offset_lag(end_offsets: DataFrame, committed: DataFrame, threshold: int = 5000) -> DataFrame:
+def offset_lag(end_offsets: DataFrame, committed: DataFrame, threshold: int = C.LAG_ALERT) -> DataFrame:
     j = end_offsets.join(committed, ["topic", "partition"], "left")
     lag = F.col("end_offset") - F.coalesce(F.col("committed_offset"), F.lit(0))
     return j.select("topic", "partition", lag.alias("lag"), (lag > threshold).alias("alert"))
@@ -50,7 +51,7 @@ def lag_trend(history: DataFrame, unit: str = "minute") -> DataFrame:
         F.sum("lag").alias("total_lag"))
 
 
-def lag_stuck(history: DataFrame, minutes: int = 10, min_lag: int = 100) -> DataFrame:
+def lag_stuck(history: DataFrame, minutes: int = C.LAG_STUCK_MINUTES, min_lag: int = C.LAG_STUCK_MIN) -> DataFrame:
     """Lag that did not fall below its level of ``minutes`` ago and is above ``min_lag``."""
     w = (Window.partitionBy("topic", "partition").orderBy(F.unix_micros(F.col("check_ts").cast("timestamp")))
          .rangeBetween(-minutes * 60 * 1_000_000, 0))
@@ -59,8 +60,8 @@ def lag_stuck(history: DataFrame, minutes: int = 10, min_lag: int = 100) -> Data
                     ((F.col("lag") > min_lag) & (F.col("min_lag") >= F.col("first_lag"))).alias("stuck"))
 
 
-def heartbeat_state(last_seen: DataFrame, now, ts_col: str = "last_ts", healthy_s: int = 90,
-                    warning_s: int = 180) -> DataFrame:
+def heartbeat_state(last_seen: DataFrame, now, ts_col: str = "last_ts", healthy_s: int = C.HEARTBEAT_HEALTHY_S,
+                    warning_s: int = C.HEARTBEAT_WARNING_S) -> DataFrame:
     age = F.timestamp_diff("SECOND", F.col(ts_col), F.lit(now) if not hasattr(now, "_jc") else now)
     return last_seen.withColumn("age_seconds", age).withColumn(
         "state", F.when(F.col("age_seconds") < healthy_s, "HEALTHY").when(F.col("age_seconds") < warning_s, "WARNING")
@@ -105,7 +106,7 @@ def column_usage(qlog: DataFrame) -> DataFrame:
         "share_pct", F.round(F.col("queries") * 100.0 / total, 4))
 
 
-def drop_rate(metrics: DataFrame, limit: float = 0.01) -> DataFrame:
+def drop_rate(metrics: DataFrame, limit: float = C.DROP_RATE_ALERT) -> DataFrame:
     rate = F.col("dropped") / F.nullif(F.col("output"), F.lit(0))
     return metrics.withColumn("drop_rate", F.round(rate, 6)).withColumn("alert", F.coalesce(rate > limit, F.lit(False)))
 
@@ -123,7 +124,7 @@ def schema_drift(batches: DataFrame, json_col: str, batch_col: str) -> DataFrame
                     .when(F.col("prev_kinds") != F.col("kinds"), "retyped").otherwise("same").alias("change"))
 
 
-def skew_alert(df: DataFrame, factor: float = 5.0) -> DataFrame:
+def skew_alert(df: DataFrame, factor: float = C.SKEW_FACTOR) -> DataFrame:
     sizes = df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("rows"))
     return sizes.agg(F.max("rows").alias("max_rows"), F.percentile_approx("rows", 0.5).alias("median_rows")).withColumn(
         "skewed", F.col("max_rows") > F.col("median_rows") * factor)
@@ -140,7 +141,8 @@ def workload_summary(runs: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- advice
 
-def cluster_key_advice(qlog: DataFrame, table: DataFrame, lo: int = 10, hi: int = 100_000_000) -> DataFrame:
+def cluster_key_advice(qlog: DataFrame, table: DataFrame, lo: int = C.CLUSTER_NDV_BOUNDS[0],
+                       hi: int = C.CLUSTER_NDV_BOUNDS[1]) -> DataFrame:
     """Score = .4 frequency + .2 cardinality fit + .2 filter share + .1 spread
     + .1 join/group gain, ranked. Frequency = share of distinct queries
     touching the column; cardinality fit = 1 when ``lo <= ndv <= hi``."""
@@ -154,9 +156,11 @@ def cluster_key_advice(qlog: DataFrame, table: DataFrame, lo: int = 10, hi: int
     wide = table.agg(*[F.count_distinct(c).alias(c) for c in cols])
     nd = wide.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") AS (column_name, ndv)")
     card = F.when(F.col("ndv").between(lo, hi), 1.0).otherwise(0.0)
+    w8 = C.CLUSTER_SCORE_WEIGHTS
     s = f.join(nd, "column_name").withColumn("cardinality_score", card).withColumn(
-        "score", F.round(0.4 * F.col("frequency") + 0.2 * F.col("cardinality_score") + 0.2 * F.col("filter_share")
-                         + 0.1 * (1.0 - 1.0 / F.col("ndv")) + 0.1 * F.col("gain"), 4))
+        "score", F.round(w8["frequency"] * F.col("frequency") + w8["cardinality"] * F.col("cardinality_score")
+                         + w8["correlation"] * F.col("filter_share") + w8["skew"] * (1.0 - 1.0 / F.col("ndv"))
+                         + w8["gain"] * F.col("gain"), 4))
     w = Window.orderBy(F.desc("score"))  # one row per column
     return s.select("column_name", F.round("frequency", 4).alias("frequency"), "ndv", "cardinality_score", "score",
                     F.rank().over(w).alias("rnk"))

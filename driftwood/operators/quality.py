@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from driftwood import constants as C
+
 
 class ExpectationFailed(Exception):
     """Raised by ``expect(..., action="fail")`` before anything is published."""
@@ -83,14 +85,15 @@ def quarantine_split(df: DataFrame, rules: Mapping[str, str | Column],
 
 
 def quality_metrics(df: DataFrame, rules: Mapping[str, str | Column],
-                    alert_pct: float = 1.0) -> DataFrame:
+                    alert_pct: float = C.QUALITY_ALERT_PCT) -> DataFrame:
     """Rule metrics table with an alert flag when failures exceed ``alert_pct``."""
     return rule_counts(df, rules).withColumn(
         "alert", F.coalesce(F.col("failure_pct") > F.lit(alert_pct), F.lit(False)))
 
 
 def reconcile(source: DataFrame, target: DataFrame, key: str, recent_col: str | None = None,
-              recent_since=None, max_count_diff: int = 100, max_id_gap: int = 10) -> DataFrame:
+              recent_since=None, max_count_diff: int = C.RECONCILE_MAX_COUNT_DIFF,
+              max_id_gap: int = C.RECONCILE_MAX_ID_GAP) -> DataFrame:
     """Compare two tables: counts, max key, gap; PASS/FAIL against thresholds."""
 
     # Tag both sides and aggregate once: no pairing of rows is needed.

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwood import constants as C
 from driftwood.sources import files as FS
 from driftwood.sources.lineage import with_lineage
 
@@ -101,12 +102,12 @@ def file_inventory(spark: SparkSession, source: str, ledger: str) -> DataFrame:
         "discovered", F.col("load_id").isNotNull())
 
 
-def orphan_files(spark: SparkSession, table_dir: str, live_paths: DataFrame, retain_hours: int = 168,
+def orphan_files(spark: SparkSession, table_dir: str, live_paths: DataFrame, retain_hours: int = C.VACUUM_RETAIN_HOURS,
                  now_col=None, allow_short_retention: bool = False) -> DataFrame:
     """Files under a table directory that no live path references and that are
     older than the retention: a purge plan, nothing is deleted."""
-    if retain_hours < 168 and not allow_short_retention:
-        raise ValueError("retention under 168 hours needs allow_short_retention=True")
+    if retain_hours < C.VACUUM_RETAIN_HOURS and not allow_short_retention:
+        raise ValueError(f"retention under {C.VACUUM_RETAIN_HOURS} hours needs allow_short_retention=True")
     now = now_col if now_col is not None else F.current_timestamp()
     listing = list_files(spark, table_dir).filter(~F.col("path").contains("/_"))
     stale = listing.join(live_paths.select("path"), "path", "left_anti")
