@@ -60,9 +60,40 @@ def details(spark, sf_dir: str, times: dict) -> dict:
     for r in rows:
         d[f"zorder_{r.layout}_files_read"] = f"{r.files_read}/{r.files_total}"
         d[f"zorder_{r.layout}_bytes_read"] = int(r.bytes_read or 0)
+    d["grouped_sum_by_format"] = grouped_sum_by_format(spark, li, root)
     return d
 
 
+def grouped_sum_by_format(spark, li, root: str) -> dict:
+    """The published format comparison, at this scale: ``SELECT country,
+    SUM(amount) GROUP BY country`` over the same rows stored as CSV, JSON,
+    Parquet and ORC (seconds, median of 3, and bytes on disk)."""
+    from pyspark.sql import functions as F
+
+    from driftwood.sources.ingest import list_files
+
+    rows = li.select(F.col("l_returnflag").alias("country"), F.col("l_extendedprice").alias("amount"),
+                     "l_orderkey", "l_partkey", "l_shipdate", "l_quantity")
+    out = {}
+    for fmt in ("csv", "json", "parquet", "orc"):
+        path = f"{root}/fmt_{fmt}"
+        w = rows.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            w = w.option("header", "true")
+        w.save(path)
+        r = spark.read.format(fmt).schema(rows.schema)
+        if fmt == "csv":
+            r = r.option("header", "true")
+        samples = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            r.load(path).groupBy("country").agg(F.sum("amount").alias("total")).collect()
+            samples.append(time.perf_counter() - t0)
+        size = list_files(spark, path).agg(F.sum("size")).first()[0]
+        out[fmt] = {"sec": round(statistics.median(samples), 3), "bytes": int(size or 0)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
