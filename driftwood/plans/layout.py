@@ -83,7 +83,7 @@ def cluster_incremental(spark, d):
     return spark.read.parquet(f"{root}/clustered").withColumn("files_reclustered", F.lit(len(paths)))
 
 
-@case("cluster_rekey", check="A")
+@case("cluster_rekey", """SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem""")
 def cluster_rekey(spark, d):
     root = workdir(spark, "rekey")
     li = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
@@ -124,7 +124,7 @@ def file_skip(spark, d):
     return L.read_kept(spark, kept, "l_partkey BETWEEN 100 AND 200").select("l_orderkey", "l_linenumber")
 
 
-@case("bloom_write", check="A")
+@case("bloom_write", """SELECT * FROM orders WHERE o_custkey = 42""")
 def bloom_write(spark, d):
     root = workdir(spark, "bloom")
     (load(spark, d, "orders").write.option("parquet.bloom.filter.enabled#o_custkey", "true")
@@ -243,7 +243,9 @@ def maintenance_job(spark, d):
     return maintenance(spark, f"{root}/t", f"{root}/optimized", ["l_partkey", "l_suppkey"], strategy="clustered")
 
 
-@case("cache_reuse", check="A")
+@case("cache_reuse", """
+SELECT 'flag' AS kind, l_returnflag AS k, count(*) AS count FROM lineitem WHERE l_quantity > 10 GROUP BY 2
+UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem WHERE l_quantity > 10 GROUP BY 2""")
 def cache_reuse(spark, d):
     """A filtered input reused by two aggregates is persisted once, both
     results are written, then the cache is released."""

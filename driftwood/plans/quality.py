@@ -148,7 +148,9 @@ def file_completeness(spark, d):
     return Q.file_completeness(landed, manifest).select("file", "expected_rows", "actual_rows", "status")
 
 
-@case("dataset_runner", check="A")
+@case("dataset_runner", """
+SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders WHERE o_totalprice > 0 GROUP BY 1""")
 def dataset_runner(spark, d):
     p = D.DatasetGraph()
 

@@ -87,7 +87,7 @@ def append_merge_schema(spark, d):
     return K.read_merged(spark, root).select("o_orderkey", "o_totalprice", "o_orderpriority")
 
 
-@case("enforce_schema", check="A")
+@case("enforce_schema", """SELECT *, true AS wrong_type_refused FROM orders""")
 def enforce_schema(spark, d):
     o = load(spark, d, "orders")
     good = K.enforce_schema(o, ORDERS_SCHEMA)
@@ -110,7 +110,7 @@ def widen_type(spark, d):
     return spark.read.parquet(f"{root}/v2")
 
 
-@case("write_bucketed", check="A")
+@case("write_bucketed", """SELECT * FROM lineitem""")
 def write_bucketed(spark, d):
     root = workdir(spark, "bucketed")
     name = J.write_bucketed(load(spark, d, "lineitem"), "l_orderkey", 8, root, "lineitem")
@@ -127,7 +127,7 @@ def sink_files(spark, d):
             .option("timestampNTZFormat", fmt).json(f"{root}/out_json"))
 
 
-@case("sink_debug", check="A")
+@case("sink_debug", """SELECT event_type, count(*) AS count FROM events GROUP BY 1""")
 def sink_debug(spark, d):
     root = _events_landing(spark, d)
     s = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{root}/in")
@@ -171,7 +171,7 @@ def sink_fanout(spark, d):
     return out
 
 
-@case("sink_foreach", check="A")
+@case("sink_foreach", """SELECT count(*) AS rows_seen FROM events""")
 def sink_foreach(spark, d):
     """Row-level sink: each row handed to a writer object (prefer batch sinks)."""
     from driftwood.streaming.ops import RowCounter

@@ -296,7 +296,7 @@ def evolve_none(spark, d):
     return FS.conform(df, KNOWN).select("o_orderkey", "o_orderstatus")
 
 
-@case("corrupt_files", check="A")
+@case("corrupt_files", """SELECT * FROM orders""")
 def corrupt_files(spark, d):
     root = workdir(spark, "corrupt")
     load(spark, d, "orders").write.parquet(f"{root}/t")

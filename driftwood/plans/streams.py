@@ -119,7 +119,7 @@ def mode_complete(spark, d):
     return spark.read.parquet(f"{root}/complete")
 
 
-@case("triggers", check="A")
+@case("triggers", """SELECT *, (SELECT count(*) FROM events) AS rows_after_once FROM events""")
 def triggers(spark, d):
     root, s = _stream(spark, d)
     q = s.writeStream.format("parquet").option("path", f"{root}/out").option(
@@ -290,7 +290,12 @@ def ss_semi(spark, d):
     return _run(spark, root, j.select("view_id"))
 
 
-@case("watermark_policy", check="A")
+@case("watermark_policy", """
+WITH m AS (SELECT least((SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 10 MINUTE,
+                        (SELECT max(ts) FROM events WHERE event_type <> 'view') - INTERVAL 30 MINUTE) AS wm),
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n FROM w, m
+WHERE window_start + INTERVAL 1 HOUR <= m.wm""")
 def watermark_policy(spark, d):
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     root, s = _stream(spark, d)
@@ -334,7 +339,7 @@ def stream_chain(spark, d):
     return _run(spark, root, S.flatten_window(hourly))
 
 
-@case("backfill_live", check="A")
+@case("backfill_live", """SELECT * FROM events""")
 def backfill_live(spark, d):
     """Backfill with availableNow, then continue on the same checkpoint."""
     root, s = _stream(spark, d)
