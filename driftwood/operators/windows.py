@@ -164,22 +164,37 @@ def keyed_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
 
 
 def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
-               ascending: bool = True, dense: bool = False, partitions: int | None = None) -> DataFrame:
+               ascending: bool = True, dense: bool = False, partitions: int | None = None,
+               max_hot_groups: int = 100_000, min_hot_rows: int = 1000) -> DataFrame:
     """``rank()`` / ``dense_rank()`` per key without a per-key sort in one task.
 
     rank = smallest row number among the rows tied on ``order``; dense_rank =
-    row number of the distinct ``order`` values. The tie table is joined back
-    on (keys, order)."""
+    row number of the distinct ``order`` values. The (keys, order) -> rank
+    table is joined back null-safely. Tie groups larger than a fair share of
+    a partition are joined through a broadcast of just those groups (their
+    number is bounded), so a hot tie group never lands in one reducer.
+    """
+    cols = [*keys, *order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if dense:
-        vals = df.select(*keys, *order).distinct()
-        ranks = keyed_row_number(vals, keys, order, name, ascending, partitions)
+        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+        ranks = keyed_row_number(groups, keys, order, name, ascending, partitions)
     else:
-        numbered = keyed_row_number(df.select(*keys, *order), keys, order, "__rn", ascending, partitions)
-        ranks = numbered.groupBy(*keys, *order).agg(F.min("__rn").alias(name))
-    # order values may be NULL: null-safe match
-    out = df.join(ranks.select(*[F.col(c).alias(f"__k_{c}") for c in [*keys, *order]], name),
-                  [df[c].eqNullSafe(F.col(f"__k_{c}")) for c in [*keys, *order]])
-    return out.drop(*[f"__k_{c}" for c in [*keys, *order]])
+        numbered = keyed_row_number(df.select(*cols), keys, order, "__rn", ascending, partitions)
+        ranks = numbered.groupBy(*cols).agg(F.min("__rn").alias(name), F.count(F.lit(1)).alias("__n"))
+    fair = ranks.select(F.sum("__n") / F.lit(n)).scalar()
+    is_hot = F.col("__n") > F.greatest(fair, F.lit(float(min_hot_rows)))
+    hot = broadcast_checked(ranks.filter(is_hot).drop("__n"), max_rows=max_hot_groups, fallback=False)
+    cold = ranks.filter(~is_hot).drop("__n")
+
+    def attach(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+        t = table.select(*[F.col(c).alias(f"__k_{c}") for c in cols], *([name] if how == "inner" else []))
+        cond = [rows[c].eqNullSafe(t[f"__k_{c}"]) for c in cols]
+        return rows.join(t, cond, how).drop(*[f"__k_{c}" for c in cols])
+
+    hot_rows = attach(df, hot)
+    cold_rows = attach(attach(df, hot, "left_anti"), cold)
+    return hot_rows.unionByName(cold_rows)
 
 
 def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, lo: int, hi: int,

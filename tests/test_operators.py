@@ -351,3 +351,21 @@ def test_copy_into_default_ledger_is_hidden(spark, sf, tmp_path):
                      schema="o_orderkey BIGINT, o_totalprice DOUBLE")
     assert (tmp_path / "t" / "_ledger").exists()
     assert spark.read.parquet(str(tmp_path / "t")).count() == load(spark, sf, "orders").count()
+
+
+def test_keyed_rank_with_a_hot_tie_group(spark, sf):
+    from pyspark.sql import Window
+
+    e = load(spark, sf, "events").select("event_id", "user_id", "value")
+    # one (user, value) tie group holds a third of the rows
+    hot = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))) \
+        .withColumn("value", F.when(F.col("event_id") % 3 == 0, F.lit(1.0)).otherwise(F.col("value")))
+    w = Window.partitionBy("user_id").orderBy(F.desc("value"))
+    ref = hot.select("event_id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    r = W.keyed_rank(hot, ["user_id"], ["value"], "r", ascending=False, min_hot_rows=10)
+    d = W.keyed_rank(hot, ["user_id"], ["value"], "d", ascending=False, dense=True, min_hot_rows=10)
+    assert "BroadcastHashJoin" in plan(r)
+    r, d = r.select("event_id", "r"), d.select("event_id", "d")
+    mine = r.join(d, "event_id")
+    assert mine.count() == hot.count()
+    assert mine.exceptAll(ref).count() == 0
