@@ -25,27 +25,31 @@ from pyspark.sql import functions as F
 from driftwood.operators.joins import broadcast_checked
 
 
-def _chunk_of(df: DataFrame, col: str, chunks: int, ascending: bool = True) -> Column:
-    """Deterministic chunk index in [0, chunks) from the value of ``col``: the
-    quantile edges of the column (a bounded list of chunks - 1 values, fetched
-    once) and a binary search in column algebra. Unlike a partition id, it is
-    the same every time the plan is evaluated, so separately computed parts of
-    a plan agree on it."""
+def _with_chunk(df: DataFrame, col: str, chunks: int, ascending: bool = True,
+                name: str = "__chunk") -> DataFrame:
+    """Adds a deterministic chunk index in [0, chunks) from the value of
+    ``col``: the quantile edges of the column (a bounded list of chunks - 1
+    values, fetched once) and a binary search in column algebra, one
+    projection per step so the expression never nests. Unlike a partition
+    id, it is the same every time the plan is evaluated, so separately
+    computed parts of a plan agree on it."""
     bits = max(1, (chunks - 1).bit_length())
     n = 1 << bits
-    dt = df.schema[col].dataType.typeName()
-    if dt not in ("byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp",
-                  "timestamp_ntz"):
-        return F.lit(0)
+    dt = df.schema[col].dataType
+    if dt.typeName() not in ("byte", "short", "integer", "long", "float", "double", "decimal", "date",
+                             "timestamp", "timestamp_ntz"):
+        return df.withColumn(name, F.lit(0))
     edges = df.agg(F.percentile_approx(col, [i / n for i in range(1, n)], 10000).alias("e")).first()["e"] or []
     if not edges:
-        return F.lit(0)
-    arr = F.array(*[F.lit(v) for v in edges]).cast(f"array<{df.schema[col].dataType.simpleString()}>")
-    pos = F.lit(0)
+        return df.withColumn(name, F.lit(0))
+    arr = F.array(*[F.lit(v) for v in edges]).cast(f"array<{dt.simpleString()}>")
+    out = df.withColumn(name, F.lit(0))
     for level in range(bits - 1, -1, -1):
-        probe = pos + F.lit(1 << level)
-        pos = F.when(F.col(col) > F.element_at(arr, probe), probe).otherwise(pos)
-    return pos if ascending else F.lit(n - 1) - pos
+        probe = F.col(name) + F.lit(1 << level)
+        out = out.withColumn(name, F.when(F.col(col) > F.element_at(arr, probe), probe).otherwise(F.col(name)))
+    if not ascending:
+        out = out.withColumn(name, F.lit(n - 1) - F.col(name))
+    return out
 
 
 def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
@@ -55,7 +59,7 @@ def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     (and ``__total``, the key's row count, when ``with_total``)."""
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ords = _orders(order, ascending)
-    c = df.withColumn("__chunk", _chunk_of(df, order[0], n, ascending))
+    c = _with_chunk(df, order[0], n, ascending)
     local = Window.partitionBy(*keys, "__chunk").orderBy(*ords)
     numbered = c.withColumn("__local", F.row_number().over(local))
     counts = c.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
