@@ -165,12 +165,13 @@ def hilbert_value(df: DataFrame, cols: Sequence[str], bits: int, out: str = "__h
         q >>= 1
     for i in range(1, n):
         df = df.withColumn(X[i], F.col(X[i]).bitwiseXOR(F.col(X[i - 1])))
-    t = _lit(0)
+    df = df.withColumn("__t", _lit(0))
     q = M
-    while q > 1:
-        t = F.when(F.col(X[n - 1]).bitwiseAND(_lit(q)) != 0, t.bitwiseXOR(_lit(q - 1))).otherwise(t)
+    while q > 1:  # one projection per step: the running value is never duplicated
+        df = df.withColumn("__t", F.when(F.col(X[n - 1]).bitwiseAND(_lit(q)) != 0,
+                                         F.col("__t").bitwiseXOR(_lit(q - 1))).otherwise(F.col("__t")))
         q >>= 1
-    df = df.withColumn("__t", t).withColumns({x: F.col(x).bitwiseXOR(F.col("__t")) for x in X})
+    df = df.withColumns({x: F.col(x).bitwiseXOR(F.col("__t")) for x in X})
     h = _lit(0)
     for b in range(bits - 1, -1, -1):
         for i in range(n):
