@@ -17,7 +17,30 @@ from pyspark.sql.streaming import StreamingQuery
 def run_available_now(stream: DataFrame, sink: str | None, checkpoint: str, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      query_name: str | None = None, timeout_s: int = 600, **options) -> StreamingQuery:
+                      query_name: str | None = None, timeout_s: int = 600, state_partitions: int | None = 0,
+                      **options) -> StreamingQuery:
+    """Start ``stream`` with ``trigger(availableNow=True)`` and wait for it.
+
+    ``state_partitions`` fixes the number of shuffle/state partitions of a new
+    checkpoint (Spark stores it with the checkpoint on the first batch):
+    ``0`` (default) means the cluster's default parallelism, ``None`` keeps
+    the session value. The session value is restored when the query ends.
+    """
+    spark = stream.sparkSession
+    prev = None
+    if state_partitions is not None:
+        prev = spark.conf.get("spark.sql.shuffle.partitions")
+        n = state_partitions or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return _run(stream, sink, checkpoint, fmt, output_mode, partition_by, foreach_batch, query_name,
+                    timeout_s, **options)
+    finally:
+        if prev is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def _run(stream, sink, checkpoint, fmt, output_mode, partition_by, foreach_batch, query_name, timeout_s, **options):
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
