@@ -9,7 +9,6 @@ every report is a DataFrame. Streaming progress comes from
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -205,8 +204,4 @@ def compare_layouts(spark: SparkSession, before: str, after: str, col: str,
                          F.sum(F.when(F.col("kept"), F.col("size"))).alias("bytes_read")).select(
                 F.lit(name).alias("layout"), F.lit(f"{lo}-{hi}").alias("range"), "*")
             out = r if out is None else out.unionByName(r)
-    return out
-
-
-def progress_json(q: StreamingQuery) -> str:
-    return json.dumps(q.recentProgress)
+    return out
\ No newline at end of file

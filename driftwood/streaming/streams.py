@@ -109,12 +109,6 @@ def running_state(stream: DataFrame, key: str = "user_id", watermark: str = "10
                                     GroupStateTimeout.EventTimeTimeout))
 
 
-def split_late(batch: DataFrame, ts: str, bound) -> tuple[DataFrame, DataFrame]:
-    """(on time, late) split of a micro-batch against an event-time bound."""
-    late = F.col(ts) < F.lit(bound)
-    return batch.filter(~late), batch.filter(late)
-
-
 # ------------------------------------------------------------------ typed state (transformWithState)
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

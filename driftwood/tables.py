@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -15,8 +14,3 @@ def path(sf_dir: str, name: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path(sf_dir, name))
-
-
-def events_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` as TIMESTAMP (session zone UTC): watermarks refuse NTZ."""
-    return load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

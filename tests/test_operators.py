@@ -369,3 +369,36 @@ def test_keyed_rank_with_a_hot_tie_group(spark, sf):
     mine = r.join(d, "event_id")
     assert mine.count() == hot.count()
     assert mine.exceptAll(ref).count() == 0
+
+
+def test_schema_persisted_as_json_and_hints(spark, sf, tmp_path):
+    from driftwood.sources import files as FS
+
+    load(spark, sf, "orders").write.json(str(tmp_path / "j"))
+    inferred = FS.infer_schema(spark, "json", str(tmp_path / "j"))
+    assert {f.dataType.simpleString() for f in inferred.fields} == {"string"}
+    restored = FS.load_schema(FS.save_schema(inferred))
+    assert restored == inferred
+    hinted = FS.apply_hints(restored, "o_orderkey BIGINT, o_totalprice DECIMAL(10,2)")
+    assert hinted["o_totalprice"].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_load_history_and_pushed_filters(spark, sf, tmp_path):
+    from driftwood.plans.inspect import join_strategies, pushed_filters, shuffle_count
+    from driftwood.sources import ingest
+
+    load(spark, sf, "orders").write.json(str(tmp_path / "in"))
+    ingest.copy_into(spark, str(tmp_path / "in"), "json", str(tmp_path / "t"), schema="o_orderkey BIGINT")
+    hist = ingest.load_history(spark, str(tmp_path / "t" / "_ledger")).collect()
+    assert len(hist) == 1 and hist[0].num_files >= 1
+    df = load(spark, sf, "orders").filter("o_totalprice > 1000").groupBy("o_orderstatus").count()
+    assert any("GreaterThan(o_totalprice,1000.0)" in p for p in pushed_filters(df))
+    assert shuffle_count(df) == 1 and join_strategies(df) == []
+
+
+def test_sizing_conf():
+    from driftwood.session import sizing_conf
+
+    c = sizing_conf(20 * 2**40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == "40960"
+    assert sizing_conf(1 << 20, 100)["spark.sql.shuffle.partitions"] == "300"
