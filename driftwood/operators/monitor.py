@@ -204,4 +204,4 @@ def compare_layouts(spark: SparkSession, before: str, after: str, col: str,
                          F.sum(F.when(F.col("kept"), F.col("size"))).alias("bytes_read")).select(
                 F.lit(name).alias("layout"), F.lit(f"{lo}-{hi}").alias("range"), "*")
             out = r if out is None else out.unionByName(r)
-    return out
\ No newline at end of file
+    return out
