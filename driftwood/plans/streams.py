@@ -269,15 +269,21 @@ def ss_left(spark, d):
     return _run(spark, root, j.select("view_id", "click_id"))
 
 
-@case("ss_full", VC_SQL + SS_WM + """ SELECT * FROM pairs UNION ALL SELECT * FROM lonely_views
-UNION ALL SELECT * FROM lonely_clicks""")
+@case("ss_full", VC_SQL + SS_WM + """
+SELECT 'full' AS kind, * FROM pairs UNION ALL SELECT 'full', * FROM lonely_views
+UNION ALL SELECT 'full', * FROM lonely_clicks
+UNION ALL SELECT 'right', * FROM pairs UNION ALL SELECT 'right', * FROM lonely_clicks""")
 def ss_full(spark, d):
-    """Full outer: unmatched views and unmatched clicks are emitted with NULLs
-    once the watermark shows no partner can still arrive."""
+    """Right and full outer: unmatched clicks (and, for full, unmatched views)
+    are emitted with NULLs once the watermark shows no partner can still arrive."""
     root, s = _stream(spark, d)
     v, c = _views_clicks(s)
+    r = S.stream_stream_join(v, c, "v_user", "c_user", "view_ts", "click_ts", "1 hour", how="rightOuter")
+    run_available_now(r.select(F.lit("right").alias("kind"), "view_id", "click_id"), f"{root}/right",
+                      f"{root}/_ckpt_right")
     f = S.stream_stream_join(v, c, "v_user", "c_user", "view_ts", "click_ts", "1 hour", how="fullOuter")
-    return _run(spark, root, f.select("view_id", "click_id"))
+    full = _run(spark, root, f.select(F.lit("full").alias("kind"), "view_id", "click_id"))
+    return full.unionByName(read_sink(spark, f"{root}/right"))
 
 
 @case("ss_semi", VC_SQL + """
