@@ -275,9 +275,10 @@ def table_stats_rollup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stale_stats(spark: SparkSession, table: str, threshold_pct: float = 20.0) -> DataFrame:
-    """Rows now vs rows recorded by the last ANALYZE; stale above the threshold."""
+    """Rows now vs rows recorded by the last ANALYZE; stale above the threshold,
+    or when the statistics are gone (a write without auto-update drops them)."""
     stat = spark.sql(f"DESCRIBE EXTENDED {table}").filter(F.col("col_name") == "Statistics").select(
-        F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("analyzed_rows"))
+        F.max(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long")).alias("analyzed_rows"))
     now = spark.table(table).select(F.count(F.lit(1))).scalar()
     return stat.select("analyzed_rows", now.alias("current_rows")).withColumn(
         "stale", F.coalesce(F.abs(F.col("current_rows") - F.col("analyzed_rows")) * 100.0

@@ -402,3 +402,55 @@ def test_sizing_conf():
     c = sizing_conf(20 * 2**40, 8000)
     assert c["spark.sql.shuffle.partitions"] == "40960"
     assert sizing_conf(1 << 20, 100)["spark.sql.shuffle.partitions"] == "300"
+
+
+# ------------------------------------------------------------------ assertions per A-checked case
+
+def _rows(df):
+    return df.collect()
+
+
+A_CHECKS = {
+    "sample": lambda df, n: 0.05 * n["lineitem"] < df.count() < 0.15 * n["lineitem"],
+    "agg_approx_distinct": lambda df, n: all(abs(r.approx_parts - r.exact_parts) <= 0.1 * r.exact_parts
+                                             for r in _rows(df)),
+    "table_summary": lambda df, n: {r.summary for r in _rows(df)} >= {"count", "mean", "min", "max"},
+    "equi_height_histogram": lambda df, n: df.agg(F.sum("height")).first()[0] == n["lineitem"]
+    and df.count() <= 10,
+    "partition_sizes": lambda df, n: df.agg(F.sum("rows")).first()[0] == n["lineitem"],
+    "provenance": lambda df, n: all(r.file_path.endswith("orders.parquet") for r in df.limit(5).collect()),
+    "rand": lambda df, n: df.filter("salt < 0 OR salt > 9").count() == 0,
+    "scan_binary": lambda df, n: df.count() == 14 and df.filter("length <> content_len").count() == 0,
+    "backfill_window": lambda df, n: 0 < df.count() < n["events"],
+    "rate_limit": lambda df, n: df.count() == n["events"] and df.first().n_batches >= 2,
+    "infer_schema": lambda df, n: {r.as_string for r in _rows(df)} == {"string"}
+    and "bigint" in {r.typed for r in _rows(df)},
+    "evolve_fail": lambda df, n: df.first().status.startswith("refused"),
+    "file_inventory": lambda df, n: df.filter("NOT discovered").count() == 0,
+    "file_policy": lambda df, n: df.filter("event_type <> 'click'").count() == 0,
+    "copy_report": lambda df, n: sorted(r.num_inserted_rows for r in _rows(df)) == [0, n["orders"]],
+    "late_drop": lambda df, n: df.first().rows_dropped > 0,
+    "expect_fail": lambda df, n: df.first().status.startswith("failed"),
+    "json_schema": lambda df, n: df.first().schema == "STRUCT<k: BIGINT>",
+    "compact": lambda df, n: df.first().files_after < df.first().files_before,
+    "sized_write": lambda df, n: df.first().num_files >= n["lineitem"] // 5000,
+    "auto_compact": lambda df, n: df.first().files_written >= 1,
+    "cluster_incremental": lambda df, n: df.first().files_reclustered >= 1,
+    "stats_stale": lambda df, n: df.first().stale,
+    "orphan_report": lambda df, n: df.count() == 4,
+    "retention_advice": lambda df, n: (df.first().retain_days, df.first().vacuum_schedule) == (14, "bi-weekly"),
+    "partition_health": lambda df, n: df.count() == 3,
+    "maintenance_job": lambda df, n: {r.step for r in _rows(df)} == {"before", "after"},
+    "layout_compare": lambda df, n: all(r.files_read <= r.files_total for r in _rows(df)),
+    "batch_progress": lambda df, n: df.agg(F.sum("num_rows")).first()[0] == n["events"],
+    "schema_drift": lambda df, n: any(r.k == "channel" and r.change == "new" for r in _rows(df)),
+    "skew_alert": lambda df, n: df.count() == 1,
+    "workload_summary": lambda df, n: {r.variant for r in _rows(df)} == {"before", "after"},
+    "live_vs_stream": lambda df, n: df.count() == 0,
+}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in A_CHECKS if k in A_KEYS or k in load_all()))
+def test_assertion_case_semantics(spark, sf, key):
+    n = {t: load(spark, sf, t).count() for t in ("lineitem", "orders", "events")}
+    assert A_CHECKS[key](queries()[key](spark, sf), n)
