@@ -73,7 +73,8 @@ def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     if not keys:
         offsets = F.broadcast(offsets)  # one row per chunk
     out = numbered.join(offsets, [*keys, "__chunk"])
-    return out.withColumn("__rn", (F.col("__off") + F.col("__local")).cast("int")).drop("__chunk", "__local", "__off")
+    # bigint: a key (or a global order) can hold more than 2^31 rows at scale
+    return out.withColumn("__rn", (F.col("__off") + F.col("__local")).cast("long")).drop("__chunk", "__local", "__off")
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",

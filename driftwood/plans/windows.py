@@ -11,7 +11,7 @@ from driftwood.tables import load
 
 @case("win_row_number", """
 SELECT o_orderkey, o_custkey,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rn
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
 FROM orders""")
 def win_row_number(spark, d):
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -20,7 +20,7 @@ def win_row_number(spark, d):
 
 
 @case("win_rank", """
-SELECT c_custkey, c_nationkey, CAST(rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS INT) AS rnk
+SELECT c_custkey, c_nationkey, rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS rnk
 FROM customer""")
 def win_rank(spark, d):
     c = load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -29,7 +29,7 @@ def win_rank(spark, d):
 
 
 @case("win_dense_rank", """
-SELECT c_custkey, CAST(dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS INT) AS drnk
+SELECT c_custkey, dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC) AS drnk
 FROM customer""")
 def win_dense_rank(spark, d):
     c = load(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
