@@ -323,13 +323,16 @@ def state_groups(spark, d):
                        F.col("last_ts").cast("timestamp_ntz").alias("last_ts"))
 
 
-@case("state_typed", "SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS event_types FROM events GROUP BY 1")
+@case("state_typed", """
+SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS event_types, least(count(*), 5) AS recent
+FROM events GROUP BY 1""")
 def state_typed(spark, d):
     root, s = _stream(spark, d)
     run_available_now(S.typed_state(s), None, f"{root}/_ckpt", output_mode="update",
                       foreach_batch=lambda b, i: ops.write_batch(b, f"{root}/state_rows", i))
     rows = spark.read.parquet(f"{root}/state_rows")
-    return R.first_per_key(rows, ["user_id"], ["batch_id"], latest=True).select("user_id", "events", "event_types")
+    return R.first_per_key(rows, ["user_id"], ["batch_id"], latest=True).select(
+        "user_id", "events", "event_types", "recent")
 
 
 @case("stream_chain", WM + """,

@@ -113,31 +113,38 @@ def running_state(stream: DataFrame, key: str = "user_id", watermark: str = "10
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ACTIVITY_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("events", T.LongType()),
-                             T.StructField("event_types", T.LongType())])
+                             T.StructField("event_types", T.LongType()), T.StructField("recent", T.LongType())])
+RECENT_EVENTS = 5
 
 
 def _activity_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class UserActivity(StatefulProcessor):
-        """Typed state per key: a value state (event count) and a map state
-        (count per event type); emits the key's running totals each batch."""
+        """Typed state per key: a value state (event count), a map state
+        (count per event type) and a list state (the last RECENT_EVENTS event
+        ids, bounded); emits the key's running totals each batch."""
 
         def init(self, handle) -> None:
             self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
             self.types = handle.getMapState("types", T.StructType([T.StructField("t", T.StringType())]),
                                             T.StructType([T.StructField("c", T.LongType())]))
+            self.recent = handle.getListState("recent", T.StructType([T.StructField("id", T.LongType())]))
 
         def handleInputRows(self, key, rows, timerValues):
             n = self.count.get()[0] if self.count.exists() else 0
+            recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
             for pdf in rows:
                 n += len(pdf)
                 for t, c in pdf["event_type"].value_counts().items():
                     prev = self.types.getValue((t,))[0] if self.types.containsKey((t,)) else 0
                     self.types.updateValue((t,), (prev + int(c),))
+                recent = (recent + [int(x) for x in pdf["event_id"]])[-RECENT_EVENTS:]
             self.count.update((n,))
+            self.recent.put([(x,) for x in recent])
             n_types = sum(1 for _ in self.types.keys())
-            yield pd.DataFrame({"user_id": [key[0]], "events": [n], "event_types": [n_types]})
+            yield pd.DataFrame({"user_id": [key[0]], "events": [n], "event_types": [n_types],
+                                "recent": [len(recent)]})
 
         def close(self) -> None:
             pass
@@ -148,5 +155,5 @@ def _activity_processor():
 def typed_state(stream: DataFrame, key: str = "user_id") -> DataFrame:
     """``transformWithStateInPandas`` with value and map state (RocksDB store)."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return stream.select(key, "event_type").groupBy(key).transformWithStateInPandas(
+    return stream.select(key, "event_id", "event_type").groupBy(key).transformWithStateInPandas(
         _activity_processor(), ACTIVITY_OUT, "Update", "None")
