@@ -473,10 +473,16 @@ def agg_stats(spark, d):
 
 
 @case("agg_collect", """
-SELECT conv_id, array_to_string(list_sort(list(role)), ',') AS roles FROM conversations GROUP BY conv_id""")
+WITH c AS (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY 1, 2)
+SELECT conv_id, string_agg(role || ':' || CAST(n AS VARCHAR), ',' ORDER BY role) AS roles FROM c GROUP BY conv_id""")
 def agg_collect(spark, d):
-    return T(spark, d, "conversations").groupBy("conv_id").agg(
-        F.array_join(F.sort_array(F.collect_list("role")), ",").alias("roles"))
+    """``collect_list(role)`` per conversation, kept bounded: the list is
+    collected as (value, count) pairs after a first aggregation, so a huge
+    group contributes one entry per distinct value instead of one per row."""
+    c = T(spark, d, "conversations").groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.sort_array(F.collect_list(F.struct("role", "n")))
+    return c.groupBy("conv_id").agg(F.array_join(F.transform(
+        pairs, lambda p: F.concat(p["role"], F.lit(":"), p["n"].cast("string"))), ",").alias("roles"))
 
 
 @case("agg_first_last", """
