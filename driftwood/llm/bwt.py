@@ -6,36 +6,45 @@ import numpy as np
 
 from driftwood.llm.text import ranges
 
-#: symbols in a first sort key, bits of a rank in a key of three ranks
-FIRST, RANK_BITS = 7, 21
+#: bits of a rank in a sort key of three ranks
+RANK_BITS = 21
+#: intervals above this size are extended by searching each byte's places
+LARGE = 8192
 
 
 def suffix_order(sym: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranks of all suffixes, and the suffixes in order. ``sym``: bytes plus 1, each string ended by a 0;
     ``stop``: for each place the place of its string's end. Ends count as different symbols, in order of place."""
     n = len(sym)
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
+    # as many symbols as a 63-bit key holds, numbered densely
+    code = np.cumsum(np.bincount(sym, minlength=257) > 0) - 1
+    bits = max(1, int(code[-1]).bit_length())
+    first_len = 62 // bits
+    wide = np.concatenate([code[sym], np.zeros(first_len, np.int64)])
+    left = stop - place  # bytes before the string's end
     key = np.zeros(n, np.int64)
-    for j in range(FIRST):
-        at = np.minimum(place + j, n - 1)
-        key = (key << 9) | np.where(place + j <= stop, sym[at], 0)
-    order = np.argsort(key, kind="stable")
+    for j in range(first_len):
+        key <<= bits
+        key |= np.where(left >= j, wide[j : j + n], 0)
+    order = np.argsort(key)
     k = key[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(first, np.diff(np.concatenate([first, [n]])))
+    size = np.diff(np.concatenate([first, [n]]))
+    rank = np.empty(n, np.int32)
+    rank[order] = np.repeat(first, size)
     ends = np.flatnonzero(sym == 0)
     rank[ends] = np.arange(len(ends))
-    open_ = order[len(ends):]
-    size = np.diff(np.concatenate([first, [n]]))
-    open_ = open_[np.repeat(size, size)[len(ends):] > 1]
-    h, three = FIRST, n < 1 << RANK_BITS
+    open_ = order[np.repeat(size > 1, size)].astype(np.int32)
+    open_ = open_[sym[open_] > 0]
+    h, three = first_len, n < 1 << RANK_BITS
     while len(open_):
-        if three:
-            key = (rank[open_] << 2 * RANK_BITS) | (rank[np.minimum(open_ + h, stop[open_])] << RANK_BITS) | rank[np.minimum(open_ + 2 * h, stop[open_])]
-        else:
-            key = (rank[open_] << 31) | rank[np.minimum(open_ + h, stop[open_])]
-        o = np.argsort(key, kind="stable")
+        end = stop[open_]
+        key = rank[open_].astype(np.int64)
+        for j in (h, 2 * h) if three else (h,):
+            key <<= RANK_BITS if three else 31
+            key |= rank[np.minimum(open_ + j, end)]
+        o = np.argsort(key)
         open_, key = open_[o], key[o]
         group = rank[open_]
         new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -46,7 +55,7 @@ def suffix_order(sym: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndar
         rank[open_] = group + np.repeat(at, size) - base
         open_ = open_[np.repeat(size, size) > 1]
         h *= 3 if three else 2
-    sa = np.empty(n, np.int64)
+    sa = np.empty(n, np.int32)
     sa[rank] = place
     return rank, sa
 
@@ -64,44 +73,49 @@ def boundaries(sym: np.ndarray, rank: np.ndarray, sa: np.ndarray, least: int) ->
     back = rank[sa - 1]
     ends = int((sym == 0).sum())
     counts = np.bincount(sym, minlength=257)
-    start = np.concatenate([[0], np.cumsum(counts)])
+    start = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     open_ = np.ones(n + 1, bool)
     open_[: ends + 1] = False
     open_[start] = False
-    # where the stretch of equal symbols that holds a place ends
-    change = np.flatnonzero(np.concatenate([before[1:] != before[:-1], [True]])) + 1
+    # where the stretch of equal symbols that holds a place ends; the places of the same symbol before and after
+    change = np.flatnonzero(np.concatenate([before[1:] != before[:-1], [True]])).astype(np.int32) + 1
     run_end = np.repeat(change, np.diff(np.concatenate([[0], change])))
-    places = {int(c): np.flatnonzero(before == c) for c in np.flatnonzero(counts) if c}
-    lb = np.concatenate([np.arange(ends), start[1:-1][counts[1:] > 0]])
-    rb = np.concatenate([np.arange(ends) + 1, start[2:][counts[1:] > 0]])
+    by = np.argsort(before, kind="stable").astype(np.int32)
+    same = before[by[1:]] == before[by[:-1]]
+    earlier, later = np.full(n, -1, np.int32), np.full(n, n, np.int32)
+    earlier[by[1:][same]] = by[:-1][same]
+    later[by[:-1][same]] = by[1:][same]
+    places = {int(c): by[start[c] : start[c + 1]] for c in np.flatnonzero(counts) if c}
+    del by, same, change
+    lb = np.concatenate([np.arange(ends, dtype=np.int32), start[1:-1][counts[1:] > 0]])
+    rb = np.concatenate([np.arange(1, ends + 1, dtype=np.int32), start[2:][counts[1:] > 0]])
     for _ in range(1, least):
         if not len(lb):
             break
         size = rb - lb
         even = run_end[lb] >= rb
-        some = even & (before[lb] > 0)
-        next_l, next_r = [back[lb[some]]], [back[rb[some] - 1] + 1]
-        mixed = ~even & (size <= 256)
-        if mixed.any():
-            length = size[mixed]
-            at = ranges(lb[mixed], length)
-            key = (np.repeat(np.arange(len(length)), length) << 9) | before[at]
-            o = np.argsort(key, kind="stable")
-            key, at = key[o], at[o]
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            head = np.flatnonzero(new)
-            tail = np.concatenate([head[1:], [len(key)]]) - 1
-            real = (key[head] & 511) > 0
-            next_l.append(back[at[head[real]]])
-            next_r.append(back[at[tail[real]]] + 1)
-        large = ~even & (size > 256)
-        if large.any():
-            a, b = lb[large], rb[large]
-            for c, p in places.items():
-                lo, hi = np.searchsorted(p, a), np.searchsorted(p, b)
-                has = hi > lo
-                next_l.append(start[c] + lo[has])
-                next_r.append(start[c] + hi[has])
+        a, b = lb[even], rb[even]
+        known = before[a] > 0
+        next_l, next_r = [back[a[known]]], [back[b[known] - 1] + 1]
+        if not even.all():
+            odd = np.flatnonzero(~even)
+            small = odd[size[odd] <= LARGE]
+            if len(small):
+                # a symbol's first and last place in its interval bound the extension; extensions are disjoint, so
+                # in order their starts and ends belong together
+                length = size[small]
+                at = ranges(lb[small], length)
+                text = before[at] > 0
+                next_l.append(np.sort(back[at[text & (earlier[at] < np.repeat(lb[small], length))]]))
+                next_r.append(np.sort(back[at[text & (later[at] >= np.repeat(rb[small], length))]]) + 1)
+            large = odd[size[odd] > LARGE]
+            if len(large):
+                a, b = lb[large], rb[large]
+                for c, p in places.items():
+                    lo, hi = np.searchsorted(p, a), np.searchsorted(p, b)
+                    has = hi > lo
+                    next_l.append((start[c] + lo[has]).astype(np.int32))
+                    next_r.append((start[c] + hi[has]).astype(np.int32))
         lb, rb = np.concatenate(next_l), np.concatenate(next_r)
         new = open_[rb]
         lb, rb = lb[new], rb[new]
@@ -113,17 +127,16 @@ def repeated(strings: list[bytes], copies: np.ndarray, least: int) -> list[np.nd
     """For each string the places where ``least`` bytes start that also start at another place of the strings.
     ``copies``: how often each string occurs (equal strings stand here once)."""
     sizes = np.array([len(s) for s in strings])
-    sym = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1
+    sym = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
     stops = np.cumsum(sizes + 1) - 1
     sym[stops] = 0
-    stop = np.repeat(stops, sizes + 1)
+    stop = np.repeat(stops.astype(np.int32), sizes + 1)
     rank, sa = suffix_order(sym, stop)
     joined = boundaries(sym, rank, sa, least)[:-1]
     del rank, sym
     group = np.cumsum(~joined) - 1
-    owner = np.repeat(np.arange(len(strings)), sizes + 1)
     long = stop[sa] - sa >= least
-    weight = np.bincount(group, np.where(long, copies[owner[sa]], 0))
+    weight = np.bincount(group, np.where(long, np.repeat(copies, sizes + 1)[sa], 0))
     hit = np.zeros(len(sa), bool)
     hit[sa[long & (weight[group] >= 2)]] = True
     return [np.flatnonzero(x) for x in np.split(hit, stops[:-1] + 1)]

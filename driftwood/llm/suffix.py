@@ -31,7 +31,7 @@ from driftwood.llm.text import U, buffer, byte_table, mix, rolling, runs, slices
 
 LENGTH, GRAM = 400, 32
 #: bytes of segments in a bucket, of different segments of one anchor, and of text handled at once
-BUCKET_BYTES, HOT_BYTES, STRETCH = 512 << 10, 1 << 20, 4 << 20
+BUCKET_BYTES, HOT_BYTES, STRETCH = 256 << 10, 1 << 20, 4 << 20
 PART = 64
 _T1, _T2 = byte_table(21), byte_table(22)
 _PLACE = U(24)
