@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.llm.store import packed, power_of_two, text_bytes, unpacked
-from driftwood.llm.text import U, buffer, byte_table, ranges, rolling, slices, span, sums, words
+from driftwood.llm.text import U, buffer, byte_table, mix, ranges, rolling, slices, span, sums, words
 
 WINDOW, BLOCK = 50, 25
 #: text bytes behind one bucket of the shuffles, and words a task gathers before it sends
-BUCKET_BYTES, CHUNK_WORDS = 32 << 20, 1 << 21
+BUCKET_BYTES, CHUNK_WORDS = 32 << 20, 1 << 20
 _T1, _T2 = byte_table(11), byte_table(12)
 _PACKED = "bucket int, kind int, ids binary, marks binary, counts binary, a binary, b binary, c binary"
 _NAMES = [x.split()[0] for x in _PACKED.split(", ")]
@@ -39,7 +39,7 @@ _EMPTY = b""
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)], names=_NAMES)
 
 
 def _by_bucket(bucket: np.ndarray, doc: np.ndarray, ids: np.ndarray, marks: np.ndarray, kind: int, columns: list[np.ndarray]) -> list[tuple]:
@@ -139,8 +139,19 @@ def _per_doc(ids: np.ndarray, marks: np.ndarray, columns: list[np.ndarray]) -> l
     return [(int(ids[s]), int(marks[s]), *(c[s:e].tobytes() for c in columns)) for s, e in zip(at, np.concatenate([at[1:], [len(ids)]]).astype(np.int64))]
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Hits of one bucket: doc_id, keys (hash keys that stand at hits) and first/last (places shared in a chunk)."""
+def _to_docs(ids: np.ndarray, marks: np.ndarray, kind: int, columns: list[np.ndarray], buckets: int) -> list[tuple]:
+    """Packed rows of entries, dealt by document: what one bucket has found for many documents is a row for each bucket of documents."""
+    order = np.lexsort((marks, ids))
+    ids, marks, columns = ids[order], marks[order], [c[order] for c in columns]
+    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])]) if len(ids) else np.empty(0, bool)
+    doc = np.cumsum(new) - 1
+    own = ids[new]
+    bucket = (mix(own.view(np.uint64)) & U(buckets - 1)).astype(np.int32)
+    return _by_bucket(bucket[doc], doc, own, marks[new], kind, columns)
+
+
+def _meet(table: pa.Table, buckets: int) -> pa.Table:
+    """Hits of one bucket, dealt by document: kind 0 hash keys that stand at hits, 1 places shared in a chunk."""
     bucket = table["bucket"][0].as_py()
     ids, _, (key,) = _entries(table, 0, [np.uint32])
     block_ids, _, (block_key,) = _entries(table, 1, [np.uint32])
@@ -160,11 +171,22 @@ def _meet(table: pa.Table) -> pa.Table:
         earlier = block_ids < most[which]
         both_ids = np.concatenate([ids[later], block_ids[earlier]])
         both = np.concatenate([key[later], block_key[earlier]]).astype(np.uint64) | (U(bucket) << U(32))
-        rows += [(i, b, _EMPTY, _EMPTY) for i, _, b in _per_doc(both_ids, np.zeros(len(both_ids), np.int64), [both])]
+        rows += _to_docs(both_ids, np.zeros(len(both_ids), np.int64), 0, [both], buckets)
     ids, _, (a, b) = _entries(table, 2, [np.uint32, np.uint32])
-    rows += [(i, _EMPTY, x, y) for i, _, x, y in _per_doc(ids, np.zeros(len(ids), np.int64), [a, b])]
-    cols = list(zip(*rows)) or [(), (), (), ()]
-    return pa.table([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["doc_id", "keys", "first", "last"])
+    rows += _to_docs(ids, np.zeros(len(ids), np.int64), 1, [a, b], buckets)
+    return pa.Table.from_batches([_rows(rows)])
+
+
+def _places(table: pa.Table) -> pa.Table:
+    """A row for each document: keys (hash keys that stand at hits), first and last (stretches of places)."""
+    found: dict[int, list[bytes]] = {}
+    ids, marks, columns = _entries(table, 0, [np.uint64])
+    for i, _, keys in _per_doc(ids, marks, columns):
+        found[i] = [keys, _EMPTY, _EMPTY]
+    ids, marks, columns = _entries(table, 1, [np.uint32, np.uint32])
+    for i, _, a, b in _per_doc(ids, marks, columns):
+        found.setdefault(i, [_EMPTY, _EMPTY, _EMPTY])[1:] = [a, b]
+    return pa.table([pa.array(found, pa.int64()), *(pa.array([v[k] for v in found.values()], pa.binary()) for k in range(3))], names=["doc_id", "keys", "first", "last"])
 
 
 def _windows(batches, buckets: int, key_buckets: int, window: int, block: int, chunk: int):
@@ -205,13 +227,13 @@ def _windows(batches, buckets: int, key_buckets: int, window: int, block: int, c
                 continue
             # a block at q may lie in the windows that start at q - (window - block) to q
             edge = np.zeros(n + 2, np.int64)
-            mine = np.frombuffer(b"".join(keys[k]), np.uint64)
+            mine = np.frombuffer(keys[k], np.uint64)
             if len(mine):
                 low, high = _key(roll[s : s + n - block + 1], key_buckets)
                 q = np.flatnonzero(np.isin(high.astype(np.uint64) | (low.astype(np.uint64) << U(32)), mine))
                 np.add.at(edge, np.maximum(q - (window - block), 0), 1)
                 np.add.at(edge, q + 1, -1)
-            a, b = (np.frombuffer(b"".join(x[k]), np.uint32).astype(np.int64) for x in (firsts, lasts))
+            a, b = (np.frombuffer(x[k], np.uint32).astype(np.int64) for x in (firsts, lasts))
             np.add.at(edge, np.maximum(np.minimum(a, n) - (window - block), 0), 1)
             np.add.at(edge, np.minimum(b, n) + 1, -1)
             q = np.flatnonzero(np.cumsum(edge[:starts]) > 0)
@@ -232,21 +254,27 @@ def _windows(batches, buckets: int, key_buckets: int, window: int, block: int, c
         yield out
 
 
-def _repeats(table: pa.Table) -> pa.Table:
-    """Places of the windows of one bucket that a smaller document has, and those found in the chunks."""
+def _repeats(table: pa.Table, buckets: int) -> pa.Table:
+    """Places of the windows of one bucket that a smaller document has, and those found in the chunks, dealt by document."""
     ids, marks, (a, b, p) = _entries(table, 0, [np.uint64, np.uint32, np.uint32])
     order = np.lexsort((ids, b, a))
     ids, marks, a, b, p = ids[order], marks[order], a[order], b[order], p[order]
     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
     later = ids > np.repeat(ids[first], np.diff(np.concatenate([first, [len(a)]])).astype(np.int64))
     more_ids, more_marks, (more,) = _entries(table, 1, [np.uint32])
-    rows = _per_doc(np.concatenate([ids[later], more_ids]), np.concatenate([marks[later], more_marks]), [np.concatenate([p[later], more])])
+    rows = _to_docs(np.concatenate([ids[later], more_ids]), np.concatenate([marks[later], more_marks]), 0, [np.concatenate([p[later], more])], buckets)
+    return pa.Table.from_batches([_rows(rows)])
+
+
+def _starts(table: pa.Table) -> pa.Table:
+    """A row for each document: ``at``, the places where its repeated windows start."""
+    rows = _per_doc(*_entries(table, 0, [np.uint32]))
     cols = list(zip(*rows)) or [(), (), ()]
     return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["doc_id", "mark", "at"])
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, bucket_bytes: int = BUCKET_BYTES, chunk: int = CHUNK_WORDS) -> DataFrame:
-    """doc_id, mark (hash of the text) and ``at`` (list of packed word numbers where repeated windows start), for documents that have any.
+    """doc_id, mark (hash of the text) and ``at`` (packed word numbers where repeated windows start), for documents that have any.
 
     ``docs``: doc_id (bigint), text.
     """
@@ -255,13 +283,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, bucket_by
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = power_of_two(max(1, text_bytes(docs) / bucket_bytes))
     sent = docs.select("doc_id", "text").mapInArrow(lambda it: _probes(it, buckets, window, block, chunk), _PACKED)
-    met = sent.groupBy("bucket").applyInArrow(_meet, "doc_id bigint, keys binary, first binary, last binary")
-    places = met.groupBy("doc_id").agg(*[F.collect_list(c).alias(c) for c in ("keys", "first", "last")])
+    met = sent.groupBy("bucket").applyInArrow(lambda t: _meet(t, buckets), _PACKED)
+    places = met.groupBy("bucket").applyInArrow(_places, "doc_id bigint, keys binary, first binary, last binary")
     texts = packed(docs, {"doc_id": F.col("doc_id"), "mark": F.xxhash64("text")})
     near = texts.join(places, "doc_id").select("doc_id", "mark", "z", "keys", "first", "last")
     windows = near.mapInArrow(lambda it: _windows(it, buckets, buckets, window, block, chunk), _PACKED)
-    found = windows.groupBy("bucket").applyInArrow(_repeats, "doc_id bigint, mark bigint, at binary")
-    return found.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at"))
+    found = windows.groupBy("bucket").applyInArrow(lambda t: _repeats(t, buckets), _PACKED)
+    return found.groupBy("bucket").applyInArrow(_starts, "doc_id bigint, mark bigint, at binary")
 
 
 RESULT = "n_words bigint, n_removed bigint, spans array<struct<first: bigint, stop: bigint>>, kept string"
@@ -279,7 +307,7 @@ def cut(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, **sizes) -> D
             out = []
             for doc_id, text, at in zip(piece.column("doc_id").to_pylist(), unpacked(piece.column("z")), piece.column("at").to_pylist()):
                 w = text.split()
-                start = np.unique(np.frombuffer(b"".join(at or []), np.uint32)).astype(np.int64)
+                start = np.unique(np.frombuffer(at or b"", np.uint32)).astype(np.int64)
                 spans = []
                 if len(start):
                     new = np.flatnonzero(np.concatenate([[True], start[1:] > start[:-1] + window]))
