@@ -68,7 +68,8 @@ def op7_blocked_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and verdict of the n-gram ratio for every document; trusted are those labelled of good quality."""
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    docs = documents(spark, sf_dir).select("doc_id", "text").join(good, "doc_id", "left")
+    # labels grow with the documents, so the join is a shuffle at every size
+    docs = documents(spark, sf_dir).select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
     d = ratio.judge(docs, F.coalesce("trusted", F.lit(False)))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
