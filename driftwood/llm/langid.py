@@ -24,6 +24,8 @@ from driftwood.llm.text import slices
 TOP = 300
 #: documents that teach a language, at most about so many (the bound of the labelled sample)
 SAMPLE = 4000
+#: text bytes counted at once: an n-gram takes some 30 times its bytes while it is sorted
+SLICE = 256 << 10
 UNKNOWN = "und"
 BLANK = 1
 _BITS = 21
@@ -42,6 +44,9 @@ class Counter:
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, n-gram, count), sorted by row and n-gram; an n-gram is its code points, 21 bits each."""
+        if len(texts) > 4096:  # row numbers and n-grams share 63 bits
+            a, b = self(texts[:4096]), self(texts[4096:])
+            return np.concatenate([a[0], b[0] + 4096]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
         low = [(t or "").lower() for t in texts]
         # a blank before and after each text; blanks in a row become one
         c = np.frombuffer(("\x01" + "\x01".join(low) + "\x01").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -102,7 +107,7 @@ def profiles(docs: DataFrame, top: int = TOP, sample: int = SAMPLE, text: str =
 
     def count(batches):
         counter = Counter()
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE):
             langs = piece.column("lang").to_pylist()
             names = sorted(set(langs))
             which = np.array([names.index(x) for x in langs], np.int64)
@@ -157,7 +162,7 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], top: int = TOP, out
         f = Predictor(given.value, top)
         return lambda piece: f(piece, text)
 
-    return annotate(docs, out, "lang string, score double", make, text)
+    return annotate(docs, out, "lang string, score double", make, text, SLICE)
 
 
 def held_out(doc_id: Column) -> Column:

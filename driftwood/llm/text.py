@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: text bytes handled at once inside a task
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: byte classes: the ASCII blanks 0x20 and 0x09-0x0D
 BLANK = np.zeros(256, bool)
