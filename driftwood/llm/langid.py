@@ -102,8 +102,12 @@ def profiles(docs: DataFrame, top: int = TOP, sample: int = SAMPLE, text: str =
     text hash falls in a share that leaves about ``sample``. What reaches the driver is ``top`` n-grams a language.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    share = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
-    taught = known.join(share, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
+    # a share for each language: as many numbers as there are languages, so a filter and no join
+    shares = {r["lang"]: min(1.0, sample / r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not shares:
+        return {}
+    share = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(shares.items()) for x in kv]), F.col("lang"))
+    taught = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
 
     def count(batches):
         counter = Counter()
