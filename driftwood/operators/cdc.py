@@ -14,6 +14,7 @@ and, where history needs neighbours (type 2), lag/lead as equi-joins on
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -194,15 +195,34 @@ def rewrite_touched_partitions(spark, path: str, partition_cols: Sequence[str],
                                rewrite) -> DataFrame:
     """Row-level change on a partitioned Parquet table: only partitions that
     hold matching rows are read, rewritten with ``rewrite(df)`` and replaced
-    by dynamic overwrite. Untouched partitions are not rewritten. (A touched
-    partition left with no rows keeps its old files: dynamic overwrite only
-    replaces partitions that receive rows.)"""
+    by dynamic overwrite; a partition left with no rows is dropped. Untouched
+    partitions are not rewritten."""
     table = spark.read.parquet(path)
-    touched = table.filter(F.expr(predicate)).select(*partition_cols).distinct()
-    part = table.join(touched, list(partition_cols), "left_semi")
-    new = rewrite(part)
-    staged = f"{path.rstrip('/')}_staged"
-    new.write.mode("overwrite").parquet(staged)  # cut lineage: we overwrite what we read
-    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-    return spark.read.parquet(path)
+    schema = table.schema
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    touched = table.filter(F.expr(predicate)).select(*partition_cols, folder.alias("__folder")).distinct()
+    keys = list(partition_cols)
+    folders = f"{path.rstrip('/')}_folders-{uuid.uuid4().hex[:12]}"
+    touched.write.parquet(folders)  # read before the files they name are replaced
+    touched = spark.read.parquet(folders)
+    new = rewrite(_on_keys(table, touched.select(*keys).distinct(), keys, "left_semi"))
+    staged = f"{path.rstrip('/')}_staged-{uuid.uuid4().hex[:12]}"
+    new.write.parquet(staged)  # cut lineage: we overwrite what we read
+    rewritten = spark.read.schema(new.schema).parquet(staged)
+    (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(path))
+    emptied = _on_keys(touched, rewritten.select(*keys).distinct(), keys, "left_anti").select("__folder").distinct()
+    conf = spark._jsc.hadoopConfiguration()
+    for r in emptied.toLocalIterator():  # one folder at a time
+        p = spark._jvm.org.apache.hadoop.fs.Path(r["__folder"])
+        p.getFileSystem(conf).delete(p, True)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``keys``, NULL equal to NULL."""
+    named = right.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r{i}"))
+    return left.join(named, cond, how)

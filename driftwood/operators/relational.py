@@ -67,7 +67,7 @@ def salted_agg(df: DataFrame, key: str, value: str, salts: int = 16) -> DataFram
     The first level spreads one hot key over ``salts`` reducers; the second
     level sees at most ``salts`` rows per key.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+    salt = F.pmod(F.xxhash64(key, value), F.lit(salts))  # only the columns at hand, so the scan stays narrow
     lvl1 = (df.withColumn("__salt", salt).groupBy(key, "__salt")
             .agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("n"), F.max(value).alias("m")))
     return lvl1.groupBy(key).agg(F.sum("s").alias("sum_value"), F.sum("n").alias("n_rows"),
@@ -145,7 +145,7 @@ def equi_height_histogram(df: DataFrame, col: str, bins: int = 10, accuracy: int
     e = edges.select("e").scalar()
     b = F.least(F.greatest(
         F.expr(f"array_position(transform(e, x -> {col} <= x), true)") - 1, F.lit(1)), F.lit(bins))
-    binned = df.select(col).withColumn("e", e).withColumn("bin", b)
+    binned = df.select(col).filter(F.col(col).isNotNull()).withColumn("e", e).withColumn("bin", b)
     return (binned.groupBy("bin").agg(
         F.count(F.lit(1)).alias("height"), F.count_distinct(col).alias("ndv"),
         F.min(col).alias("lo"), F.max(col).alias("hi")))

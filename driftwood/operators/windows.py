@@ -36,6 +36,10 @@ def _with_chunk(df: DataFrame, col: str, chunks: int, ascending: bool = True,
     bits = max(1, (chunks - 1).bit_length())
     n = 1 << bits
     dt = df.schema[col].dataType
+    if dt.typeName() == "string":
+        # the first 7 bytes as a number follow the string order
+        head = F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+        return _with_chunk(df.withColumn("__head", head), "__head", chunks, ascending, name).drop("__head")
     if dt.typeName() not in ("byte", "short", "integer", "long", "float", "double", "decimal", "date",
                              "timestamp", "timestamp_ntz"):
         return df.withColumn(name, F.lit(0))
@@ -52,6 +56,15 @@ def _with_chunk(df: DataFrame, col: str, chunks: int, ascending: bool = True,
     return out
 
 
+def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL, as a window's partitions have it."""
+    named = right.withColumnsRenamed({k: f"__j{i}" for i, k in enumerate(keys)})
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__j{i}"))
+    return left.join(named, cond, how).drop(*[f"__j{i}" for i in range(len(keys))])
+
+
 def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
                      chunks: int | None, with_total: bool = False) -> DataFrame:
     """Adds ``__rn``: the row number within ``keys`` in ``order``, computed per
@@ -72,7 +85,7 @@ def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], a
     offsets = offsets.drop("__cnt")
     if not keys:
         offsets = F.broadcast(offsets)  # one row per chunk
-    out = numbered.join(offsets, [*keys, "__chunk"])
+    out = on_keys(numbered, offsets, [*keys, "__chunk"])
     # bigint: a key (or a global order) can hold more than 2^31 rows at scale
     return out.withColumn("__rn", (F.col("__off") + F.col("__local")).cast("long")).drop("__chunk", "__local", "__off")
 
@@ -115,7 +128,7 @@ def running_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, nam
     totals = b.groupBy(key, "__b").agg(F.sum(value).alias("__tot"))
     prev = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.withColumn("__carry", F.coalesce(F.sum("__tot").over(prev), F.lit(0))).drop("__tot")
-    return (b.join(carry, [key, "__b"]).withColumn(name, F.col("__carry") + F.col("__in"))
+    return (on_keys(b, carry, [key, "__b"]).withColumn(name, F.col("__carry") + F.col("__in"))
             .drop("__b", "__in", "__carry"))
 
 
@@ -149,7 +162,8 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     Each key's rows are cut into chunks by the value of the first order
     column (quantile edges), numbered inside (key, chunk), and shifted by the
     sizes of the key's earlier chunks from a small (key, chunk) count table.
-    ``order`` should be unique within a key; keys must not be NULL.
+    ``order`` should be unique within a key. NULL keys are one key, NULL order
+    values come first, as in the plain window.
     """
     return _chunked_numbers(df, keys, order, ascending, partitions).withColumnRenamed("__rn", name)
 
@@ -157,12 +171,19 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
 def keyed_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str], offset: int = 1,
                 default=None, partitions: int | None = None) -> DataFrame:
     """``lag`` (offset > 0) or ``lead`` (offset < 0) of ``cols`` ({source: output})
-    per key, as an equi-join on (key, position): positions come from
+    per key, by grouping on (key, position): positions come from
     ``keyed_row_number``, so no key is sorted in a single task."""
     numbered = keyed_row_number(df, keys, order, "__rn", partitions=partitions)
-    src = numbered.select(*keys, (F.col("__rn") + F.lit(offset)).alias("__rn"),
-                          *[F.col(c).alias(o) for c, o in cols.items()])
-    out = numbered.join(src, [*keys, "__rn"], "left").drop("__rn")
+    # every row stands at its own position and, with the shifted columns only, at the one it shifts to:
+    # the numbering is used once, so ties cannot fall differently on the two sides
+    row = F.struct(*[F.col(c) for c in df.columns])
+    shifted = F.struct(*[F.col(c).alias(o) for c, o in cols.items()])
+    both = numbered.select(*keys, F.explode(F.array(
+        F.struct(F.col("__rn").alias("p"), row.alias("r"), F.lit(None).cast(df.select(shifted.alias("s")).schema["s"].dataType).alias("s")),
+        F.struct((F.col("__rn") + F.lit(offset)).alias("p"), F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias("r"), shifted.alias("s")))).alias("__e"))
+    met = both.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], F.col("__e.p")).agg(
+        F.first("__e.r", ignorenulls=True).alias("__r"), F.first("__e.s", ignorenulls=True).alias("__s"))
+    out = met.filter("__r IS NOT NULL").select("__r.*", *[F.col(f"__s.{o}").alias(o) for o in cols.values()])
     if default is not None:
         out = out.fillna({o: default for o in cols.values()})
     return out
@@ -213,7 +234,7 @@ def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
            .withColumn("__off", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
            .select(*keys, (F.col("__src") - F.col("__off")).alias("__rn"), "__v"))
     frame = src.groupBy(*keys, "__rn").agg(agg("__v").alias(name))
-    return numbered.join(frame, [*keys, "__rn"], "left").drop("__rn")
+    return on_keys(numbered, frame, [*keys, "__rn"], "left").drop("__rn")
 
 
 def keyed_range_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, preceding_seconds: int,
@@ -226,7 +247,7 @@ def keyed_range_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str,
 
     r = running_sum(df, key, ts, tiebreak, value, "__run", bucket_seconds)
     peers = r.groupBy(key, ts).agg(F.max_by("__run", F.col(tiebreak)).alias("__incl"))
-    r = r.join(peers, [key, ts])
+    r = on_keys(r, peers, [key, ts])
     start = F.col(ts) - F.make_dt_interval(secs=F.lit(preceding_seconds)) - F.expr("INTERVAL 0.000001 SECOND")
     left = r.withColumn("__start", start)
     right = r.select(F.col(key).alias("__rk"), F.col(ts).alias("__rts"), F.col(tiebreak).alias("__rtb"),

@@ -148,7 +148,7 @@ def sink_table(spark, d):
               f"PARTITIONED BY (dt) LOCATION '{root}/table'")
     q = (s.writeStream.option("checkpointLocation", f"{root}/_ckpt").partitionBy("dt")
          .trigger(availableNow=True).toTable(name))
-    q.awaitTermination(600)
+    q.awaitTermination()
     return spark.table(name)
 
 
@@ -180,7 +180,7 @@ def sink_foreach(spark, d):
     s = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{root}/in")
     q = (s.writeStream.foreach(RowCounter()).option("checkpointLocation", f"{root}/_ckpt")
          .trigger(availableNow=True).start())
-    q.awaitTermination(600)
+    q.awaitTermination()
     n = sum(p["numInputRows"] for p in q.recentProgress)
     return spark.createDataFrame([(n,)], "rows_seen long")
 

@@ -124,7 +124,7 @@ def triggers(spark, d):
     root, s = _stream(spark, d)
     q = s.writeStream.format("parquet").option("path", f"{root}/out").option(
         "checkpointLocation", f"{root}/_ckpt").trigger(once=True).start()
-    q.awaitTermination(600)
+    q.awaitTermination()
     first = spark.read.parquet(f"{root}/out").count()
     run_available_now(s, f"{root}/out", f"{root}/_ckpt")  # same checkpoint continues
     return read_sink(spark, f"{root}/out").withColumn("rows_after_once", F.lit(first))

@@ -3,16 +3,17 @@ inventories.
 
 A load lists the source directory with the ``binaryFile`` reader (only
 path, size and modification time are read), removes paths already in the
-ledger with a left-anti join, reads the remaining files on the executors,
-publishes them into a fresh ``load_id=`` partition of the target, and only
-then appends the paths to the ledger. A crash between the two steps leaves a
-partition the next run overwrites (same load id is derived from the file
-set), so replays never duplicate rows. Only paths and counts reach the driver.
+ledger with a left-anti join, writes the load's id and files to the intents
+beside the ledger, reads the files on the executors, publishes them into the
+``load_id=`` partition of the target, and only then appends the paths to the
+ledger. After a crash the next run first repeats the loads that have an intent
+and no ledger entry, with the same id and files, so they overwrite what the
+crash left; files that arrived since are a load of their own.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +29,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("mtime", T.TimestampType()), T.StructField("load_id", T.StringType()),
     T.StructField("loaded_at", T.TimestampType()),
 ])
+INTENT_SCHEMA = T.StructType(LEDGER_SCHEMA.fields[:3])
 
 
 def list_files(spark: SparkSession, source: str | Sequence[str], glob: str | None = None,
@@ -45,15 +47,19 @@ def list_files(spark: SparkSession, source: str | Sequence[str], glob: str | Non
     return df.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
+def _read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty if there is none yet; any other failure is raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
-    except Exception:  # no ledger yet: empty
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return _read_if_there(spark, ledger, LEDGER_SCHEMA)
 
 
-def _load_id(paths: Sequence[str]) -> str:
-    return hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+_REPORT = "load_id string, num_files long, num_affected_rows long, num_inserted_rows long"
 
 
 def copy_into(spark: SparkSession, source: str | Sequence[str], fmt: str, target: str, ledger: str | None = None,
@@ -62,30 +68,36 @@ def copy_into(spark: SparkSession, source: str | Sequence[str], fmt: str, target
     """Load files not yet loaded into ``target``; returns a one-row report
     (load_id, num_files, num_affected_rows, num_inserted_rows). A rerun with
     nothing new returns zeros, which is success. ``force`` reloads everything
-    (duplicates by design). The ledger defaults to ``target/_ledger`` (hidden
-    from readers of the target), so dropping the target drops its ledger."""
+    under a fresh id (duplicates by design, each time). The ledger defaults to
+    ``target/_ledger`` (hidden from readers of the target), so dropping the
+    target drops its ledger; loads in progress stand in ``<ledger>_intents``."""
     ledger = ledger or f"{target.rstrip('/')}/_ledger"
+    intents = f"{ledger.rstrip('/')}_intents"
+
+    def load(load_id: str) -> tuple[str, int, int]:
+        files = spark.read.schema(INTENT_SCHEMA).parquet(f"{intents}/id={load_id}")
+        paths = [r.path for r in files.select("path").toLocalIterator()]  # the reader takes a list of names
+        data = with_lineage(FS.read(spark, fmt, paths, schema, **options))
+        if transform is not None:
+            data = transform(data)
+        obs = Observation(f"copy_{load_id}")
+        data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
+        data.write.mode("overwrite").parquet(f"{target.rstrip('/')}/load_id={load_id}")
+        files.withColumns({"load_id": F.lit(load_id), "loaded_at": F.current_timestamp()}).write.mode("append").parquet(ledger)
+        return load_id, len(paths), obs.get["rows"]
+
+    ids = T.StructType([*INTENT_SCHEMA.fields, T.StructField("id", T.StringType())])
+    begun = _read_if_there(spark, intents, ids).select("id").distinct()
+    open_ = begun.join(read_ledger(spark, ledger).select(F.col("load_id").alias("id")).distinct(), "id", "left_anti")
+    done = [load(r.id) for r in open_.orderBy("id").collect()]  # interrupted loads
     listing = list_files(spark, source, glob)
     new = listing if force else listing.join(read_ledger(spark, ledger).select("path"), "path", "left_anti")
-    picked = new.collect()  # paths only: bounded by the files of one load
-    paths = [r.path for r in picked]
-    if not paths:
-        return spark.createDataFrame([("", 0, 0, 0)],
-                                     "load_id string, num_files long, num_affected_rows long, num_inserted_rows long")
-    load_id = _load_id(paths) + ("-force" if force else "")
-    data = FS.read(spark, fmt, paths, schema, **options)
-    data = with_lineage(data)
-    if transform is not None:
-        data = transform(data)
-    obs = Observation(f"copy_{load_id}")
-    data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (data.write.mode("overwrite").parquet(f"{target.rstrip('/')}/load_id={load_id}"))
-    rows = obs.get["rows"]
-    led = spark.createDataFrame([(r.path, r.size, r.mtime, load_id) for r in picked],
-                                "path string, size long, mtime timestamp, load_id string")
-    led.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(ledger)
-    return spark.createDataFrame([(load_id, len(paths), rows, rows)],
-                                 "load_id string, num_files long, num_affected_rows long, num_inserted_rows long")
+    load_id = uuid.uuid4().hex[:16]
+    if not new.isEmpty():
+        new.select("path", "size", "mtime").write.parquet(f"{intents}/id={load_id}")
+        done.append(load(load_id))
+    rows = sum(n for _, _, n in done)
+    return spark.createDataFrame([(done[-1][0] if done else "", sum(n for _, n, _ in done), rows, rows)], _REPORT)
 
 
 def load_history(spark: SparkSession, ledger: str) -> DataFrame:
@@ -109,7 +121,7 @@ def orphan_files(spark: SparkSession, table_dir: str, live_paths: DataFrame, ret
     if retain_hours < C.VACUUM_RETAIN_HOURS and not allow_short_retention:
         raise ValueError(f"retention under {C.VACUUM_RETAIN_HOURS} hours needs allow_short_retention=True")
     now = now_col if now_col is not None else F.current_timestamp()
-    listing = list_files(spark, table_dir).filter(~F.col("path").contains("/_"))
+    listing = list_files(spark, table_dir).filter(~F.regexp_extract("path", "([^/]*)$", 1).startswith("_"))
     stale = listing.join(live_paths.select("path"), "path", "left_anti")
     return stale.filter(F.col("mtime") < now - F.make_dt_interval(hours=F.lit(retain_hours)))
 

@@ -17,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 def run_available_now(stream: DataFrame, sink: str | None, checkpoint: str, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      query_name: str | None = None, timeout_s: int = 600, state_partitions: int | None = 0,
+                      query_name: str | None = None, timeout_s: float | None = None, state_partitions: int | None = 0,
                       **options) -> StreamingQuery:
-    """Start ``stream`` with ``trigger(availableNow=True)`` and wait for it.
+    """Start ``stream`` with ``trigger(availableNow=True)`` and wait until it ends,
+    however long that takes; only a caller that passes ``timeout_s`` stops it earlier.
 
     ``state_partitions`` fixes the number of shuffle/state partitions of a new
     checkpoint (Spark stores it with the checkpoint on the first batch):
@@ -53,8 +54,9 @@ def _run(stream, sink, checkpoint, fmt, output_mode, partition_by, foreach_batch
         if sink is not None and fmt not in ("memory", "console", "noop"):
             w = w.option("path", sink)
     q = w.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not finish in {timeout_s}s")
     if q.exception() is not None:
