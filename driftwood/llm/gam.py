@@ -214,14 +214,19 @@ def _features(piece: pa.RecordBatch, text: str) -> pa.Array:
     return pa.StructArray.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64()))], ["x"])
 
 
-def train(labelled: DataFrame, label: str = "label", text: str = "text", sample: int = SAMPLE) -> Model:
-    """A model learned from rows with text and a 0/1 label; of more than ``sample`` rows, from those whose text hash
-    falls in a share that leaves about ``sample``. Only their features and labels reach the driver."""
+def sampled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+    """``docs`` joined with ``labels`` (key, label); of more than ``sample`` labels, those whose key hash falls in a share that
+    leaves about ``sample``. Both sides are thinned before the join, so it moves a bounded number of labelled texts and their share of others."""
+    known = labels.filter(F.col("label").isNotNull())
+    share = min(1.0, sample / max(1, known.count()))
+    thin = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 20)) < share * (1 << 20)
+    return docs.filter(thin).join(known.filter(thin).hint("merge"), key)
+
+
+def train(labelled: DataFrame, label: str = "label", text: str = "text") -> Model:
+    """A model learned from rows with text and a 0/1 label (see ``sampled``). Only their features and labels reach the driver."""
     rows = labelled.filter(F.col(label).isNotNull()).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    n = rows.count()
-    share = min(1.0, sample / max(1, n))
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
-    got = annotate(picked, "f", "x array<double>", lambda: lambda piece: _features(piece, "text")).select("label", "f.x").toPandas()
+    got = annotate(rows, "f", "x array<double>", lambda: lambda piece: _features(piece, "text")).select("label", "f.x").toPandas()
     if got.empty:
         return Model()
     x, y = np.array(got["x"].tolist(), float), got["label"].to_numpy(float)

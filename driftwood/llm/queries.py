@@ -40,7 +40,8 @@ def op4_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from two thirds of the labels."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = gam.train(docs.filter(~langid.held_out(F.col("doc_id"))).join(labels, "doc_id"))
+    taught = ~langid.held_out(F.col("doc_id"))
+    model = gam.train(gam.sampled(docs.filter(taught), labels.filter(taught)))
     return gam.predict(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "quality.score",
                                            (F.col("quality.score") >= 0.5).cast("int").alias("predicted"))
 
