@@ -120,7 +120,8 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 7 AS o_totalprice FR
 def scd1_truncate(spark, d):
     ev = change_events(spark, d)
     o = load(spark, d, "orders")
-    trunc = _ev(o.limit(1), "t", 2.5, F.lit(None), F.lit(None).cast("string"), F.lit(None)).withColumn(
+    one = o.agg(F.max("o_orderkey").alias("o_orderkey"))  # the marker is one row, whatever the table holds
+    trunc = _ev(one, "t", 2.5, F.lit(None), F.lit(None).cast("string"), F.lit(None)).withColumn(
         "o_orderkey", F.lit(None).cast("long"))
     recreate = _ev(o.filter(F.col("o_orderkey") % 5 == 0), "c", 4, F.col("o_custkey"), F.col("o_orderstatus"),
                    F.col("o_totalprice") + 7)

@@ -162,7 +162,9 @@ def stats_stale(spark, d):
 @case("orphan_report", check="A")
 def orphan_report(spark, d):
     root = _fragmented(spark, d, files=8)
-    live = L.data_files(spark, f"{root}/t").limit(4).select("path")
+    # the files of even part number are live, the others orphans
+    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
+    live = L.data_files(spark, f"{root}/t").filter(part % 2 == 0).select("path")
     return ingest.orphan_files(spark, f"{root}/t", live, retain_hours=0, allow_short_retention=True)
 
 

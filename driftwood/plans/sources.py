@@ -286,7 +286,9 @@ def evolve_fail(spark, d):
         status = "accepted"
     except FS.NewColumnsFound as e:
         status = f"refused: {e}"
-    return spark.read.text(root).limit(1).select(F.lit(status).alias("status"))
+    lines = F.count(F.lit(1))
+    unknown = F.count_if(F.get_json_object("value", "$.channel").isNotNull())
+    return spark.read.text(root).agg(lines.alias("lines"), unknown.alias("with_new_column")).withColumn("status", F.lit(status))
 
 
 @case("evolve_none", """

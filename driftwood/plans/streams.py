@@ -162,11 +162,7 @@ def _reversed_landing(spark, d):
     cuts = ev.agg(F.percentile_approx("ts", [0.25, 0.5, 0.75], 10000)).first()[0]
     bounds = [None, *cuts, None]
     for lo, hi in reversed(list(zip(bounds[:-1], bounds[1:]))):
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col("ts") > F.lit(lo))
-        if hi is not None:
-            c = c & (F.col("ts") <= F.lit(hi))
+        c = FS.in_slice("ts", lo, hi)
         ev.filter(c).write.mode("append").parquet(f"{root}/in")
     return root
 
@@ -351,9 +347,13 @@ def stream_chain(spark, d):
 @case("backfill_live", """SELECT * FROM events""")
 def backfill_live(spark, d):
     """Backfill with availableNow, then continue on the same checkpoint."""
-    root, s = _stream(spark, d)
+    root, ev = workdir(spark, "backfill"), load(spark, d, "events")
+    cut = ev.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    history = F.coalesce(F.col("ts") <= F.lit(cut), F.lit(False))
+    ev.filter(history).write.parquet(f"{root}/in")
+    s = S.event_stream(spark, f"{root}/in", EVENTS_SCHEMA)
     run_available_now(s, f"{root}/out", f"{root}/_ckpt")
-    FS.write_slices(load(spark, d, "events").limit(0), f"{root}/in", "parquet", "ts", slices=1)
+    ev.filter(~history).write.mode("append").parquet(f"{root}/in")  # what arrives while the stream is live
     q = (s.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ckpt")
          .trigger(processingTime="1 second").start())
     q.processAllAvailable()

@@ -36,6 +36,13 @@ def read_sql_path(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
 
+def in_slice(col: str, lo, hi):
+    """``lo < col <= hi``, an absent bound being open; a null counts to the slice without a lower bound."""
+    low = F.lit(True) if lo is None else F.col(col) > F.lit(lo)
+    high = F.lit(True) if hi is None else F.col(col) <= F.lit(hi)
+    return F.coalesce(low & high, F.lit(lo is None))
+
+
 def write_slices(df: DataFrame, path: str, fmt: str, order_col: str, slices: int = 4,
                  **options) -> list:
     """Write ``df`` into ``path`` as ``slices`` successive appends cut on
@@ -46,12 +53,7 @@ def write_slices(df: DataFrame, path: str, fmt: str, order_col: str, slices: int
         .first()["c"] if slices > 1 else []
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(order_col) > F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(order_col) <= F.lit(hi))
-        df.filter(cond).write.format(fmt).options(**options).mode("append").save(path)
+        df.filter(in_slice(order_col, lo, hi)).write.format(fmt).options(**options).mode("append").save(path)
     return cuts
 
 
