@@ -138,10 +138,11 @@ def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = 10_000):
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-              right_tiebreak: str | None = None, bucket_seconds: int = 86400) -> DataFrame:
+              right_tiebreak: str | None = None, bucket_seconds: int = 86400, null_safe: bool = False) -> DataFrame:
     """For each left row, the latest right row of the same key with
     ``right_ts <= left_ts`` (NULL columns when none). Ties on ``right_ts``
-    go to the largest ``right_tiebreak``.
+    go to the largest ``right_tiebreak``. NULL times match nothing; NULL keys
+    match one another only when ``null_safe``.
 
     Skew-proof two-level plan: the carry-forward runs inside (key, time
     bucket) groups, and the value carried into a bucket comes from a small
@@ -152,6 +153,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     order = [right_ts] + ([right_tiebreak] if right_tiebreak else [])
     rpay = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__r_{c}") for c in rcols])
 
+    right = right.filter(F.col(right_ts).isNotNull())
+    if not null_safe:
+        right = right.filter(F.col(key).isNotNull())
     lb = left.withColumn("__b", _bin(left_ts, bucket_seconds))
     rb = right.withColumn("__b", _bin(right_ts, bucket_seconds))
 
@@ -170,11 +174,12 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
 
     # 2) value carried into each bucket: last right row of earlier buckets
     rlast = rb.groupBy(F.col(key).alias("__k"), "__b").agg(F.max_by(rpay, rpay).alias("__last"))
-    lkeys = lb.select(F.col(key).alias("__k"), "__b").distinct()
-    grid = lkeys.join(rlast, ["__k", "__b"], "full_outer")
+    lkeys = lb.filter("__b IS NOT NULL").select(F.col(key).alias("__k"), "__b").distinct()
+    grid = (rlast.unionByName(lkeys.withColumn("__last", F.lit(None).cast(rlast.schema["__last"].dataType)))
+            .groupBy("__k", "__b").agg(F.first("__last", ignorenulls=True).alias("__last")))
     wc = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = grid.withColumn("__carry", F.last("__last", ignorenulls=True).over(wc)).select("__k", "__b", "__carry")
+    carry = grid.select(F.col("__k").alias("__ck"), F.col("__b").alias("__cb"), F.last("__last", ignorenulls=True).over(wc).alias("__carry"))
 
-    out = lres.join(carry, ["__k", "__b"], "left")
+    out = lres.join(carry, F.col("__k").eqNullSafe(F.col("__ck")) & (F.col("__b") == F.col("__cb")), "left")
     best = F.coalesce(F.col("__in"), F.col("__carry"))
     return out.select("__l.*", *[best[f"__r_{c}"].alias(c) for c in rcols])

@@ -5,14 +5,13 @@ Spark evaluates ``f() OVER (PARTITION BY k ORDER BY t)`` by clustering each
 ``k`` into one task, and ``OVER (ORDER BY t)`` with no partition in a single
 task. The helpers below compute the same values with bounded work per task:
 
-* ``global_row_number`` / ``global_ntile`` / ``keyed_row_number``: rows are
-  numbered inside value chunks of the first order column (quantile edges),
-  then shifted by the sizes of earlier chunks from a small count table;
+* ``global_row_number`` / ``global_ntile`` / ``keyed_row_number``: one range shuffle by
+  (keys, order), written once; rows are numbered inside their range partition and
+  shifted by the sizes of the key's earlier ones from a small count table;
   ``keyed_shift`` (lag/lead) and ``keyed_rank`` build on it with equi-joins.
-* ``running_sum``: prefix sums inside (key, time bucket) plus the carried total
-  of earlier buckets from a per-(key, bucket) table.
-* ``partition_agg``: aggregate per key (map-side partial) joined back; the
-  per-key table is broadcast only when its size is proven small.
+* ``running_sum``: prefix sums inside (key, range partition) plus the carried total
+  of the key's earlier partitions.
+* ``partition_agg``: aggregate per key (map-side partial) joined back.
 """
 
 from __future__ import annotations
@@ -22,38 +21,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwood.operators.joins import broadcast_checked
-
-
-def _with_chunk(df: DataFrame, col: str, chunks: int, ascending: bool = True,
-                name: str = "__chunk") -> DataFrame:
-    """Adds a deterministic chunk index in [0, chunks) from the value of
-    ``col``: the quantile edges of the column (a bounded list of chunks - 1
-    values, fetched once) and a binary search in column algebra, one
-    projection per step so the expression never nests. Unlike a partition
-    id, it is the same every time the plan is evaluated, so separately
-    computed parts of a plan agree on it."""
-    bits = max(1, (chunks - 1).bit_length())
-    n = 1 << bits
-    dt = df.schema[col].dataType
-    if dt.typeName() == "string":
-        # the first 7 bytes as a number follow the string order
-        head = F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
-        return _with_chunk(df.withColumn("__head", head), "__head", chunks, ascending, name).drop("__head")
-    if dt.typeName() not in ("byte", "short", "integer", "long", "float", "double", "decimal", "date",
-                             "timestamp", "timestamp_ntz"):
-        return df.withColumn(name, F.lit(0))
-    edges = df.agg(F.percentile_approx(col, [i / n for i in range(1, n)], 10000).alias("e")).first()["e"] or []
-    if not edges:
-        return df.withColumn(name, F.lit(0))
-    arr = F.array(*[F.lit(v) for v in edges]).cast(f"array<{dt.simpleString()}>")
-    out = df.withColumn(name, F.lit(0))
-    for level in range(bits - 1, -1, -1):
-        probe = F.col(name) + F.lit(1 << level)
-        out = out.withColumn(name, F.when(F.col(col) > F.element_at(arr, probe), probe).otherwise(F.col(name)))
-    if not ascending:
-        out = out.withColumn(name, F.lit(n - 1) - F.col(name))
-    return out
+from driftwood.session import stored
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool, partitions: int | None) -> DataFrame:
+    """``df`` in (keys, order) order over range partitions, written once to the shared folder, with ``__part``
+    (its partition) and ``__id`` (rises by one from row to row of a partition).
+
+    One shuffle whatever the types of the columns. A hash of the row ends the order, so neither a hot key nor
+    a value tied in the whole order column is bound to one partition; what is read back never changes, so
+    parts of a plan that are computed apart agree on it.
+    """
+    hashed = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    by = [F.col(k).asc_nulls_first() for k in keys] + _orders(order, ascending) + [F.xxhash64(*hashed).asc()]
+    spread = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    rows = stored(spread.sortWithinPartitions(*by).withColumn("__id", F.monotonically_increasing_id()), "ranged")
+    return rows.withColumn("__part", F.shiftright("__id", 33))
 
 
 def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -65,44 +48,38 @@ def on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(named, cond, how).drop(*[f"__j{i}" for i in range(len(keys))])
 
 
-def _chunked_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
-                     chunks: int | None, with_total: bool = False) -> DataFrame:
-    """Adds ``__rn``: the row number within ``keys`` in ``order``, computed per
-    (keys, chunk) with chunk offsets from a small (keys, chunk) count table
-    (and ``__total``, the key's row count, when ``with_total``)."""
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ords = _orders(order, ascending)
-    c = _with_chunk(df, order[0], n, ascending)
-    local = Window.partitionBy(*keys, "__chunk").orderBy(*ords)
-    numbered = c.withColumn("__local", F.row_number().over(local))
-    counts = c.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    part = Window.partitionBy(*keys) if keys else Window
-    before = part.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
-    if with_total:
-        offsets = offsets.withColumn("__total", F.sum("__cnt").over(
-            part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    offsets = offsets.drop("__cnt")
-    if not keys:
-        offsets = F.broadcast(offsets)  # one row per chunk
-    out = on_keys(numbered, offsets, [*keys, "__chunk"])
-    # bigint: a key (or a global order) can hold more than 2^31 rows at scale
-    return out.withColumn("__rn", (F.col("__off") + F.col("__local")).cast("long")).drop("__chunk", "__local", "__off")
+def _offsets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each (keys, partition) of ``_ranged`` rows: ``__off``, which makes ``__id`` the row number within the
+    key, and ``__total``, the key's row count. A key has at most one row a partition here."""
+    counts = rows.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__id").alias("__first"))
+    key = Window.partitionBy(*keys)
+    before = key.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    out = counts.select(*keys, "__part", (F.coalesce(F.sum("__cnt").over(before), F.lit(0)) + 1 - F.col("__first")).alias("__off"),
+                        F.sum("__cnt").over(key).alias("__total"))
+    return out if keys else F.broadcast(out)  # without keys: one row a partition
+
+
+def _numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], ascending: bool,
+             partitions: int | None, with_total: bool = False) -> DataFrame:
+    """Adds ``__rn``: the row number within ``keys`` in ``order`` (and ``__total``, the key's row count, when ``with_total``)."""
+    rows = _ranged(df, keys, order, ascending, partitions)
+    out = on_keys(rows, _offsets(rows, keys), [*keys, "__part"]).withColumn("__rn", F.col("__id") + F.col("__off"))
+    return out.drop("__id", "__part", "__off", *([] if with_total else ["__total"]))
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
                       partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` without a single-task window:
-    rows are numbered inside value chunks of the first order column and
-    shifted by the sizes of earlier chunks. ``order`` must be unique."""
-    return _chunked_numbers(df, [], order, True, partitions).withColumnRenamed("__rn", name)
+    rows are numbered inside range partitions and shifted by the sizes of earlier
+    ones. Ties in ``order`` fall by a hash of the row."""
+    return _numbers(df, [], order, True, partitions).withColumnRenamed("__rn", name)
 
 
 def global_ntile(df: DataFrame, buckets: int, order: Sequence[str], name: str = "ntile") -> DataFrame:
     """``ntile(buckets) OVER (ORDER BY order)`` with the standard bucket sizes:
     the first ``N % buckets`` buckets hold one extra row. ``N`` comes from the
-    per-chunk count table, so the input is not scanned again for it."""
-    numbered = _chunked_numbers(df, [], order, True, None, with_total=True)
+    per-partition count table, so the input is not scanned again for it."""
+    numbered = _numbers(df, [], order, True, None, with_total=True)
     total = F.col("__total")
     base = F.floor(total / F.lit(buckets))
     rem = total - base * F.lit(buckets)
@@ -113,33 +90,27 @@ def global_ntile(df: DataFrame, buckets: int, order: Sequence[str], name: str =
     return numbered.withColumn(name, nt.cast("int")).drop("__rn", "__total")
 
 
-def _bucket(ts: str, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("long")
-
-
 def running_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, name: str = "running",
-                bucket_seconds: int = 86400) -> DataFrame:
+                partitions: int | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY ts, tiebreak ROWS UNBOUNDED
-    PRECEDING)`` computed as (prefix inside the (key, bucket) group) + (total of
-    the key's earlier buckets)."""
-    b = df.withColumn("__b", _bucket(ts, bucket_seconds))
-    inner = Window.partitionBy(key, "__b").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("__in", F.sum(value).over(inner))
-    totals = b.groupBy(key, "__b").agg(F.sum(value).alias("__tot"))
-    prev = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumn("__carry", F.coalesce(F.sum("__tot").over(prev), F.lit(0))).drop("__tot")
-    return (on_keys(b, carry, [key, "__b"]).withColumn(name, F.col("__carry") + F.col("__in"))
-            .drop("__b", "__in", "__carry"))
-
-
-def partition_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str,
-                  max_broadcast_keys: int = 1_000_000) -> DataFrame:
+    PRECEDING)`` computed as (prefix inside the (key, range partition) group) + (total of
+    the key's earlier partitions), so a hot key spreads over the partitions it fills."""
+    rows = _ranged(df, [key], [ts, tiebreak], True, partitions)
+    inner = Window.partitionBy(key, "__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("__in", F.sum(value).over(inner))
+    totals = rows.groupBy(key, "__part").agg(F.sum(value).alias("__tot"))
+    prev = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.withColumn("__carry", F.sum("__tot").over(prev)).drop("__tot")
+    both = F.coalesce(F.col("__carry") + F.col("__in"), F.col("__carry"), F.col("__in"))
+    return on_keys(summed, carry, [key, "__part"]).withColumn(name, both).drop("__id", "__part", "__in", "__carry")
+
+
+def partition_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str) -> DataFrame:
     """``agg OVER (PARTITION BY keys)`` as aggregate + join back: the aggregate
-    has a map-side partial step, and the per-key table is broadcast when
-    proven small, so a hot key never lands in one task."""
+    has a map-side partial step. The per-key table's size decides at run time whether
+    it is broadcast (the session's byte threshold); a shuffled hot key is split by AQE's skew join."""
     per_key = df.groupBy(*keys).agg(agg.alias(name)).select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], name)
-    per_key = broadcast_checked(per_key, max_rows=max_broadcast_keys)
     cond = None
     for i, k in enumerate(keys):  # null-safe: the NULL key is a group too
         c = df[k].eqNullSafe(per_key[f"__k{i}"])
@@ -159,13 +130,11 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays
     parallel when one key holds a large share of the rows.
 
-    Each key's rows are cut into chunks by the value of the first order
-    column (quantile edges), numbered inside (key, chunk), and shifted by the
-    sizes of the key's earlier chunks from a small (key, chunk) count table.
-    ``order`` should be unique within a key. NULL keys are one key, NULL order
-    values come first, as in the plain window.
+    Rows are numbered inside (key, range partition) and shifted by the sizes of
+    the key's earlier partitions. Ties in ``order`` fall by a hash of the row.
+    NULL keys are one key, NULL order values come first, as in the plain window.
     """
-    return _chunked_numbers(df, keys, order, ascending, partitions).withColumnRenamed("__rn", name)
+    return _numbers(df, keys, order, ascending, partitions).withColumnRenamed("__rn", name)
 
 
 def keyed_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str], offset: int = 1,
@@ -190,37 +159,25 @@ def keyed_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
 
 
 def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
-               ascending: bool = True, dense: bool = False, partitions: int | None = None,
-               max_hot_groups: int = 100_000, min_hot_rows: int = 1000) -> DataFrame:
+               ascending: bool = True, dense: bool = False, partitions: int | None = None) -> DataFrame:
     """``rank()`` / ``dense_rank()`` per key without a per-key sort in one task.
 
     rank = smallest row number among the rows tied on ``order``; dense_rank =
-    row number of the distinct ``order`` values. The (keys, order) -> rank
-    table is joined back null-safely. Tie groups larger than a fair share of
-    a partition are joined through a broadcast of just those groups (their
-    number is bounded), so a hot tie group never lands in one reducer.
+    row number of the distinct ``order`` values. Both are worked out on a table with one row
+    for each tie group and range partition, and joined back on these, so a hot tie group
+    stays spread over the partitions it fills.
     """
     cols = [*keys, *order]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _ranged(df, keys, order, ascending, partitions)
+    ties = rows.groupBy(*cols, "__part").agg(F.min("__id").alias("__least"))
     if dense:
-        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-        ranks = keyed_row_number(groups, keys, order, name, ascending, partitions)
+        values = keyed_row_number(ties.select(*cols).distinct(), keys, order, name, ascending, partitions)
+        ranks = on_keys(ties.drop("__least"), values, cols)
     else:
-        numbered = keyed_row_number(df.select(*cols), keys, order, "__rn", ascending, partitions)
-        ranks = numbered.groupBy(*cols).agg(F.min("__rn").alias(name), F.count(F.lit(1)).alias("__n"))
-    fair = ranks.select(F.sum("__n") / F.lit(n)).scalar()
-    is_hot = F.col("__n") > F.greatest(fair, F.lit(float(min_hot_rows)))
-    hot = broadcast_checked(ranks.filter(is_hot).drop("__n"), max_rows=max_hot_groups, fallback=False)
-    cold = ranks.filter(~is_hot).drop("__n")
-
-    def attach(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
-        t = table.select(*[F.col(c).alias(f"__k_{c}") for c in cols], *([name] if how == "inner" else []))
-        cond = [rows[c].eqNullSafe(t[f"__k_{c}"]) for c in cols]
-        return rows.join(t, cond, how).drop(*[f"__k_{c}" for c in cols])
-
-    hot_rows = attach(df, hot)
-    cold_rows = attach(attach(df, hot, "left_anti"), cold)
-    return hot_rows.unionByName(cold_rows)
+        numbered = on_keys(ties, _offsets(rows, keys).drop("__total"), [*keys, "__part"])
+        least = F.min(F.col("__least") + F.col("__off")).over(Window.partitionBy(*cols))
+        ranks = numbered.withColumn(name, least).drop("__least", "__off")
+    return on_keys(rows, ranks, [*cols, "__part"]).drop("__id", "__part")
 
 
 def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, lo: int, hi: int,
@@ -238,20 +195,25 @@ def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
 
 
 def keyed_range_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, preceding_seconds: int,
-                    name: str = "range_sum", bucket_seconds: int = 86400) -> DataFrame:
+                    name: str = "range_sum", bucket_seconds: int = 86400, partitions: int | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
     <preceding> PRECEDING AND CURRENT ROW)`` as a difference of prefix sums:
-    P(ts, peers included) - P(just before ts - preceding). Both prefix sums come
-    from the skew-safe ``running_sum`` and the bucketed ``asof_join``."""
+    P(ts, peers included) - P(just before ts - preceding). The prefix sums come
+    from the skew-safe ``running_sum``, the earlier one by the bucketed ``asof_join``.
+    Rows without a time are peers of one another, as in the plain window."""
     from driftwood.operators.joins import asof_join
 
-    r = running_sum(df, key, ts, tiebreak, value, "__run", bucket_seconds)
-    peers = r.groupBy(key, ts).agg(F.max_by("__run", F.col(tiebreak)).alias("__incl"))
+    r = running_sum(df, key, ts, tiebreak, value, "__run", partitions)
+    peers = r.groupBy(key, ts).agg(F.max_by("__run", F.struct(F.col(tiebreak))).alias("__incl"))
     r = on_keys(r, peers, [key, ts])
     start = F.col(ts) - F.make_dt_interval(secs=F.lit(preceding_seconds)) - F.expr("INTERVAL 0.000001 SECOND")
     left = r.withColumn("__start", start)
     right = r.select(F.col(key).alias("__rk"), F.col(ts).alias("__rts"), F.col(tiebreak).alias("__rtb"),
                      F.col("__run").alias("__before")).withColumnRenamed("__rk", key)
-    j = asof_join(left, right, key, "__start", "__rts", "__rtb", bucket_seconds)
-    return j.withColumn(name, F.col("__incl") - F.coalesce(F.col("__before"), F.lit(0.0))).drop(
-        "__run", "__incl", "__start", "__rts", "__rtb", "__before")
+    j = asof_join(left, right, key, "__start", "__rts", "__rtb", bucket_seconds, null_safe=True)
+    # the rows without a time come first in the order, but lie in no other row's range
+    undated = r.filter(F.col(ts).isNull()).groupBy(key).agg(F.max("__incl").alias("__undated"))
+    j = on_keys(j, undated, [key], "left")
+    before = F.when(F.col(ts).isNull(), F.lit(0.0)).otherwise(F.coalesce("__before", "__undated", F.lit(0.0)))
+    return j.withColumn(name, F.col("__incl") - before).drop(
+        "__run", "__incl", "__start", "__rts", "__rtb", "__before", "__undated")

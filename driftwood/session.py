@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Confs the operators assume. They are all safe to set on a shared session:
 # none changes results of queries that do not rely on them.
@@ -114,3 +114,10 @@ def shared_root(spark: SparkSession) -> str:
 def workdir(spark: SparkSession, name: str) -> str:
     """Fresh, unique directory under the shared root for one job run."""
     return os.path.join(shared_root(spark), "driftwood", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once, whatever reads it, and safe from lost executors."""
+    path = workdir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

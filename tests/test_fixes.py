@@ -19,13 +19,29 @@ def test_windows_keep_null_keys(spark):
     w = W.partitionBy("k").orderBy("o")
     assert _rows(windows.keyed_row_number(df, ["k"], ["o"], partitions=4)) == _rows(df.withColumn("rn", F.row_number().over(w).cast("long")))
     assert _rows(windows.keyed_shift(df, ["k"], ["o"], {"v": "prev"}, partitions=4)) == _rows(df.withColumn("prev", F.lag("v").over(w)))
+    assert _rows(windows.keyed_rank(df, ["k"], ["o"], partitions=4)) == _rows(df.withColumn("rank", F.rank().over(w).cast("long")))
+    assert _rows(windows.keyed_rank(df, ["k"], ["o"], dense=True, partitions=4)) == _rows(df.withColumn("rank", F.dense_rank().over(w).cast("long")))
+    assert _rows(windows.running_sum(df, "k", "o", "v", "v", partitions=4)) == _rows(df.withColumn("running", F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0))))
+    assert windows.keyed_row_number(df.limit(0), ["k"], ["o"]).count() == 0
 
 
-def test_string_order_has_several_chunks(spark):
-    df = spark.range(1000).select(F.lit(1).alias("k"), F.format_string("%05d", "id").alias("o"))
-    assert windows._with_chunk(df, "o", 8, True).select("__chunk").distinct().count() > 4
+def test_range_sum_keeps_null_keys_and_times(spark):
+    rows = [("a", 1, "2024-01-01 00:00:00", 1.0), ("a", 2, "2024-01-03 00:00:00", 2.0), ("a", 3, None, 4.0), ("a", 4, None, 8.0),
+            (None, 5, "2024-01-01 00:00:00", 16.0), (None, 6, "2024-01-01 12:00:00", 32.0), (None, 7, None, 64.0), ("b", 8, "2024-02-01 00:00:00", 128.0)]
+    df = spark.createDataFrame(rows, "k string, id int, t string, v double").withColumn("t", F.col("t").cast("timestamp"))
+    got = windows.keyed_range_sum(df, "k", "t", "id", "v", 86400, "s", partitions=4)
+    want = spark.sql("SELECT *, sum(v) OVER (PARTITION BY k ORDER BY t RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS s FROM {x}", x=df)
+    assert _rows(got.select("id", "s")) == _rows(want.select("id", "s"))
+
+
+def test_strings_and_ties_spread_over_partitions(spark):
+    df = spark.range(1000).select(F.lit(1).alias("k"), F.format_string("%05d", "id").alias("o"), F.lit(7).alias("tied"))
+    for order in ("o", "tied"):
+        assert windows._ranged(df, ["k"], [order], True, 8).select("__part").distinct().count() > 4
     got = windows.keyed_row_number(df, ["k"], ["o"], partitions=8)
     assert got.filter(F.col("rn") != F.col("o").cast("int") + 1).count() == 0
+    assert windows.keyed_row_number(df, ["k"], ["tied"], partitions=8).select("rn").distinct().count() == 1000
+    assert {r["rank"] for r in windows.keyed_rank(df, ["k"], ["tied"], partitions=8).collect()} == {1}
 
 
 def test_delete_drops_an_emptied_partition(spark):
