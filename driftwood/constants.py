@@ -43,4 +43,3 @@ COMPACT_TARGET_BYTES = 1 << 30
 AUTO_COMPACT_TARGET_BYTES = 128 << 20
 PARTITION_MIN_BYTES = 1 << 30
 PARTITION_MAX_FILES = 10_000
-FILE_STATS_MAX_COLUMNS = 32

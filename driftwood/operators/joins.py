@@ -3,7 +3,9 @@ hot-key skew joins, as-of joins, nested-loop guards."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwood import constants as C
@@ -13,54 +15,88 @@ class TooLargeToBroadcast(ValueError):
     pass
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+#: bytes a side may have (as text) to be broadcast
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def small_enough(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes; reads no more than ``max_rows`` + 1 rows."""
+    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000, fallback: bool = True) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows and MAX_BROADCAST_BYTES bytes.
 
     When the bound fails the side is returned unchanged (``fallback``) so the
     planner picks a shuffle join, or an error is raised.
     """
-    if row_count_at_most(df, max_rows):
+    if small_enough(df, max_rows):
         return F.broadcast(df)
     if fallback:
         return df
-    raise TooLargeToBroadcast(f"more than {max_rows} rows")
+    raise TooLargeToBroadcast(f"more than {max_rows} rows or {MAX_BROADCAST_BYTES} bytes")
 
 
 def cross_join_bounded(big: DataFrame, small: DataFrame, max_small_rows: int = 10_000) -> DataFrame:
-    """Cartesian product with a side proven to hold at most ``max_small_rows`` rows.
-
-    The output grows linearly with ``big``; the small side is broadcast, so
-    ``big`` is never shuffled. Unbounded products are refused.
+    """Cartesian product. A side proven to hold at most ``max_small_rows`` rows is
+    broadcast, so ``big`` is never shuffled; a larger one is paired with ``big`` partition by partition.
     """
-    small = broadcast_checked(small, max_rows=max_small_rows, fallback=False)
-    return big.crossJoin(small)
+    if small_enough(small, max_small_rows):
+        return big.crossJoin(F.broadcast(small))
+    return big.crossJoin(small.hint("shuffle_replicate_nl"))
 
 
 def _bin(ts: str, seconds: int):
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("long")
 
 
+def _levelled(points: DataFrame, x: Column, intervals: DataFrame, lo: Column, hi: Column, unit: float):
+    """Both sides with ``__pl``/``__pb`` and ``__il``/``__ib``: level and bin.
+
+    An interval lies at the level whose bins (``unit`` * 2**level wide) are at least as wide as itself, so it is
+    copied to two bins or so however long it is; a point is copied to each level in use, at most one for
+    each doubling of the length.
+    """
+    level = F.ceil(F.log2(F.greatest(hi - lo, F.lit(unit)) / F.lit(unit))).cast("int")
+    iv = intervals.withColumn("__il", level)
+    levels = sorted(r[0] for r in iv.select("__il").distinct().collect() if r[0] is not None)
+    width = F.lit(float(unit)) * F.pow(F.lit(2.0), F.col("__il"))
+    first, last = F.floor(lo / width).cast("long"), F.floor(hi / width).cast("long")
+    iv = iv.withColumn("__ib", F.explode(F.when(last >= first, F.sequence(first, last))))
+    pt = points.withColumn("__pl", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+    return pt.withColumn("__pb", F.floor(x / (F.lit(float(unit)) * F.pow(F.lit(2.0), F.col("__pl")))).cast("long")), iv
+
+
+def band_join(points: DataFrame, x: str, bands: DataFrame, lo: str, hi: str, max_small_rows: int = 10_000, unit: float = 1.0) -> DataFrame:
+    """Points joined to the bands with ``lo <= x < hi``. Few bands are broadcast; many are joined by bins of
+    their own widths (``unit``: the narrowest), never all against all."""
+    inside = (F.col(x) >= F.col(lo)) & (F.col(x) < F.col(hi))
+    if small_enough(bands, max_small_rows):
+        return points.join(F.broadcast(bands), inside)
+    pt, iv = _levelled(points, F.col(x).cast("double"), bands, F.col(lo).cast("double"), F.col(hi).cast("double"), unit)
+    return pt.join(iv, (F.col("__pl") == F.col("__il")) & (F.col("__pb") == F.col("__ib")) & inside).drop("__pl", "__pb", "__il", "__ib")
+
+
 def range_join_binned(points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str,
                       bin_seconds: int, keys: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Points joined to the intervals that contain them (closed bounds).
 
-    Intervals are exploded into the fixed-width time bins they cover, points
-    fall in exactly one bin, and the equi-join on (keys, bin) is followed by
-    the exact bound check. Each (point, interval) pair appears once because
-    a point lives in one bin. Pairs are only formed inside a bin, never
+    Intervals of up to ``bin_seconds`` go to the one or two time bins they touch, longer ones to
+    bins of twice, four times, ... the width, so no interval is copied more than a few times. The
+    equi-join on (keys, level, bin) is followed by the exact bound check. Each (point, interval)
+    pair appears once because a point lives in one bin of a level. Pairs are only formed inside a bin, never
     across a whole key group.
     """
-    iv = intervals.withColumn("__bin", F.explode(F.sequence(_bin(start, bin_seconds), _bin(end, bin_seconds))))
-    pt = points.withColumn("__pbin", _bin(ts, bin_seconds))
-    cond = (pt["__pbin"] == iv["__bin"]) & (pt[ts] >= iv[start]) & (pt[ts] <= iv[end])
+    def seconds(c):
+        return F.unix_seconds(F.col(c).cast("timestamp"))
+
+    pt, iv = _levelled(points, seconds(ts), intervals, seconds(start), seconds(end), bin_seconds)
+    cond = (pt["__pl"] == iv["__il"]) & (pt["__pb"] == iv["__ib"]) & (pt[ts] >= iv[start]) & (pt[ts] <= iv[end])
     for lk, rk in keys:
         cond = cond & (pt[lk] == iv[rk])
-    return pt.join(iv, cond, "inner").drop("__bin", "__pbin")
+    return pt.join(iv, cond, "inner").drop("__pl", "__pb", "__il", "__ib")
 
 
 def interval_join(left: DataFrame, lkey: str, lts: str, right: DataFrame, rkey: str, rts: str,
@@ -72,11 +108,13 @@ def interval_join(left: DataFrame, lkey: str, lts: str, right: DataFrame, rkey:
     return out.drop("__end")
 
 
-def salted_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, salts: int = 8) -> DataFrame:
+def salted_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, salts: int = 8,
+                salt_by: Sequence[str] | None = None) -> DataFrame:
     """Skew-tolerant equi-join: the big side gets a deterministic salt in
     ``[0, salts)`` from a row hash (stable under task retries, unlike
-    ``rand``); the small side is replicated once per salt."""
-    b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
+    ``rand``); the small side is replicated once per salt. ``salt_by`` names the columns hashed
+    (those that tell rows apart; all by default), so that the scan reads no others for it."""
+    b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_by or big.columns]), F.lit(salts)))
     s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return b.join(s, (b[bkey] == s[skey]) & (b["__salt"] == s["__salt"])).drop("__salt")
 
@@ -102,13 +140,16 @@ def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
 def hot_key_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, min_share: float = 0.01,
                  max_hot_rows: int = 1_000_000) -> DataFrame:
     """Declared-skew join: rows of hot keys join a broadcast slice of the small
-    side (no shuffle of the hot rows); the rest takes a normal shuffle join."""
+    side (no shuffle of the hot rows), or by salts where that slice is not small; the rest takes a normal shuffle join."""
     keys = hot_keys(big, bkey, min_share)
     if not keys:
         return big.join(small, big[bkey] == small[skey])
     is_hot = F.col(bkey).isin(keys)
-    small_hot = broadcast_checked(small.filter(F.col(skey).isin(keys)), max_rows=max_hot_rows, fallback=False)
-    hot = big.filter(is_hot).join(small_hot, F.col(bkey) == small_hot[skey])
+    small_hot = small.filter(F.col(skey).isin(keys))
+    if small_enough(small_hot, max_hot_rows):
+        hot = big.filter(is_hot).join(F.broadcast(small_hot), F.col(bkey) == F.col(skey))
+    else:
+        hot = salted_join(big.filter(is_hot), bkey, small_hot, skey)
     cold_small = small.filter(~F.col(skey).isin(keys))
     cold = big.filter(~is_hot | F.col(bkey).isNull()).join(cold_small, F.col(bkey) == cold_small[skey])
     return hot.unionByName(cold)
@@ -128,7 +169,7 @@ def write_bucketed(df: DataFrame, key: str, buckets: int, root: str, name: str)
 
 def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = 10_000):
     """A small key/value table as a literal map column (size proven first)."""
-    if not row_count_at_most(df, max_rows):
+    if not small_enough(df.select(key, value), max_rows):
         raise TooLargeToBroadcast(f"lookup table above {max_rows} rows")
     pairs = df.select(key, value).collect()
     flat = []
@@ -137,6 +178,14 @@ def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = 10_000):
     return F.create_map(*flat)
 
 
+def with_lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, name: str, max_rows: int = 10_000) -> DataFrame:
+    """``df`` with ``name``: the ``value`` that ``table`` has for ``col`` (one row a key), else null. A small table is a
+    literal map, a larger one is joined."""
+    if small_enough(table.select(key, value), max_rows):
+        return df.withColumn(name, F.element_at(lookup_map(table, key, value, max_rows), F.col(col)))
+    return df.join(table.select(F.col(key).alias("__key"), F.col(value).alias(name)), F.col(col) == F.col("__key"), "left").drop("__key")
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
               right_tiebreak: str | None = None, bucket_seconds: int = 86400, null_safe: bool = False) -> DataFrame:
     """For each left row, the latest right row of the same key with

@@ -199,10 +199,10 @@ def cluster_by_curve(df: DataFrame, cols: Sequence[str], curve: str = "zorder",
 
 # -------------------------------------------------------------- file statistics
 
-def file_stats(df: DataFrame, cols: Sequence[str] | None = None, max_cols: int = C.FILE_STATS_MAX_COLUMNS) -> DataFrame:
-    """Per data file: row count and per-column min, max, null count (first 32
-    columns by default), from the ``_metadata.file_path`` of each row."""
-    cs = list(cols or df.columns)[:max_cols]
+def file_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Per data file: row count and per-column min, max, null count (of all
+    columns, or those named), from the ``_metadata.file_path`` of each row."""
+    cs = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("num_records")]
     for c in cs:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
@@ -231,13 +231,12 @@ def clustering_score(stats: DataFrame, col: str) -> DataFrame:
     share of the files' summed [min, max] lengths that is covered more than
     once. Disjoint files score 1.0. Computed with a sweep over the per-file
     table ordered by ``min`` (running max of ``max``), so no file pairs are
-    formed; the table has one row per file."""
-    from pyspark.sql import Window
+    formed, and by range partitions, so no task sees all files."""
+    from driftwood.operators.windows import running_max
 
     s = stats.select(F.col(f"min_{col}").cast("double").alias("lo"), F.col(f"max_{col}").cast("double").alias("hi"),
                      "file_path")
-    w = Window.orderBy("lo", "hi", "file_path").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("prev_hi", F.max("hi").over(w))
+    s = running_max(s, ["lo", "hi", "file_path"], "hi", "prev_hi")
     new_cover = F.greatest(F.lit(0.0), F.col("hi") - F.greatest(F.col("lo"), F.coalesce("prev_hi", F.col("lo"))))
     agg = s.agg(F.sum(F.col("hi") - F.col("lo")).alias("total"), F.sum(new_cover).alias("union"))
     return agg.select(F.round(F.coalesce(F.col("union") / F.nullif(F.col("total"), F.lit(0.0)), F.lit(1.0)), 4)

@@ -105,6 +105,16 @@ def running_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, nam
     return on_keys(summed, carry, [key, "__part"]).withColumn(name, both).drop("__id", "__part", "__in", "__carry")
 
 
+def running_max(df: DataFrame, order: Sequence[str], value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``max(value) OVER (ORDER BY order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)`` without a single-task window."""
+    rows = _ranged(df, [], order, True, partitions)
+    inner = Window.partitionBy("__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, -1)
+    prev = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy("__part").agg(F.max(value).alias("__top")).withColumn("__carry", F.max("__top").over(prev)).drop("__top")
+    out = rows.withColumn("__in", F.max(value).over(inner)).join(F.broadcast(carry), "__part")  # one row a partition
+    return out.withColumn(name, F.greatest("__in", "__carry")).drop("__id", "__part", "__in", "__carry")
+
+
 def partition_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str) -> DataFrame:
     """``agg OVER (PARTITION BY keys)`` as aggregate + join back: the aggregate
     has a map-side partial step. The per-key table's size decides at run time whether

@@ -287,9 +287,7 @@ def join_theta(spark, d):
     c, r = T(spark, d, "customer"), T(spark, d, "region")
     bands = r.select("r_name", (F.col("r_regionkey") * 2000.0 - 1000.0).alias("lo"),
                      ((F.col("r_regionkey") + 1) * 2000.0 - 1000.0).alias("hi"))
-    bands = J.broadcast_checked(bands, max_rows=10_000, fallback=False)
-    return c.join(bands, (c.c_acctbal >= bands.lo) & (c.c_acctbal < bands.hi)).select(
-        "c_custkey", F.col("r_name").alias("band"))
+    return J.band_join(c, "c_acctbal", bands, "lo", "hi").select("c_custkey", F.col("r_name").alias("band"))
 
 
 RANGE_SQL = """
@@ -329,7 +327,7 @@ SELECT l.l_orderkey, l.l_linenumber, p.p_brand FROM lineitem l JOIN part p ON l.
 @case("join_salted", PART_JOIN_SQL)
 def join_salted(spark, d):
     li, p = T(spark, d, "lineitem"), T(spark, d, "part").select("p_partkey", "p_brand")
-    return J.salted_join(li, "l_partkey", p, "p_partkey", salts=8).select("l_orderkey", "l_linenumber", "p_brand")
+    return J.salted_join(li, "l_partkey", p, "p_partkey", salts=8, salt_by=["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "p_brand")
 
 
 @case("join_aqe_skew", """
@@ -403,8 +401,7 @@ def join_dpp(spark, d):
 SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def lookup_broadcast(spark, d):
     c, n = T(spark, d, "customer"), T(spark, d, "nation")
-    m = J.lookup_map(n, "n_nationkey", "n_name", max_rows=10_000)
-    return c.select("c_custkey", F.element_at(m, F.col("c_nationkey")).alias("n_name"))
+    return J.with_lookup(c.select("c_custkey", "c_nationkey"), "c_nationkey", n, "n_nationkey", "n_name", "n_name").select("c_custkey", "n_name")
 
 
 @case("join_asof", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftwood.functions import nested
 from driftwood.functions import sql_functions as SF
 from driftwood.functions import udfs as U
-from driftwood.operators.joins import row_count_at_most
+from driftwood.operators.joins import small_enough, with_lookup
 from driftwood.plans.registry import case
 from driftwood.plans.relational import TIER_SQL
 from driftwood.session import workdir
@@ -64,8 +64,9 @@ def udf_struct(spark, d):
 @case("udf_broadcast", "SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
 def udf_broadcast(spark, d):
     n = load(spark, d, "nation")
-    if not row_count_at_most(n, 100_000):
-        raise ValueError("lookup too large for a broadcast dict")
+    if not small_enough(n.select("n_nationkey", "n_name"), 100_000):  # beyond the bound the lookup is a join
+        c = load(spark, d, "customer").select("c_custkey", "c_nationkey")
+        return with_lookup(c, "c_nationkey", n, "n_nationkey", "n_name", "n_name").select("c_custkey", "n_name")
     mapping = {r.n_nationkey: r.n_name for r in n.select("n_nationkey", "n_name").collect()}
     look = U.lookup_udf(spark, mapping)
     return load(spark, d, "customer").select("c_custkey", look("c_nationkey").alias("n_name"))

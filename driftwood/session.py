@@ -100,11 +100,13 @@ def shared_root(spark: SparkSession) -> str:
     """Root of the shared scratch area: the cluster's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach. Only when it is unset (tests, local runs) do we create one.
+    reach. Only a local run (tests) without it gets one of its own.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="driftwood-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

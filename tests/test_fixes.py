@@ -5,7 +5,7 @@ import os
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from driftwood.operators import cdc, windows
+from driftwood.operators import cdc, joins, windows
 from driftwood.session import workdir
 from driftwood.sources import ingest
 
@@ -44,6 +44,39 @@ def test_strings_and_ties_spread_over_partitions(spark):
     assert {r["rank"] for r in windows.keyed_rank(df, ["k"], ["tied"], partitions=8).collect()} == {1}
 
 
+def test_joins_beyond_their_bounds(spark):
+    a, b = spark.range(40).select(F.col("id").alias("a")), spark.range(30).select(F.col("id").alias("b"), (F.col("id") * 1.0).alias("lo"), (F.col("id") * F.col("id") + 1.0).alias("hi"))
+    assert joins.cross_join_bounded(a, b, max_small_rows=5).count() == 1200
+    want = _rows(a.crossJoin(b).filter("a >= lo AND a < hi").select("a", "b"))
+    for bound in (5, 1000):
+        assert _rows(joins.band_join(a, "a", b, "lo", "hi", max_small_rows=bound).select("a", "b")) == want
+    names = spark.createDataFrame([(1, "x"), (2, None), (None, "y")], "k long, v string")
+    for bound in (1, 100):
+        got = joins.with_lookup(a.filter("a < 4"), "a", names.filter("k IS NOT NULL"), "k", "v", "v", max_rows=bound)
+        assert sorted(map(tuple, got.collect())) == [(0, None), (1, "x"), (2, None), (3, None)]
+    many = a.crossJoin(a.withColumnRenamed("a", "n")).withColumn("a", F.when(F.col("a") < 20, 0).otherwise(F.col("a")).cast("long"))
+    small = a.withColumnRenamed("a", "k")
+    for bound in (0, 100):
+        assert joins.hot_key_join(many, "a", small, "k", min_share=0.3, max_hot_rows=bound).count() == 1600
+
+
+def test_intervals_of_any_length_are_copied_a_few_times(spark):
+    t = lambda c: F.timestamp_seconds(c)
+    points = spark.range(0, 4_000_000, 90_001).select(F.col("id").alias("p"), t("id").alias("ts"))
+    spans = spark.createDataFrame([(0, 0, 10), (1, 0, 4_000_000), (2, 89_000, 91_000), (3, 500_000, 400_000), (4, 180_002, 180_002)], "i int, a long, b long")
+    spans = spans.select("i", t("a").alias("s"), t("b").alias("e"))
+    got = joins.range_join_binned(points, "ts", spans, "s", "e", bin_seconds=60)
+    assert _rows(got.select("p", "i")) == _rows(points.join(spans, F.col("ts").between(F.col("s"), F.col("e"))).select("p", "i"))
+    _, copied = joins._levelled(points, F.unix_seconds("ts"), spans, F.unix_seconds("s"), F.unix_seconds("e"), 60)
+    assert copied.count() <= 2 * spans.count()
+
+
+def test_running_max_over_files(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("o"), (F.col("id") * 91 % 499).alias("v"))
+    want = df.withColumn("m", F.max("v").over(W.orderBy("o").rowsBetween(W.unboundedPreceding, -1)))
+    assert _rows(windows.running_max(df, ["o"], "v", "m", partitions=6)) == _rows(want)
+
+
 def test_delete_drops_an_emptied_partition(spark):
     root = workdir(spark, "emptied")
     spark.createDataFrame([(1, 10, "F"), (2, 20, "F"), (3, 90, "O"), (4, 30, None)], "id int, p int, s string").write.partitionBy("s").parquet(root)

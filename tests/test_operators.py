@@ -81,6 +81,13 @@ def test_broadcast_checked(spark, sf):
         J.broadcast_checked(li, max_rows=10, fallback=False)
 
 
+def test_salted_join_reads_three_columns(spark, sf):
+    from driftwood.plans.inspect import read_schemas
+
+    schemas = read_schemas(queries()["join_salted"](spark, sf))
+    assert any("l_orderkey" in s and s.count(":") == 3 for s in schemas)
+
+
 def test_sargable_rewrite_is_pushed_down(spark, sf):
     from driftwood.operators.relational import sargable_year
 
