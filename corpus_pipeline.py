@@ -36,12 +36,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand elsewhere too; a character goes if all its bytes do. A document of which
     nothing is left goes. ``n_chars`` counts the new text."""
-    others = tuple(c for c in docs.columns if c != "text")
-    parts = suffix.cut(docs.withColumn("__null", F.col("text").isNull()), keep=(*others, "__null"), characters=True)
-    text = F.when(~F.col("__null"), F.decode("kept", "UTF-8"))
-    new = parts.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes"))).withColumn("text", text)
+    # the other columns travel as one, so that none can clash with the operator's
+    row = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
+    parts = suffix.cut(docs.select("doc_id", "text", row.alias("__row"), F.col("text").isNull().alias("__null")), keep=("__row", "__null"), characters=True)
+    new = parts.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
+    new = new.select("__row.*", F.when(~F.col("__null"), F.decode("kept", "UTF-8")).alias("text"), (F.col("n_removed") > 0).alias("__cut"))
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        new = new.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return new.select(*docs.columns)
 
 

@@ -138,7 +138,7 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, out: str = "foun
     rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     df, parts = docs, []
     for k in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
+        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)  # ids too: a text that many items repeat spreads over the parts
         given = sc.broadcast(windows([(r["id"], r["text"]) for r in part.collect()], width))
         parts.append(f"__hits{k}")
 

@@ -216,11 +216,11 @@ def _features(piece: pa.RecordBatch, text: str) -> pa.Array:
 
 def sampled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
     """``docs`` joined with ``labels`` (key, label); of more than ``sample`` labels, those whose key hash falls in a share that
-    leaves about ``sample``. Both sides are thinned before the join, so it moves a bounded number of labelled texts and their share of others."""
+    leaves about ``sample``. A column ``label`` of ``docs`` is ignored. Both sides are thinned before the join, so it moves a bounded number of labelled texts and their share of others."""
     known = labels.filter(F.col("label").isNotNull())
     share = min(1.0, sample / max(1, known.count()))
     thin = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 20)) < share * (1 << 20)
-    return docs.filter(thin).join(known.filter(thin).hint("merge"), key)
+    return docs.drop("label").filter(thin).join(known.filter(thin).hint("merge"), key)
 
 
 def train(labelled: DataFrame, label: str = "label", text: str = "text") -> Model:

@@ -239,7 +239,7 @@ def byte_spans(blobs: list[bytes] | None, length: int) -> list[tuple[int, int]]:
 
 def cut(docs: DataFrame, length: int = LENGTH, keep: tuple = (), characters: bool = False, **sizes) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed stretches of bytes) and kept (the other bytes), a row for each row of ``docs``;
-    ``keep`` names more columns to carry along; ``characters`` keeps every character of which a byte stays."""
+    ``keep`` names more columns to carry along (none of these names); ``characters`` keeps every character of which a byte stays."""
     base = docs.withColumns({"__key": F.col("doc_id").cast("string"), "__text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
     base = base.withColumn("__mark", F.xxhash64("__text"))
     narrow = base.select(F.col("__key").alias("doc_id"), F.col("__mark").alias("mark"), F.col("__text").alias("text"))

@@ -141,6 +141,43 @@ def test_base_rules_and_ratio(docs, spark):
     assert ratio.judge(docs.drop("n_words").limit(0), F.lit(False)).count() == 0
 
 
+def test_ratio_against_brute_force(docs, spark):
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    buckets, threshold = 64, -0.05
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    odd = [(50, "a # b\n\n  \na # b\n a # b\nc"), (51, "*" * 20 + " é日本"), (52, " \t\n "), (53, "|".join("<>&%$#*") + "\n" * 3)]
+    rows += odd
+    signed = lambda h: h - 2**64 if h >> 63 else h
+
+    def grams(w):
+        one = [signed(xxhash.xxh64_intdigest(x.encode(), 42)) % buckets for x in w]
+        two = [signed(xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42))) % buckets for a, b in zip(w, w[1:])]
+        return one + two
+
+    trusted = lambda i: i is not None and i < 8
+    raw, target = Counter(range(buckets)), Counter(range(buckets))  # a pseudo count each
+    for i, t in rows:
+        raw.update(grams(WORD.findall(t or "")))
+        if trusted(i):
+            target.update(grams(WORD.findall(t or "")))
+    weight = [math.log(target[b] / target.total()) - math.log(raw[b] / raw.total()) for b in range(buckets)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"words": F.lit(1), "ratio": F.lit("clash"), "kept": F.lit("clash")})
+    got = {(r["doc_id"], r["text"]): r for r in ratio.judge(d, F.coalesce(F.col("doc_id") < 8, F.lit(False)), threshold=threshold, buckets=buckets).collect()}
+    for i, t in rows:
+        r, w = got[i, t], WORD.findall(t or "")
+        g = grams(w)
+        want = sum(weight[b] for b in g) / len(g) if g else 0.0
+        assert abs(r["ratio"] - want) < 1e-9
+        assert r["kept"] == (not r["base_failed"] and r["ratio"] >= threshold)
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        assert (r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == (sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)))
+    assert {r["ratio"] for r in ratio.judge(d, F.lit(False)).collect()} == {0.0}
+
+
 def test_urls(spark):
     urls = ["http://A.example.NET/en/x?q", "http://x.net", "http://x.net/", "https://example.com/de/1#t", "https://example.comx/de/", "no url", None, "http://a.org/fr/", "http://a.org/fr", "://net//"]
     pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)] + [(0, urls[0])], "page_id long, url string").withColumn("verdict", F.lit("clash"))
@@ -230,6 +267,40 @@ def test_sql(spark, duck, sf, name):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
 
 
+CLASHES = ("found", "quality", "language", "label", "size", "h", "mark", "words", "n_words", "fp", "bits", "at", "z", "bucket", "taken", "shard", "kept", "rule", "verdict", "held_out")
+TABLES = {"documents": DOC, "pages": "page_id long, url string, html string", "benchmark": "item_id long, text string", "labels": "doc_id long, quality int"}
+
+
+def _tables(spark, folder, rows):
+    for name, schema in TABLES.items():
+        extra = {c: F.lit(f"clash {c}") for c in CLASHES if c not in schema and not (name == "labels" and c == "quality")}
+        spark.createDataFrame(rows.get(name, []), schema).withColumns(extra).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_every_query_on_empty_tables(spark, tmp_path):
+    folder = _tables(spark, tmp_path, {})
+    for name, query in queries.queries().items():
+        assert query(spark, folder).count() == 0, name
+
+
+def test_every_query_on_odd_rows(spark, tmp_path):
+    long_ = "Ein sehr langer Text ohne Ende. " * 40_000
+    documents = [(k, t, "en" if k % 2 else None, None if k % 3 else "s", None) for k, t in enumerate(_texts())]
+    documents += [documents[0], documents[0], (None,) * 5, (None, "x y z", None, None, 3), (90, long_, "de", "s", 1), (91, "\n\n", "", "", 0), (92, "\u0000 \ud7ff é\u0301", "fr", "", 0)]
+    pages = [(1, "http://a.net/x", "<p>x"), (1, "http://a.net/x", "<p>x"), (None, None, None), (2, "", ""), (3, "://", "<script>")]
+    benchmark = [(1, documents[0][1]), (1, documents[0][1]), (None, None), (None, "one two"), (3, "")]
+    labels = [(k, k % 2) for k in range(10)] + [(1, 1), (None, 1), (5, None), (400, 0)]
+    folder = _tables(spark, tmp_path, {"documents": documents, "pages": pages, "benchmark": benchmark, "labels": labels})
+    n = {"op1_warc_derivatives": 2 * len(pages), "op7_blocked_bloom": len(pages)}
+    for name, query in queries.queries().items():
+        got = query(spark, folder).collect()
+        if name != "pipeline":
+            assert len(got) == n.get(name, len(documents)), name
+        else:
+            assert {r["doc_id"] for r in got} <= {d[0] for d in documents}
+
+
 def test_pipeline_keeps_its_columns(spark, docs, sf):
     import corpus_pipeline as c
 
