@@ -31,7 +31,7 @@ from driftwood.llm.text import U, buffer, byte_table, mix, rolling, runs, slices
 
 LENGTH, GRAM = 400, 32
 #: bytes of segments in a bucket, of different segments of one anchor, and of text handled at once
-BUCKET_BYTES, HOT_BYTES, STRETCH = 256 << 10, 1 << 20, 4 << 20
+BUCKET_BYTES, HOT_BYTES, STRETCH = 256 << 10, 1 << 20, 512 << 10
 PART = 64
 _T1, _T2 = byte_table(21), byte_table(22)
 _PLACE = U(24)
@@ -90,7 +90,7 @@ def _stretches(buf: np.ndarray, offs: np.ndarray, length: int, gram: int):
 def segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """Segments of all documents (doc_id as string, mark, text)."""
     def run(batches):
-        for piece in slices(batches):
+        for piece in slices(batches, limit=STRETCH):  # segments take some 100 times the bytes at hand
             ids, marks = piece.column("doc_id"), piece.column("mark")
             for row, *rest in _stretches(*buffer(piece.column("text")), length, gram):
                 at = pa.array(row)

@@ -72,6 +72,30 @@ def test_interval_expansion(docs):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_stretches_of_a_long_text_hold_every_window(monkeypatch):
+    r = random.Random(9)
+    texts = [bytes(r.choice(b"abcd") for _ in range(3000)), b"xyz" * 900, b"q" * 2500 + bytes(r.choice(b"ab") for _ in range(900))]
+    for text in texts:
+        buf = np.frombuffer(text, np.uint8)
+
+        def anchors_by_window():
+            out = {}
+            for _, h, _, first, last, anchor, copies, n in suffix._stretches(buf, np.array([0, len(buf)]), 400, 32):
+                for x, a, b, c, k, m in zip(h, first, last, copies, n, anchor):
+                    assert c > 1 or b - a + 1 == k
+                    for w in range(a, b + 1):
+                        assert w not in out
+                        out[w] = (int(x), int(m) if c == 1 else None)
+            return out
+
+        monkeypatch.setattr(suffix, "STRETCH", 1 << 20)
+        whole = anchors_by_window()
+        monkeypatch.setattr(suffix, "STRETCH", 700)
+        cut = anchors_by_window()
+        assert sorted(whole) == sorted(cut) == list(range(len(text) - 399))
+        assert all(whole[w][0] == cut[w][0] for w in whole)
+
+
 def test_transform_against_brute_force(monkeypatch):
     r = np.random.default_rng(1)
     for trial in range(150):
