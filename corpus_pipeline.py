@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.llm import decontam, langid, mixing, simhash, suffix
-from driftwood.llm.store import stored, table
-from driftwood.session import configure
+from driftwood.llm.store import prepared, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is one of those learned; what is ``und`` goes."""
+    prepared(spark)
     learned = langid.profiles(docs.filter(~langid.held_out(F.col("doc_id"))))
     found = langid.predict(docs, learned, out="__language")
     return found.filter(F.col("__language.lang") != langid.UNKNOWN).drop("__language")
@@ -25,6 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class: the one with the smallest id (null last), of rows with equal ids the one with
     the smallest row hash, of equal rows one."""
+    prepared(spark)
     mark = {"__k1": F.xxhash64(*docs.columns), "__k2": F.xxhash64(F.lit(1), *docs.columns)}
     found = simhash.near_duplicates(docs.withColumns(mark), keep=("__k1", "__k2"))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")).alias("r"))
@@ -36,6 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand elsewhere too; a character goes if all its bytes do. A document of which
     nothing is left goes. ``n_chars`` counts the new text."""
+    prepared(spark)
     # the other columns travel as one, so that none can clash with the operator's
     row = F.struct(*[F.col(c) for c in docs.columns if c != "text"])
     parts = suffix.cut(docs.select("doc_id", "text", row.alias("__row"), F.col("text").isNull().alias("__null")), keep=("__row", "__null"), characters=True)
@@ -48,12 +50,14 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no more of the benchmark than the contamination rule allows."""
+    prepared(spark)
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark"), out="__found")
     return found.filter(~decontam.contaminated("__found")).drop("__found")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: for every document how many of its words are taken, which and how often."""
+    prepared(spark)
     return mixing.mix(docs)
 
 
@@ -70,8 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
     return docs

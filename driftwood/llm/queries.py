@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood.llm import anchors, decontam, gam, langid, mixing, ratio, simhash, suffix, urlfilter, warc
-from driftwood.llm.store import table
-from driftwood.session import configure
+from driftwood.llm.store import prepared, table
 
 #: host, path, verdict of the listed URLs
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -100,7 +99,7 @@ _ALL = (op1_warc_derivatives, op2_fixed_block_anchors, op3_aho_corasick, op4_add
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            prepared(spark)
             return f(spark, sf_dir)
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__

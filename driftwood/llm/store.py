@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwood.session import workdir
+from driftwood.session import configure, workdir
+
+#: bytes of an Arrow batch between Spark and Python; each side holds a batch more than once, so Spark's own 64 MB is much of a small executor
+ARROW_BYTES = "4m"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's confs and small Arrow batches."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return spark
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
