@@ -116,6 +116,8 @@ def _probes(batches, buckets: int, window: int, block: int, chunk: int):
         roll = rolling(sums(h), block)
         n = np.diff(rows)
         live = np.flatnonzero(n >= window)
+        if not len(live):
+            continue
         starts = n[live] - block + 1
         at = ranges(rows[:-1][live], starts)
         v.append(roll[at])

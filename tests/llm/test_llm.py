@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,18 @@ def test_fixed_block_anchors(docs):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_anchors_where_tasks_hold_short_documents_only(spark):
+    short = [(k, t) for k, t in enumerate(["one two", "", None, "a " * 49])]
+    docs = spark.createDataFrame(short, "doc_id long, text string").coalesce(1)
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in anchors.cut(docs).collect()) == [(0, 2, 0), (1, 0, 0), (2, 0, 0), (3, 49, 0)]
+    # the tail of a task after a full chunk, and a task beside one with long documents
+    long_ = [(k, " ".join(f"w{x}" for x in range(60))) for k in (10, 11)]
+    tail = [pa.RecordBatch.from_pylist([{"doc_id": k, "text": t} for k, t in rows]) for rows in (long_, short)]
+    assert len(list(anchors._probes(tail, 1, 50, 25, 1))) == 1
+    both = docs.union(spark.createDataFrame(long_, docs.schema).coalesce(1))
+    assert sorted((r["doc_id"], r["n_removed"]) for r in anchors.cut(both).collect()) == [(0, 0), (1, 0), (2, 0), (3, 0), (10, 0), (11, 60)]
+
+
 def test_interval_expansion(docs):
     rows = [(i, (t or "").encode()) for i, t in _plain(docs)]
     seen = {}
