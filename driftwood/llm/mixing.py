@@ -45,8 +45,9 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     before = F.coalesce(F.sum("limit").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
     after = F.sum("weight").over(by.rowsBetween(0, W.unboundedFollowing))
     total = share * F.sum("source_size").over(W.partitionBy())
-    s = s.withColumn("level", (total - before) / after).withColumn("full", F.col("limit") <= F.col("level") * F.col("weight"))
-    open_level = F.min(F.when(~F.col("full"), F.struct(F.col("limit") / F.col("weight"), F.col("level").alias("level")))).over(W.partitionBy())
+    s = s.withColumn("level", (total - before) / after).withColumn("full", F.col("limit") <= F.col("level") * F.col("weight")).withColumn("place", F.row_number().over(by))
+    # the level of the first open source in that order: a tied one's level counts it as full
+    open_level = F.min(F.when(~F.col("full"), F.struct(F.col("place"), F.col("level").alias("level")))).over(W.partitionBy())
     return s.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.coalesce(open_level["level"], F.lit(0.0)) * F.col("weight"))).select("source", "source_size", "weight", "target")
 
 

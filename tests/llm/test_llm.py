@@ -255,6 +255,29 @@ def test_mix(spark):
     assert all(abs(taken[s] - goal[s]) <= 0.01 * goal[s] + 2 * mixing.BLOCK for s in goal)
 
 
+def _reshared(sizes, share=1.5, most=2.0):
+    """Targets by resharing the excess of full sources again and again."""
+    weights = [mixing.WEIGHTS[k % len(mixing.WEIGHTS)] for k in range(len(sizes))]
+    full = set()
+    while True:
+        left = share * sum(sizes) - sum(most * sizes[k] for k in full)
+        level = left / max(sum(w for k, w in enumerate(weights) if k not in full), 1e-300)
+        new = {k for k, w in enumerate(weights) if k not in full and most * sizes[k] < level * w}
+        if not new:
+            return [most * n if k in full else level * w for k, (n, w) in enumerate(zip(sizes, weights))]
+        full |= new
+
+
+def test_targets_of_tied_sources(spark):
+    r = random.Random(8)
+    lists = [[1000, 3000, 500, 1000, 3000, 500], [900, 300, 600], [10, 0, 0, 10]] + [[r.choice([100, 300, 600, 3000]) for _ in range(r.randint(1, 9))] for _ in range(10)]
+    for sizes in lists:
+        rows = [(f"s{k}" if k + 1 < len(sizes) else None, n) for k, n in enumerate(sizes)]
+        got = {x["source"]: x["target"] for x in mixing.targets(spark.createDataFrame(rows, "source string, source_size long")).collect()}
+        assert [got[s] for s, _ in rows] == pytest.approx(_reshared(sizes)), sizes
+    assert _reshared(lists[0])[1] == 3750
+
+
 def test_sainte_lague(spark):
     r = random.Random(6)
     weights = [r.randint(1, 1000) for _ in range(40)]
