@@ -95,19 +95,31 @@ def ranked(row: np.ndarray, gram: np.ndarray, count: np.ndarray, top: int) -> tu
     return row[keep], gram[keep], rank[keep]
 
 
-def profiles(docs: DataFrame, top: int = TOP, sample: int = SAMPLE, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
+def sampled(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame | None:
+    """lang and text of the rows that teach: those with a language; of a language with more than ``sample`` rows, those whose
+    hash of key and text falls in a share that leaves about ``sample``, and in any case the row of least hash (of those with a letter, if any).
+
+    So copies of a text under other keys are sampled one by one; rows that repeat key and text are in or out together. None if no row has a language.
+    """
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.struct(~F.col("text").rlike(r"\p{L}"), "h"))["h"].alias("least")).collect()
+    if not sizes:
+        return None
+    # a share and a hash for each language: as many numbers as there are languages, so a filter and no join
+    of = lambda x: F.element_at(F.create_map(*[F.lit(v) for r in sorted(sizes) for v in (r["lang"], x(r))]), F.col("lang"))
+    share, least = of(lambda r: min(1.0, sample / r["n"])), of(lambda r: r["least"])
+    return known.filter((F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)) | (F.col("h") == least)).select("lang", "text")
+
+
+def profiles(docs: DataFrame, top: int = TOP, sample: int = SAMPLE, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, np.ndarray]:
     """The learned profile (n-grams in rank order) of every language of ``docs``.
 
-    Learns from the rows with a language; of a language with more than ``sample`` rows, from those whose
-    text hash falls in a share that leaves about ``sample``. What reaches the driver is ``top`` n-grams a language.
+    Learns from the rows of ``sampled``. What reaches the driver is ``top`` n-grams a language.
     """
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    # a share for each language: as many numbers as there are languages, so a filter and no join
-    shares = {r["lang"]: min(1.0, sample / r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not shares:
+    taught = sampled(docs, sample, text, lang, key)
+    if taught is None:
         return {}
-    share = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(shares.items()) for x in kv]), F.col("lang"))
-    taught = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
 
     def count(batches):
         counter = Counter()

@@ -304,6 +304,18 @@ def test_language_and_quality_on_held_out_rows(spark, sf):
     assert all(0 <= r["quality"]["score"] <= 1 for r in gam.predict(odd, gam.Model()).collect())
 
 
+def test_languages_of_few_texts_teach(spark):
+    few = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id") % 20).alias("lang"), F.concat(F.lit("text of language "), F.col("id") % 20).alias("text"))
+    # a text that is two thirds of a language's rows, and a language of one row repeated among rows without a letter
+    hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("hot").alias("lang"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("other "), "id")).alias("text"))
+    bare = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("bare").alias("lang"), F.when(F.col("id") < 10, "abc").otherwise(F.concat(F.lit("1"), "id")).alias("text"))
+    docs = few.union(hot).union(bare)
+    assert sorted(langid.profiles(docs, sample=60)) == sorted(["hot", "bare", *(f"l{k}" for k in range(20))])
+    n = {r["lang"]: r for r in langid.sampled(docs, 60).groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("text") == "hot").alias("copies")).collect()}
+    assert all(25 <= r["n"] <= 120 for r in n.values())
+    assert 0.4 < n["hot"]["copies"] / n["hot"]["n"] < 0.9
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a/", "<p>Tom &amp; <b>J</b>é</p><script>x</script>"), (2, None, None), (1, "http://a/", "")], "page_id long, url string, html string")
     source = warc.responses(pages)
