@@ -3,8 +3,8 @@ heartbeats, component health, event-log and query-history reports, column
 usage, advice (clustering keys, layout) and layout comparisons.
 
 Inputs are tables (progress, lag history, heartbeats, event log, query log);
-every report is a DataFrame. Streaming progress comes from
-``query.recentProgress`` (a bounded list kept by Spark).
+every report is a DataFrame. Streaming progress comes from the table
+that ``streaming.runner`` writes while a query runs.
 """
 
 from __future__ import annotations
@@ -13,18 +13,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from driftwood import constants as C
 from driftwood.operators import layout as L
+from driftwood.streaming.runner import read_progress
 
 
-def batch_progress(spark: SparkSession, q: StreamingQuery) -> DataFrame:
-    rows = [(p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0.0),
-             float(p.get("processedRowsPerSecond") or 0.0), int(p["durationMs"].get("triggerExecution", 0)))
-            for p in q.recentProgress]
-    return spark.createDataFrame(rows, "batch_id long, num_rows long, input_rate double, process_rate double, "
-                                       "duration_ms long")
+def batch_progress(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each progress event of a query that ran with ``progress=path``."""
+    return read_progress(spark, path).drop("rows_dropped")
 
 
 def batch_alerts(progress: DataFrame, max_duration_ms: int, empty_run: int = C.EMPTY_BATCH_RUN) -> DataFrame:

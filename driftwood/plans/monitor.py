@@ -34,8 +34,8 @@ LAG_SQL = """WITH h AS (SELECT ts AS check_ts, 'events' AS topic, CAST(user_id %
 def batch_progress(spark, d):
     root = _events_landing(spark, d)
     s = S.event_stream(spark, f"{root}/in", EVENTS_SCHEMA, max_files=1)
-    q = run_available_now(s, f"{root}/out", f"{root}/_ckpt")
-    return M.batch_progress(spark, q)
+    run_available_now(s, f"{root}/out", f"{root}/_ckpt", progress=f"{root}/progress")
+    return M.batch_progress(spark, f"{root}/progress")
 
 
 HOURLY_SQL = """WITH hrs AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)),

@@ -11,7 +11,7 @@ from driftwood.plans.sources import EVENTS_SCHEMA, ORDERS_SCHEMA, _events_landin
 from driftwood.session import workdir
 from driftwood.sources import ingest
 from driftwood.sources import sinks as K
-from driftwood.streaming.runner import run_available_now
+from driftwood.streaming.runner import await_end, read_progress, run_available_now
 from driftwood.tables import load
 
 ORD = "SELECT * FROM orders"
@@ -180,9 +180,8 @@ def sink_foreach(spark, d):
     s = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{root}/in")
     q = (s.writeStream.foreach(RowCounter()).option("checkpointLocation", f"{root}/_ckpt")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    n = sum(p["numInputRows"] for p in q.recentProgress)
-    return spark.createDataFrame([(n,)], "rows_seen long")
+    await_end(q, spark, progress=f"{root}/progress")
+    return read_progress(spark, f"{root}/progress").agg(F.coalesce(F.sum("num_rows"), F.lit(0)).alias("rows_seen"))
 
 
 @case("idempotent_write", """

@@ -14,7 +14,7 @@ from driftwood.sources import bus
 from driftwood.sources import files as FS
 from driftwood.sources import ingest
 from driftwood.sources.lineage import with_lineage
-from driftwood.streaming.runner import read_sink, run_available_now
+from driftwood.streaming.runner import read_progress, read_sink, run_available_now
 from driftwood.tables import load, path
 
 
@@ -195,9 +195,9 @@ def backfill_window(spark, d):
 def rate_limit(spark, d):
     root = _events_landing(spark, d)
     s = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    q = run_available_now(s, f"{root}/out", f"{root}/_ckpt")
-    batches = [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0]
-    return read_sink(spark, f"{root}/out").withColumn("n_batches", F.lit(len(batches)))
+    run_available_now(s, f"{root}/out", f"{root}/_ckpt", progress=f"{root}/progress")
+    batches = read_progress(spark, f"{root}/progress").filter("num_rows > 0").count()
+    return read_sink(spark, f"{root}/out").withColumn("n_batches", F.lit(batches))
 
 
 @case("infer_schema", check="A")

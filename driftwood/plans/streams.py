@@ -19,7 +19,7 @@ from driftwood.session import workdir
 from driftwood.sources import files as FS
 from driftwood.streaming import ops
 from driftwood.streaming import streams as S
-from driftwood.streaming.runner import read_sink, run_available_now
+from driftwood.streaming.runner import read_progress, read_sink, run_available_now
 from driftwood.tables import load
 
 WM = "WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)"
@@ -172,9 +172,8 @@ def late_drop(spark, d):
     root = _reversed_landing(spark, d)
     s = S.event_stream(spark, f"{root}/in", EVENTS_SCHEMA, max_files=1)
     agg = S.window_agg(s, "ts", "1 hour", [F.count(F.lit(1)).alias("n")])
-    q = run_available_now(agg, f"{root}/out", f"{root}/_ckpt")
-    dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
-                  for p in q.recentProgress)
+    run_available_now(agg, f"{root}/out", f"{root}/_ckpt", progress=f"{root}/progress")
+    dropped = read_progress(spark, f"{root}/progress").agg(F.coalesce(F.sum("rows_dropped"), F.lit(0))).first()[0]
     return read_sink(spark, f"{root}/out").withColumn("rows_dropped", F.lit(dropped))
 
 

@@ -104,3 +104,16 @@ def test_load_after_a_crash_and_two_forced_loads(spark, tmp_path):
         ingest.copy_into(spark, src, "parquet", target, force=True)
         assert spark.read.parquet(target).count() == n
     assert os.path.isdir(f"{target}/_ledger")
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
+    from driftwood.operators import monitor
+    from driftwood.streaming.runner import run_available_now
+
+    (tmp_path / "in").mkdir()
+    for k in range(110):
+        (tmp_path / "in" / f"{k}.txt").write_text(f"{k}\n")
+    s = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in"))
+    run_available_now(s, None, str(tmp_path / "ckpt"), fmt="noop", state_partitions=None, progress=str(tmp_path / "progress"))
+    got = monitor.batch_progress(spark, str(tmp_path / "progress")).filter("num_rows > 0")
+    assert sorted(r["batch_id"] for r in got.collect()) == list(range(110))
