@@ -129,7 +129,8 @@ AQE_SKEW_CONF = {
 
 
 def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
-    """Keys holding at least ``min_share`` of the rows; at most 1/min_share of them."""
+    """Keys holding at least ``min_share`` of the rows that have one; at most 1/min_share of them. Null is never one."""
+    df = df.filter(F.col(key).isNotNull())
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = df.select(F.count(F.lit(1))).scalar()
     hot = counts.filter(F.col("n") >= total * F.lit(min_share)).select(key)

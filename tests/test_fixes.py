@@ -106,6 +106,17 @@ def test_load_after_a_crash_and_two_forced_loads(spark, tmp_path):
     assert os.path.isdir(f"{target}/_ledger")
 
 
+def test_hot_key_join_with_hot_null_keys(spark):
+    big = spark.range(1000).select(F.when(F.col("id") < 300, F.lit(None)).when(F.col("id") < 600, F.lit(0)).otherwise(F.col("id")).alias("a"), F.col("id").alias("n"))
+    small = spark.range(1000).select(F.col("id").alias("k")).union(spark.createDataFrame([(None,)], "k long"))
+    want = _rows(big.join(small, big["a"] == small["k"]).select("n", "k"))
+    for bound in (0, 100):
+        assert joins.hot_keys(big, "a", 0.2) == [0]
+        assert _rows(joins.hot_key_join(big, "a", small, "k", min_share=0.2, max_hot_rows=bound).select("n", "k")) == want
+    nulls = big.withColumn("a", F.lit(None).cast("long"))
+    assert joins.hot_key_join(nulls, "a", small, "k").count() == 0
+
+
 def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
     from driftwood.operators import monitor
     from driftwood.streaming.runner import run_available_now
