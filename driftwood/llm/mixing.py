@@ -29,6 +29,7 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: words of a block and of a shard
 BLOCK, SHARD_WORDS = 32, 1 << 18
 BUCKETS = 1024
+PIECES = "array<struct<first: bigint, stop: bigint, times: bigint>>"
 
 
 def n_words(text: Column) -> Column:
@@ -150,7 +151,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
     goals = stored(goals.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))), "mixing-sources")
 
     g = goals.select(F.col("source").alias("s"), "source_size", "target", "blocks", "shards")
-    placed = sized.join(g, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("shard", F.pmod(F.shiftrightunsigned("h", 1), F.col("shards")))
+    known = sized.join(g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    # rows without words need no selection: they stay out of the shards, so a shard has at most as many rows as words
+    placed = known.filter("size > 0").withColumn("shard", F.pmod(F.shiftrightunsigned("h", 1), F.col("shards")))
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("words"), F.first("blocks").alias("blocks"))
     quotas = stored(sainte_lague(shards, ["source"], ["shard"], "words", "blocks").select("source", "shard", "quota"), "mixing-shards")
     q = quotas.select(F.col("source").alias("s"), F.col("shard").alias("k"), "quota")
@@ -166,5 +169,6 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
         out["pieces"] = [[{"first": a, "stop": b, "times": t} for a, b, t in p] for p in pieces]
         return out
 
-    kind = "doc_id bigint, source string, size bigint, source_size bigint, target double, taken bigint, pieces array<struct<first: bigint, stop: bigint, times: bigint>>"
-    return full.groupBy("source", "shard").applyInPandas(pick, kind)
+    kind = "doc_id bigint, source string, size bigint, source_size bigint, target double, taken bigint, pieces " + PIECES
+    bare = known.filter("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), F.array().cast(PIECES).alias("pieces"))
+    return full.groupBy("source", "shard").applyInPandas(pick, kind).unionByName(bare)

@@ -255,6 +255,19 @@ def test_mix(spark):
     assert all(abs(taken[s] - goal[s]) <= 0.01 * goal[s] + 2 * mixing.BLOCK for s in goal)
 
 
+def test_mix_keeps_rows_without_words_out_of_the_shards(spark):
+    words_ = [(k, "w " * (k % 40 + 1), "ab"[k % 2]) for k in range(200)]
+    bare = [(1000 + k, [None, "", " \n"][k % 3], ["a", "e", None][k % 3]) for k in range(600)] + [(2000 + k, "", "e") for k in range(1400)]
+    schema = "doc_id long, text string, source string"
+    got = mixing.mix(spark.createDataFrame(words_ + bare, schema).repartition(8), shard_words=500)
+    rows = got.collect()
+    assert len(rows) == len(words_ + bare)
+    assert all(r["taken"] == 0 and r["pieces"] == [] for r in rows if r["doc_id"] >= 1000)
+    assert sum(r["taken"] for r in rows) > 0
+    # not one task for all rows of source e
+    assert got.filter("source = 'e'").select(F.spark_partition_id()).distinct().count() > 1
+
+
 def _reshared(sizes, share=1.5, most=2.0):
     """Targets by resharing the excess of full sources again and again."""
     weights = [mixing.WEIGHTS[k % len(mixing.WEIGHTS)] for k in range(len(sizes))]
