@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwood.llm import anchors, decontam, gam, langid, mixing, ratio, simhash, suffix, urlfilter, warc
+from driftwood.llm import anchors, conversation, decontam, gam, langid, merkle, metric, mixing, ratio, simhash, suffix, urlfilter, warc
 from driftwood.llm.store import prepared, table
 
 #: host, path, verdict of the listed URLs
@@ -85,6 +85,30 @@ def op10_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every vector."""
+    return metric.links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    rows = conversation.damaged(table(spark, sf_dir, "conversations"))
+    return conversation.report(rows, conversation.plan(rows))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document, and what a tampered text makes of them."""
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = documents(spark, sf_dir)
+    leaf = merkle.leaf(*[F.col(x) for x in names])
+    tampered = merkle.leaf(*[F.col(x) for x in names[:-1]], F.translate("text", "\n", ""))
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    leaves = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(hit, tampered).alias("tampered"))
+    d = merkle.manifest(leaves, "source", ["doc_id"])
+    d = d.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return d.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's stages over all documents."""
     import corpus_pipeline
@@ -93,7 +117,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (op1_warc_derivatives, op2_fixed_block_anchors, op3_aho_corasick, op4_additive_model, op5_ball_hashing, op6_rank_order,
-        op7_blocked_bloom, op8_ngram_ratio, op9_apportionment, op10_interval_expansion, pipeline)
+        op7_blocked_bloom, op8_ngram_ratio, op9_apportionment, op10_interval_expansion,
+        op11_metric_range_join, op12_conversation_repair, op13_merkle_manifest, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
