@@ -352,8 +352,9 @@ def test_sql(spark, duck, sf, name):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
 
 
-CLASHES = ("found", "quality", "language", "label", "size", "h", "mark", "words", "n_words", "fp", "bits", "at", "z", "bucket", "taken", "shard", "kept", "rule", "verdict", "held_out")
-TABLES = {"documents": DOC, "pages": "page_id long, url string, html string", "benchmark": "item_id long, text string", "labels": "doc_id long, quality int"}
+CLASHES = ("found", "quality", "language", "label", "size", "h", "mark", "words", "n_words", "fp", "bits", "at", "z", "bucket", "taken", "shard", "kept", "rule", "verdict", "held_out", "key", "conv", "dropped", "block", "leaf", "pos", "path", "place", "top", "node")
+TABLES = {"documents": DOC, "pages": "page_id long, url string, html string", "benchmark": "item_id long, text string", "labels": "doc_id long, quality int",
+          "embeddings": "vec_id long, embedding array<float>", "conversations": "conv_id long, turn long, role string, text string"}
 
 
 def _tables(spark, folder, rows):
@@ -376,8 +377,11 @@ def test_every_query_on_odd_rows(spark, tmp_path):
     pages = [(1, "http://a.net/x", "<p>x"), (1, "http://a.net/x", "<p>x"), (None, None, None), (2, "", ""), (3, "://", "<script>")]
     benchmark = [(1, documents[0][1]), (1, documents[0][1]), (None, None), (None, "one two"), (3, "")]
     labels = [(k, k % 2) for k in range(10)] + [(1, 1), (None, 1), (5, None), (400, 0)]
-    folder = _tables(spark, tmp_path, {"documents": documents, "pages": pages, "benchmark": benchmark, "labels": labels})
-    n = {"op1_warc_derivatives": 2 * len(pages), "op7_blocked_bloom": len(pages)}
+    embeddings = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 4.0]), (None, [1.0]), (3, None), (4, []), (5, [0.0, 0.0]), (None, None)]
+    conversations = [(1, 0, "user", long_), (1, 0, "user", long_), (1, None, None, None), (None, 1, "system", ""), (2, -5, "", "\n")]
+    folder = _tables(spark, tmp_path, {"documents": documents, "pages": pages, "benchmark": benchmark, "labels": labels,
+                                        "embeddings": embeddings, "conversations": conversations})
+    n = {"op1_warc_derivatives": 2 * len(pages), "op7_blocked_bloom": len(pages), "op11_metric_range_join": len(embeddings), "op12_conversation_repair": 3}
     for name, query in queries.queries().items():
         got = query(spark, folder).collect()
         if name != "pipeline":
