@@ -318,12 +318,15 @@ def state_groups(spark, d):
                        F.col("last_ts").cast("timestamp_ntz").alias("last_ts"))
 
 
-@case("state_typed", """
-SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS event_types, least(count(*), 5) AS recent
-FROM events GROUP BY 1""")
+@case("state_typed", WM + """,
+u AS (SELECT user_id, ts, event_type, max(ts) OVER (PARTITION BY user_id) AS last FROM events)
+SELECT user_id, count(*) AS events, count(DISTINCT event_type) AS event_types,
+       CASE WHEN last + INTERVAL 1 DAY <= m.wm THEN 0 ELSE count(*) FILTER (ts > last - INTERVAL 1 DAY) END AS recent
+FROM u, m GROUP BY user_id, last, m.wm""")
 def state_typed(spark, d):
+    """Totals and events of the last day; a user silent for a day before the last watermark has none left."""
     root, s = _stream(spark, d)
-    run_available_now(S.typed_state(s), None, f"{root}/_ckpt", output_mode="update",
+    run_available_now(S.typed_state(s), None, f"{root}/_ckpt", output_mode="update", confs=S.ROCKSDB_CONF,
                       foreach_batch=lambda b, i: ops.write_batch(b, f"{root}/state_rows", i))
     rows = spark.read.parquet(f"{root}/state_rows")
     return R.first_per_key(rows, ["user_id"], ["batch_id"], latest=True).select(

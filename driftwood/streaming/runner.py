@@ -83,7 +83,7 @@ def run_available_now(stream: DataFrame, sink: str | None, checkpoint: str, fmt:
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
                       query_name: str | None = None, timeout_s: float | None = None, state_partitions: int | None = 0,
-                      progress: str | None = None, **options) -> StreamingQuery:
+                      progress: str | None = None, confs: dict[str, str] | None = None, **options) -> StreamingQuery:
     """Start ``stream`` with ``trigger(availableNow=True)`` and wait until it ends,
     however long that takes; only a caller that passes ``timeout_s`` stops it earlier.
 
@@ -92,20 +92,23 @@ def run_available_now(stream: DataFrame, sink: str | None, checkpoint: str, fmt:
     ``0`` (default) means the cluster's default parallelism, ``None`` keeps
     the session value. The session value is restored when the query ends.
 
+    ``confs`` are session settings for this run only.
+
     ``progress`` names a folder for a table of all progress events (see ``read_progress``).
     """
     spark = stream.sparkSession
-    prev = None
+    confs = dict(confs or {})
     if state_partitions is not None:
-        prev = spark.conf.get("spark.sql.shuffle.partitions")
-        n = state_partitions or spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        confs["spark.sql.shuffle.partitions"] = str(state_partitions or spark.sparkContext.defaultParallelism)
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         return _run(stream, sink, checkpoint, fmt, output_mode, partition_by, foreach_batch, query_name,
                     timeout_s, progress, **options)
     finally:
-        if prev is not None:
-            spark.conf.set("spark.sql.shuffle.partitions", prev)
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _run(stream, sink, checkpoint, fmt, output_mode, partition_by, foreach_batch, query_name, timeout_s, progress, **options):

@@ -111,40 +111,66 @@ def running_state(stream: DataFrame, key: str = "user_id", watermark: str = "10
 
 # ------------------------------------------------------------------ typed state (transformWithState)
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: typed state lives in the RocksDB store; set for the run of a query (``run_available_now(confs=...)``)
+ROCKSDB_CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 ACTIVITY_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("events", T.LongType()),
                              T.StructField("event_types", T.LongType()), T.StructField("recent", T.LongType())])
-RECENT_EVENTS = 5
+#: event time that the recent events of a key cover, and after which a silent key leaves the store
+RECENT_MS, SILENT_MS = 24 * 3600 * 1000, 60 * 24 * 3600 * 1000
 
 
-def _activity_processor():
+def _activity_processor(recent_ms: int, silent_ms: int, ttl_ms: int | None):
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class UserActivity(StatefulProcessor):
-        """Typed state per key: a value state (event count), a map state
-        (count per event type) and a list state (the last RECENT_EVENTS event
-        ids, bounded); emits the key's running totals each batch."""
+        """Typed state per key: a value state (event count, latest event time), a map state (count per event type) and a
+        list state (id and time of the events of the last ``recent_ms`` before the latest one).
+
+        One timer a key, at the end of what its recent events cover: it empties the list, and stands again at the
+        end of the key's silence, when it removes all three. With ``ttl_ms`` every state variable has a time to live instead."""
 
         def init(self, handle) -> None:
-            self.count = handle.getValueState("count", T.StructType([T.StructField("n", T.LongType())]))
-            self.types = handle.getMapState("types", T.StructType([T.StructField("t", T.StringType())]),
-                                            T.StructType([T.StructField("c", T.LongType())]))
-            self.recent = handle.getListState("recent", T.StructType([T.StructField("id", T.LongType())]))
+            self.handle = handle
+            self.count = handle.getValueState("count", "n bigint, latest bigint", ttl_ms)
+            self.types = handle.getMapState("types", "t string", "c bigint", ttl_ms)
+            self.recent = handle.getListState("recent", "id bigint, ms bigint", ttl_ms)
+
+        def _row(self, key, n: int, recent: int) -> pd.DataFrame:
+            return pd.DataFrame({"user_id": [key[0]], "events": [n], "event_types": [sum(1 for _ in self.types.keys())], "recent": [recent]})
+
+        def _alarm(self, at: int | None) -> None:
+            if ttl_ms is None:
+                for t in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(t)
+                if at is not None:
+                    self.handle.registerTimer(at)
 
         def handleInputRows(self, key, rows, timerValues):
-            n = self.count.get()[0] if self.count.exists() else 0
-            recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+            n, latest = self.count.get() if self.count.exists() else (0, 0)
+            recent = list(self.recent.get()) if self.recent.exists() else []
             for pdf in rows:
                 n += len(pdf)
                 for t, c in pdf["event_type"].value_counts().items():
                     prev = self.types.getValue((t,))[0] if self.types.containsKey((t,)) else 0
                     self.types.updateValue((t,), (prev + int(c),))
-                recent = (recent + [int(x) for x in pdf["event_id"]])[-RECENT_EVENTS:]
-            self.count.update((n,))
-            self.recent.put([(x,) for x in recent])
-            n_types = sum(1 for _ in self.types.keys())
-            yield pd.DataFrame({"user_id": [key[0]], "events": [n], "event_types": [n_types],
-                                "recent": [len(recent)]})
+                ms = pdf["ts"].astype("datetime64[ms]").astype("int64")
+                latest = max(latest, int(ms.max()))
+                recent = [r for r in [*recent, *zip(pdf["event_id"].tolist(), ms.tolist())] if r[1] > latest - recent_ms]
+            self.count.update((n, latest))
+            self.recent.put([(int(i), int(m)) for i, m in recent])
+            self._alarm(latest + recent_ms)
+            yield self._row(key, n, len(recent))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            n, latest = self.count.get()
+            self.recent.clear()
+            if expiredTimerInfo.getExpiryTimeInMs() >= latest + silent_ms:
+                self.types.clear()
+                self.count.clear()
+                self._alarm(None)
+            else:
+                self._alarm(latest + max(silent_ms, recent_ms + 1))
+                yield self._row(key, n, 0)
 
         def close(self) -> None:
             pass
@@ -152,8 +178,14 @@ def _activity_processor():
     return UserActivity()
 
 
-def typed_state(stream: DataFrame, key: str = "user_id") -> DataFrame:
-    """``transformWithStateInPandas`` with value and map state (RocksDB store)."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    return stream.select(key, "event_id", "event_type").groupBy(key).transformWithStateInPandas(
-        _activity_processor(), ACTIVITY_OUT, "Update", "None")
+def typed_state(stream: DataFrame, key: str = "user_id", recent_ms: int = RECENT_MS, silent_ms: int = SILENT_MS,
+                watermark: str = "10 minutes", ttl_ms: int | None = None) -> DataFrame:
+    """Totals of each key and its recent events (``transformWithStateInPandas``): a row for each key and batch, and one when its
+    recent events have expired. ``recent`` counts all events within ``recent_ms`` of event time before the key's latest.
+
+    Event-time timers bound the state: the list by ``recent_ms``, the key by ``silent_ms`` of silence after which its totals
+    start anew. Spark offers a time to live per variable with processing time only: ``ttl_ms`` chooses that form, in which state not written for so long is gone.
+    """
+    rows = stream.withWatermark("ts", watermark).select(key, "event_id", "event_type", "ts")
+    return rows.groupBy(key).transformWithStateInPandas(
+        _activity_processor(recent_ms, silent_ms, ttl_ms), ACTIVITY_OUT, "Update", "EventTime" if ttl_ms is None else "ProcessingTime")
