@@ -184,7 +184,8 @@ def typed_state(stream: DataFrame, key: str = "user_id", recent_ms: int = RECENT
     recent events have expired. ``recent`` counts all events within ``recent_ms`` of event time before the key's latest.
 
     Event-time timers bound the state: the list by ``recent_ms``, the key by ``silent_ms`` of silence after which its totals
-    start anew. Spark offers a time to live per variable with processing time only: ``ttl_ms`` chooses that form, in which state not written for so long is gone.
+    start anew. Spark offers a time to live per variable with processing time only: ``ttl_ms`` chooses that form, in which state not written for so long is gone
+    (for queries that keep running; with ``availableNow`` such a query has always one more batch to run).
     """
     rows = stream.withWatermark("ts", watermark).select(key, "event_id", "event_type", "ts")
     return rows.groupBy(key).transformWithStateInPandas(

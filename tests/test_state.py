@@ -52,11 +52,25 @@ def test_events_out_of_order_count_by_time(spark):
     assert rows[0] == [(1, 6, 1, 3)]  # 50, 49 and 27; 26 is a day before
 
 
-def test_time_to_live(spark):
-    rows, _ = _run(spark, [[(1, 1, 0, "a")], [(2, 1, 1, "b")]], ttl_ms=1)
-    assert rows[-1] == [(1, 1, 1, 1)]  # the first batch's state is gone
-    rows, _ = _run(spark, [[(1, 1, 0, "a")], [(2, 1, 1, "b")]], ttl_ms=3_600_000)
-    assert rows[-1] == [(1, 2, 2, 2)]
+@pytest.mark.parametrize("ttl_ms, want", [(1, [(1, 1, 1, 1)]), (3_600_000, [(1, 2, 2, 2)])])
+def test_time_to_live(spark, ttl_ms, want):
+    """State that is older than its time to live is gone when the next row comes. One batch a run: with processing time a query has
+    always one more batch to run, so that ``availableNow`` does not end."""
+    root, out = workdir(spark, "ttl"), []
+    before = {k: spark.conf.get(k, None) for k in S.ROCKSDB_CONF}
+    for k, v in S.ROCKSDB_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        for i, t in ((1, "a"), (2, "b")):
+            spark.createDataFrame([(i, 1, dt.datetime(2024, 1, 1, i), t)], SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+            q = (S.typed_state(stream, ttl_ms=ttl_ms).writeStream.outputMode("update").option("checkpointLocation", f"{root}/ckpt")
+                 .foreachBatch(lambda b, k: out.extend(tuple(r) for r in b.collect())).trigger(once=True).start())
+            assert q.awaitTermination(90)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert out[-1:] == want
 
 
 def test_settings_of_a_run_do_not_stay(spark):
