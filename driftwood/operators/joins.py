@@ -188,48 +188,39 @@ def with_lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-              right_tiebreak: str | None = None, bucket_seconds: int = 86400, null_safe: bool = False) -> DataFrame:
+              right_tiebreak: str | None = None, bucket_seconds: int | None = None, null_safe: bool = False,
+              partitions: int | None = None) -> DataFrame:
     """For each left row, the latest right row of the same key with
     ``right_ts <= left_ts`` (NULL columns when none). Ties on ``right_ts``
     go to the largest ``right_tiebreak``. NULL times match nothing; NULL keys
-    match one another only when ``null_safe``.
+    match one another only when ``null_safe``. ``bucket_seconds`` is kept for callers of the
+    bucketed form and has no effect.
 
-    Skew-proof two-level plan: the carry-forward runs inside (key, time
-    bucket) groups, and the value carried into a bucket comes from a small
-    per-(key, bucket) table. A key holding a third of the rows is spread over
-    its buckets; no group is paired all-against-all.
+    Both sides go through one range shuffle by (key, time): inside (key, partition) the last right row is carried
+    forward, and a table with one row for each key and partition carries it on to the key's next partitions. A key that holds a
+    third of the rows fills as many partitions as its rows need, whatever its times; no group is paired all-against-all.
     """
-    rcols = [c for c in right.columns if c != key]
-    order = [right_ts] + ([right_tiebreak] if right_tiebreak else [])
-    rpay = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__r_{c}") for c in rcols])
+    from driftwood.operators.windows import _ranged, on_keys
 
+    rcols = [c for c in right.columns if c != key]
     right = right.filter(F.col(right_ts).isNotNull())
     if not null_safe:
         right = right.filter(F.col(key).isNotNull())
-    lb = left.withColumn("__b", _bin(left_ts, bucket_seconds))
-    rb = right.withColumn("__b", _bin(right_ts, bucket_seconds))
-
-    # 1) inside each (key, bucket): merge both sides in time order
-    lrows = lb.select(F.col(key).alias("__k"), "__b", F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
-                      F.struct(*[F.col(c) for c in left.columns]).alias("__l"),
-                      F.lit(None).cast(right.select(rpay).schema[0].dataType).alias("__p"))
-    rrows = rb.select(F.col(key).alias("__k"), "__b", F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
-                      F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__l"),
-                      rpay.alias("__p"))
-    tb = [F.col(f"__p.{right_tiebreak}")] if right_tiebreak else []
-    w = (Window.partitionBy("__k", "__b").orderBy("__t", "__side", *tb)
-         .rowsBetween(Window.unboundedPreceding, 0))
-    merged = lrows.unionByName(rrows).withColumn("__in", F.last("__p", ignorenulls=True).over(w))
-    lres = merged.filter(F.col("__side") == 1)
-
-    # 2) value carried into each bucket: last right row of earlier buckets
-    rlast = rb.groupBy(F.col(key).alias("__k"), "__b").agg(F.max_by(rpay, rpay).alias("__last"))
-    lkeys = lb.filter("__b IS NOT NULL").select(F.col(key).alias("__k"), "__b").distinct()
-    grid = (rlast.unionByName(lkeys.withColumn("__last", F.lit(None).cast(rlast.schema["__last"].dataType)))
-            .groupBy("__k", "__b").agg(F.first("__last", ignorenulls=True).alias("__last")))
-    wc = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = grid.select(F.col("__k").alias("__ck"), F.col("__b").alias("__cb"), F.last("__last", ignorenulls=True).over(wc).alias("__carry"))
-
-    out = lres.join(carry, F.col("__k").eqNullSafe(F.col("__ck")) & (F.col("__b") == F.col("__cb")), "left")
+    payload, row = F.struct(*rcols), F.struct(*left.columns)
+    order = F.struct(right_tiebreak) if right_tiebreak else F.lit(None).cast("struct<none: int>")
+    nothing = {"l": F.lit(None).cast(left.select(row.alias("r")).schema["r"].dataType), "p": F.lit(None).cast(right.select(payload.alias("r")).schema["r"].dataType),
+               "o": F.lit(None).cast(right.select(order.alias("r")).schema["r"].dataType)}
+    # of one time, right rows stand first, the largest tie-break last of them
+    r = right.select(F.col(key).alias("__k"), F.col(right_ts).alias("__t"), F.lit(0).alias("__side"), order.alias("__o"), nothing["l"].alias("__l"), payload.alias("__p"))
+    lrows = left.select(F.col(key).alias("__k"), F.col(left_ts).alias("__t"), F.lit(1).alias("__side"), nothing["o"].alias("__o"), row.alias("__l"), nothing["p"].alias("__p"))
+    rows = _ranged(lrows.unionByName(r), ["__k"], ["__t", "__side", "__o"], True, partitions)
+    w = Window.partitionBy("__k", "__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    merged = rows.withColumn("__in", F.last("__p", ignorenulls=True).over(w)).filter("__side = 1")
+    last = rows.filter("__side = 0").groupBy("__k", "__part").agg(F.max("__id").alias("__id"))
+    last = rows.filter("__side = 0").join(last, ["__part", "__id"], "left_semi").select("__k", "__part", F.col("__p").alias("__last"))
+    parts = rows.select("__k", "__part").distinct()
+    wc = Window.partitionBy("__k").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = on_keys(parts, last, ["__k", "__part"], "left").select("__k", "__part", F.last("__last", ignorenulls=True).over(wc).alias("__carry")).filter("__carry IS NOT NULL")
+    out = on_keys(merged, carry, ["__k", "__part"], "left")
     best = F.coalesce(F.col("__in"), F.col("__carry"))
-    return out.select("__l.*", *[best[f"__r_{c}"].alias(c) for c in rcols])
+    return out.select("__l.*", *[best[c].alias(c) for c in rcols])

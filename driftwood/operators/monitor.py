@@ -48,12 +48,14 @@ def lag_trend(history: DataFrame, unit: str = "minute") -> DataFrame:
 
 
 def lag_stuck(history: DataFrame, minutes: int = C.LAG_STUCK_MINUTES, min_lag: int = C.LAG_STUCK_MIN) -> DataFrame:
-    """Lag that did not fall below its level of ``minutes`` ago and is above ``min_lag``."""
-    w = (Window.partitionBy("topic", "partition").orderBy(F.unix_micros(F.col("check_ts").cast("timestamp")))
-         .rangeBetween(-minutes * 60 * 1_000_000, 0))
-    h = history.withColumn("min_lag", F.min("lag").over(w)).withColumn("first_lag", F.first("lag").over(w))
+    """Lag that did not fall below its level of ``minutes`` ago and is above ``min_lag``. Of several rows at the first moment, the
+    smallest lag is that level."""
+    from driftwood.operators.windows import keyed_range_agg
+
+    h = history.withColumn("__us", F.unix_micros(F.col("check_ts").cast("timestamp"))).withColumn("__first", F.struct("__us", "lag"))
+    h = keyed_range_agg(h, ["topic", "partition"], "__us", minutes * 60 * 1_000_000, {"__min": ("lag", "min"), "__at": ("__first", "min")})
     return h.select("check_ts", "topic", "partition", "lag",
-                    ((F.col("lag") > min_lag) & (F.col("min_lag") >= F.col("first_lag"))).alias("stuck"))
+                    ((F.col("lag") > min_lag) & (F.col("__min") >= F.col("__at.lag"))).alias("stuck"))
 
 
 def heartbeat_state(last_seen: DataFrame, now, ts_col: str = "last_ts", healthy_s: int = C.HEARTBEAT_HEALTHY_S,

@@ -161,10 +161,13 @@ def total_over_all(df: DataFrame, agg: Column, name: str) -> DataFrame:
 
 def moving_avg_days(df: DataFrame, part: str, day_col: str, value: str, days: int = 2,
                     name: str = "moving_avg") -> DataFrame:
-    """Average over the last ``days`` calendar days (current included) per key."""
+    """Average over the last ``days`` calendar days (current included) per key; sums and counts of blocks of days, so
+    a hot key spreads over the partitions it fills."""
+    from driftwood.operators.windows import keyed_range_agg
+
     day_num = F.datediff(F.to_date(F.col(day_col)), F.lit("1970-01-01").cast("date"))
-    w = Window.partitionBy(part).orderBy("__d").rangeBetween(-(days - 1), 0)
-    return df.withColumn("__d", day_num).withColumn(name, F.avg(value).over(w)).drop("__d")
+    both = keyed_range_agg(df.withColumn("__d", day_num.cast("long")), [part], "__d", days - 1, {"__s": (value, "sum"), "__n": (value, "count")})
+    return both.withColumn(name, F.col("__s") / F.nullif(F.col("__n"), F.lit(0))).drop("__d", "__s", "__n")
 
 
 # -------------------------------------------------------------- partitions

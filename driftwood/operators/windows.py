@@ -191,39 +191,108 @@ def keyed_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: s
 
 
 def keyed_rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, lo: int, hi: int,
-                     agg=F.avg, name: str = "frame_value", partitions: int | None = None) -> DataFrame:
-    """``agg(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN lo AND hi)``
-    (``lo`` <= 0 <= ``hi``) as an equi-join on (key, position + offset): each
-    row is copied once per frame offset (a constant factor), so a hot key is
-    spread by position instead of sorted in one task."""
-    numbered = keyed_row_number(df, keys, order, "__rn", partitions=partitions)
-    src = (numbered.select(*keys, F.col("__rn").alias("__src"), F.col(value).alias("__v"))
-           .withColumn("__off", F.explode(F.sequence(F.lit(lo), F.lit(hi))))
-           .select(*keys, (F.col("__src") - F.col("__off")).alias("__rn"), "__v"))
-    frame = src.groupBy(*keys, "__rn").agg(agg("__v").alias(name))
-    return on_keys(numbered, frame, [*keys, "__rn"], "left").drop("__rn")
+                     agg: str = "avg", name: str = "frame_value", partitions: int | None = None) -> DataFrame:
+    """``agg(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN lo AND hi)`` (``lo`` <= 0 <= ``hi``; agg: sum, avg
+    or count) as a difference of two prefix sums, so no row is copied and a hot key spreads over the partitions it fills.
+
+    The prefix ``hi`` rows ahead and ``1 - lo`` rows back come from lead and lag inside (key, partition); rows near a
+    partition's edge look them up among the few rows that the key has at the edges of its partitions. Prefix sums of doubles round at the size of the key's
+    total. Frames that hold null values only are null, as in the plain window (a count is 0).
+    """
+    if agg not in ("sum", "avg", "count"):
+        raise ValueError("sum, avg or count")
+    rows = _ranged(df, keys, order, True, partitions)
+    inner = Window.partitionBy(*keys, "__part").orderBy("__id")
+    so_far = inner.rowsBetween(Window.unboundedPreceding, 0)
+    v, back, ahead = F.col(value), 1 - lo, hi
+    sums = rows.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__id").alias("__first"), F.sum(v).alias("__s"), F.count(v).alias("__c"))
+    key = Window.partitionBy(*keys)
+    before = key.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    carried = sums.select(*keys, "__part", F.coalesce(F.sum("__s").over(before), zero).alias("__s0"), F.coalesce(F.sum("__c").over(before), zero).alias("__c0"),
+                          (F.coalesce(F.sum("__cnt").over(before), zero) + 1 - F.col("__first")).alias("__off"), F.sum("__cnt").over(key).alias("__total"),
+                          (F.coalesce(F.sum("__cnt").over(before), zero) + F.col("__cnt")).alias("__last"), F.count(zero).over(key).alias("__parts"), "__cnt")
+    p = on_keys(rows, carried, [*keys, "__part"]).withColumn("__rn", F.col("__id") + F.col("__off"))
+    p = p.withColumn("__p", F.struct((F.coalesce(F.sum(v).over(so_far), zero) + F.col("__s0")).alias("s"), (F.count(v).over(so_far) + F.col("__c0")).alias("c")))
+    p = p.withColumns({"__a": F.lag("__p", back).over(inner), "__z": F.lead("__p", ahead).over(inner) if ahead else F.col("__p")})
+    p = p.withColumns({"__need_a": F.col("__rn") - back, "__need_z": F.least(F.col("__rn") + ahead, F.col("__total"))})
+    # only keys in several partitions have rows whose frame crosses an edge
+    here = F.col("__rn") - F.col("__last") + F.col("__cnt")
+    edge = p.filter("__parts > 1").filter((here <= max(1, ahead)) | (F.col("__last") - F.col("__rn") < back) | (F.col("__rn") == F.col("__total")))
+    edge = edge.select(*keys, F.col("__rn").alias("__at"), F.col("__p").alias("__q"))
+    ends = on_keys(p, edge.filter("__q IS NOT NULL").withColumnsRenamed({"__at": "__need_a", "__q": "__qa"}), [*keys, "__need_a"], "left")
+    ends = on_keys(ends, edge.withColumnsRenamed({"__at": "__need_z", "__q": "__qz"}), [*keys, "__need_z"], "left")
+    # a frame that ends behind the key's last row ends there; in one partition that is the last prefix
+    last = F.struct((F.sum(v).over(Window.partitionBy(*keys, "__part")) + F.col("__s0")).alias("s"), (F.count(v).over(Window.partitionBy(*keys, "__part")) + F.col("__c0")).alias("c"))
+    to = F.coalesce(F.col("__z"), F.col("__qz"), last)
+    start = F.coalesce(F.col("__a"), F.col("__qa"))
+    ends = ends.withColumns({"__to": to, "__from": start})
+    count = F.col("__to.c") - F.coalesce("__from.c", zero)
+    total = F.col("__to.s") - F.coalesce("__from.s", zero)
+    out = count if agg == "count" else F.when(count > 0, total if agg == "sum" else total / count)
+    return ends.select(*df.columns, out.alias(name))
+
+
+_COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+_FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+
+
+def keyed_range_agg(df: DataFrame, keys: Sequence[str], at: str, preceding: int, aggs: dict[str, tuple[str, str]],
+                    partitions: int | None = None) -> DataFrame:
+    """``agg(column) OVER (PARTITION BY keys ORDER BY at RANGE BETWEEN preceding PRECEDING AND CURRENT ROW)`` for each
+    ``aggs`` entry (name -> (column, sum | count | min | max)); ``at`` and ``preceding`` are integers.
+
+    Block decomposition, which needs no inverse: the line is cut into blocks of ``preceding`` + 1, so that a frame is the end of
+    one block and the beginning of the next. Rows of one place are one row first (a partial aggregate). Each place t and each frame start
+    t - preceding are rows of one range shuffle by (keys, place); inside (key, block, partition) a running aggregate forward
+    gives the beginnings, one backward the ends, and a table with one row for each such group carries both across the block's partitions. So neither
+    a hot key nor a hot block of it is one task. Rows without a place are peers of one another, as in the plain window.
+    """
+    places = df.groupBy(*keys, at).agg(*[_FIRST[how](c).alias(n) for n, (c, how) in aggs.items()])
+    names = list(aggs)
+    none = {n: F.lit(None).cast(places.schema[n].dataType).alias(n) for n in names}
+    here = places.select(*keys, F.col(at).alias("__t"), F.lit(1).alias("__side"), F.col(at).alias("__of"), *names)
+    # a frame's start stands before the rows of its place
+    starts = places.select(*keys, (F.col(at) - preceding).alias("__t"), F.lit(0).alias("__side"), F.col(at).alias("__of"), *none.values())
+    rows = _ranged(here.unionByName(starts), keys, ["__t", "__side"], True, partitions)
+    block = F.floor(F.col("__t") / (preceding + 1))
+    rows = rows.withColumn("__block", block)
+    group = Window.partitionBy(*keys, "__block", "__part")
+    up = group.orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    down = group.orderBy(F.desc("__id")).rowsBetween(Window.unboundedPreceding, 0)
+    combine = {n: _COMBINE[how] for n, (_, how) in aggs.items()}
+    total = rows.groupBy(*keys, "__block", "__part").agg(*[combine[n](n).alias(n) for n in names])
+    parts = Window.partitionBy(*keys, "__block").orderBy("__part")
+    carry = total.select(*keys, "__block", "__part",
+                         *[combine[n](n).over(parts.rowsBetween(Window.unboundedPreceding, -1)).alias(f"__up_{n}") for n in names],
+                         *[combine[n](n).over(parts.rowsBetween(1, Window.unboundedFollowing)).alias(f"__down_{n}") for n in names])
+    run = rows.select("*", *[combine[n](n).over(up).alias(f"__in_{n}") for n in names], *[combine[n](n).over(down).alias(f"__out_{n}") for n in names])
+    run = on_keys(run, carry, [*keys, "__block", "__part"])
+    first = F.col("__side") == 1
+    # the frame's start lies in the block before, or in the same one, whose beginning is the whole frame then
+    same = F.floor(F.col("__of") / (preceding + 1)) == F.col("__block")
+    parts_of = []
+    for n in names:
+        parts_of += [F.when(first, F.col(f"__in_{n}")).when(~same, F.col(f"__out_{n}")).alias(n), F.when(first, F.col(f"__up_{n}")).when(~same, F.col(f"__down_{n}")).alias(f"__c_{n}")]
+    run = run.select(*keys, "__of", *parts_of)
+    frames = run.groupBy(*keys, "__of").agg(*[x for n in names for x in (combine[n](n).alias(n), combine[n](f"__c_{n}").alias(f"__c_{n}"))])
+    both = {n: _two(aggs[n][1], F.col(n), F.col(f"__c_{n}")) for n in names}
+    frames = frames.select(*keys, F.col("__of").alias(at), *[both[n].alias(n) for n in names])
+    return on_keys(df, frames, [*keys, at])
+
+
+def _two(how: str, a: Column, b: Column) -> Column:
+    """Two partial results, either null where there is none."""
+    if how in ("sum", "count"):
+        return F.coalesce(a + b, a, b)
+    better = a <= b if how == "min" else a >= b
+    return F.when(a.isNull(), b).when(b.isNull() | better, a).otherwise(b)
 
 
 def keyed_range_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, preceding_seconds: int,
-                    name: str = "range_sum", bucket_seconds: int = 86400, partitions: int | None = None) -> DataFrame:
+                    name: str = "range_sum", partitions: int | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
-    <preceding> PRECEDING AND CURRENT ROW)`` as a difference of prefix sums:
-    P(ts, peers included) - P(just before ts - preceding). The prefix sums come
-    from the skew-safe ``running_sum``, the earlier one by the bucketed ``asof_join``.
-    Rows without a time are peers of one another, as in the plain window."""
-    from driftwood.operators.joins import asof_join
-
-    r = running_sum(df, key, ts, tiebreak, value, "__run", partitions)
-    peers = r.groupBy(key, ts).agg(F.max_by("__run", F.struct(F.col(tiebreak))).alias("__incl"))
-    r = on_keys(r, peers, [key, ts])
-    start = F.col(ts) - F.make_dt_interval(secs=F.lit(preceding_seconds)) - F.expr("INTERVAL 0.000001 SECOND")
-    left = r.withColumn("__start", start)
-    right = r.select(F.col(key).alias("__rk"), F.col(ts).alias("__rts"), F.col(tiebreak).alias("__rtb"),
-                     F.col("__run").alias("__before")).withColumnRenamed("__rk", key)
-    j = asof_join(left, right, key, "__start", "__rts", "__rtb", bucket_seconds, null_safe=True)
-    # the rows without a time come first in the order, but lie in no other row's range
-    undated = r.filter(F.col(ts).isNull()).groupBy(key).agg(F.max("__incl").alias("__undated"))
-    j = on_keys(j, undated, [key], "left")
-    before = F.when(F.col(ts).isNull(), F.lit(0.0)).otherwise(F.coalesce("__before", "__undated", F.lit(0.0)))
-    return j.withColumn(name, F.col("__incl") - before).drop(
-        "__run", "__incl", "__start", "__rts", "__rtb", "__before", "__undated")
+    <preceding> PRECEDING AND CURRENT ROW)`` in microseconds (see ``keyed_range_agg``). Rows of one time are peers, so
+    ``tiebreak`` decides nothing."""
+    at = df.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+    return keyed_range_agg(at, [key], "__us", preceding_seconds * 1_000_000, {name: (value, "sum")}, partitions).drop("__us")

@@ -119,7 +119,7 @@ SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_
        ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 4) AS centred_avg FROM events""")
 def win_rows_frame(spark, d):
     e = load(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    r = W.keyed_rows_frame(e, ["user_id"], ["ts", "event_id"], "value", -3, 3, F.avg, "centred_avg")
+    r = W.keyed_rows_frame(e, ["user_id"], ["ts", "event_id"], "value", -3, 3, "avg", "centred_avg")
     return r.select("event_id", F.round("centred_avg", 4).alias("centred_avg"))
 
 
