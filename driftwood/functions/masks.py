@@ -7,6 +7,8 @@ columns.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,3 +44,12 @@ def redact(c: str | Column) -> Column:
 def hash_id(c: str | Column) -> Column:
     """One-way surrogate: hex SHA-256 of the value's string form."""
     return F.sha2(_c(c).cast("string"), 256)
+
+
+def keyed_digest(c: str | Column, secret: bytes) -> Column:
+    """HMAC-SHA-256 in hex of the value's string form. Without ``secret`` a small key space cannot be enumerated
+    to undo it; the secret belongs in the session's secret store, never beside the data."""
+    key = hashlib.sha256(secret).digest() if len(secret) > 64 else secret
+    inner, outer = (F.lit(bytearray(b ^ pad for b in key.ljust(64, b"\0"))) for pad in (0x36, 0x5C))
+    value = _c(c).cast("string").cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, value), 256))), 256)

@@ -75,18 +75,30 @@ def erase_subject(vault: DataFrame, silver: DataFrame, subject, vault_key: str,
                   pii_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Right to erasure: NULL the subject's personal columns in the vault and
     drop the subject's rows from silver. Returns the two rewritten tables."""
-    is_subj = F.col(vault_key) == F.lit(subject) if not isinstance(subject, Column) else F.col(vault_key) == subject
+    is_subj = _is_subject(vault_key, subject)
     v = vault.withColumns({c: F.when(is_subj, F.lit(None).cast(vault.schema[c].dataType)).otherwise(F.col(c))
                            for c in pii_cols})
-    s_subj = F.col(silver_key) == (F.lit(subject) if not isinstance(subject, Column) else subject)
-    s = silver.filter(~F.coalesce(s_subj, F.lit(False)))
-    return v, s
+    return v, silver.filter(~_is_subject(silver_key, subject))
 
 
-def vault_split(facts: DataFrame, people: DataFrame, fact_key: str, people_key: str,
+def _is_subject(key: str, subject) -> Column:
+    return F.coalesce(F.col(key) == (subject if isinstance(subject, Column) else F.lit(subject)), F.lit(False))
+
+
+def erasure_report(tables: dict[str, tuple[DataFrame, str, str]], subject) -> DataFrame:
+    """What an erasure touches: for each table (name -> (table, key column, action)) its rows and those of the subject."""
+    out = None
+    for name, (df, key, action) in tables.items():
+        r = df.agg(F.count(F.lit(1)).alias("table_rows"), F.count_if(_is_subject(key, subject)).alias("rows_touched"))
+        r = r.select(F.lit(name).alias("table_name"), F.lit(action).alias("action"), "table_rows", "rows_touched")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def vault_split(facts: DataFrame, people: DataFrame, fact_key: str, people_key: str, secret: bytes,
                 ref_col: str = "customer_ref") -> tuple[DataFrame, DataFrame]:
-    """Replace the person key in facts by a one-way SHA-256 reference and keep
-    the personal columns in a separate vault keyed by the same reference."""
-    bronze = facts.withColumn(ref_col, masks.hash_id(fact_key)).drop(fact_key)
-    vault = people.withColumn(ref_col, masks.hash_id(people_key)).drop(people_key)
+    """Replace the person key in facts by a keyed one-way digest (HMAC-SHA-256) and keep
+    the personal columns in a separate vault under the same reference."""
+    bronze = facts.withColumn(ref_col, masks.keyed_digest(fact_key, secret)).drop(fact_key)
+    vault = people.withColumn(ref_col, masks.keyed_digest(people_key, secret)).drop(people_key)
     return bronze, vault

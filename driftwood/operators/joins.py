@@ -156,18 +156,44 @@ def hot_key_join(big: DataFrame, bkey: str, small: DataFrame, skey: str, min_sha
     return hot.unionByName(cold)
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int, root: str, name: str) -> str:
-    """Write ``df`` as a bucketed, sorted Parquet table at ``root/name``; returns
+def write_bucketed(df: DataFrame, key: str, buckets: int, root: str, name: str, partition_by: str | None = None) -> str:
+    """Write ``df`` as a bucketed, sorted Parquet table at ``root/name`` (in folders of ``partition_by``, if given); returns
     the table name. Two tables bucketed alike on the join key join without an
-    Exchange."""
+    Exchange. Rows go to their bucket's task first, so a folder has one file for each bucket."""
     import uuid
 
     table = f"{name}_{uuid.uuid4().hex[:8]}"
-    (df.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    w = (df.repartition(buckets, key) if partition_by else df).write
+    w = w.partitionBy(partition_by) if partition_by else w
+    (w.bucketBy(buckets, key).sortBy(key).format("parquet")
      .option("path", f"{root}/{name}").saveAsTable(table))
     return table
 
 
+def session_with(spark, confs: dict[str, str]):
+    """A session beside ``spark`` (same catalog tables) with settings of its own."""
+    other = spark.newSession()
+    for k, v in confs.items():
+        other.conf.set(k, v)
+    return other
+
+
+#: a bucket of the key holds all of a (partition, key) pair, so the two sides' buckets meet without a shuffle
+ALIGNED_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.session.timeZone": "UTC"}
+
+
+def aligned_join(spark, left: str, right: str, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """Inner join of two catalog tables written by ``write_bucketed`` with equal partition columns and equal buckets, on pairs of
+    columns that hold both; a filter on the partition prunes both sides."""
+    s = session_with(spark, ALIGNED_CONF)
+    a, b = s.table(left), s.table(right)
+    cond = F.lit(True)
+    for x, y in on:
+        cond = cond & (a[x] == b[y])
+    return a.join(b, cond)
+
+
 def lookup_map(df: DataFrame, key: str, value: str, max_rows: int = 10_000):
     """A small key/value table as a literal map column (size proven first)."""
     if not small_enough(df.select(key, value), max_rows):

@@ -26,9 +26,11 @@ def batch_progress(spark: SparkSession, path: str) -> DataFrame:
 
 def batch_alerts(progress: DataFrame, max_duration_ms: int, empty_run: int = C.EMPTY_BATCH_RUN) -> DataFrame:
     """Slow batch, empty batch, and ``empty_run`` empty batches in a row."""
-    w = Window.orderBy("batch_id")  # progress has one row per batch (bounded)
-    empty = (F.col("num_rows") == 0).cast("int")
-    run = F.sum(empty).over(w.rowsBetween(-(empty_run - 1), 0))
+    from driftwood.operators.windows import keyed_rows_frame
+
+    marked = progress.withColumn("__empty", (F.col("num_rows") == 0).cast("int"))
+    progress = keyed_rows_frame(marked, [], ["batch_id"], "__empty", -(empty_run - 1), 0, "sum", "__run")
+    run = F.col("__run")
     return progress.select(
         "batch_id", "num_rows", "duration_ms",
         (F.col("duration_ms") > max_duration_ms).alias("slow"),
@@ -72,12 +74,12 @@ def severity():
 
 def health_board(parts: Sequence[DataFrame]) -> DataFrame:
     """Union of typed component checks (component, check_ts, status, metric),
-    latest check per component, most severe first."""
+    latest check per component (of several at one time the one with the largest metric, then the first initial of the status), most severe first."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     row = F.struct(*[F.col(c) for c in u.columns])
-    latest = u.groupBy("component").agg(F.max_by(row, F.col("check_ts")).alias("r")).select("r.*")
+    latest = u.groupBy("component").agg(F.max_by(row, F.struct("check_ts", "metric", -F.ascii("status"))).alias("r")).select("r.*")
     return latest.orderBy(severity(), "component")
 
 
@@ -110,16 +112,19 @@ def drop_rate(metrics: DataFrame, limit: float = C.DROP_RATE_ALERT) -> DataFrame
 
 
 def schema_drift(batches: DataFrame, json_col: str, batch_col: str) -> DataFrame:
-    """Columns new, missing or retyped per batch, from the JSON keys seen in
-    each batch (key set and value kinds are small)."""
+    """Columns new, missing, retyped or the same per batch, against the batch before it in order of ``batch_col``,
+    from the JSON keys and value kinds seen in each batch. A column that returns after an absence is new again."""
+    from driftwood.operators.windows import global_row_number
+
     kv = batches.select(batch_col, F.explode(F.from_json(F.col(json_col), "map<string,string>")).alias("k", "v"))
     kinds = kv.select(batch_col, "k", F.when(F.col("v").rlike(r"^-?\d+$"), "bigint")
                       .when(F.col("v").rlike(r"^-?\d+\.\d*$"), "double").otherwise("string").alias("kind"))
-    seen = kinds.groupBy(batch_col, "k").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
-    w = Window.partitionBy("k").orderBy(batch_col)
-    s = seen.withColumn("prev_kinds", F.lag("kinds").over(w))
-    return s.select(batch_col, "k", F.when(F.col("prev_kinds").isNull(), "new")
-                    .when(F.col("prev_kinds") != F.col("kinds"), "retyped").otherwise("same").alias("change"))
+    order = global_row_number(batches.select(batch_col).filter(F.col(batch_col).isNotNull()).distinct(), [batch_col], "__n")
+    seen = kinds.groupBy(batch_col, "k").agg(F.array_sort(F.collect_set("kind")).alias("kinds")).join(order, batch_col).drop(batch_col)
+    before = seen.select("k", (F.col("__n") + 1).alias("__n"), F.col("kinds").alias("prev_kinds"))
+    both = seen.join(before, ["k", "__n"], "full_outer").join(order, "__n")  # what follows the last batch falls out here
+    return both.select(batch_col, "k", F.when(F.col("kinds").isNull(), "missing").when(F.col("prev_kinds").isNull(), "new")
+                       .when(F.col("prev_kinds") != F.col("kinds"), "retyped").otherwise("same").alias("change"))
 
 
 def skew_alert(df: DataFrame, factor: float = C.SKEW_FACTOR) -> DataFrame:

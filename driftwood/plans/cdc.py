@@ -211,26 +211,54 @@ def replica_sync(spark, d):
 SUBJECT = "(SELECT min(c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING')"
 
 
-@case("erase_subject", f"SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey <> {SUBJECT}")
+@case("erase_subject", f"""
+SELECT 'silver' AS part, o_orderkey AS id, o_custkey AS ref, NULL AS name, NULL::BIGINT AS table_rows, NULL::BIGINT AS rows_touched
+FROM orders WHERE o_custkey <> {SUBJECT}
+UNION ALL SELECT 'vault', c_custkey, NULL, CASE WHEN c_custkey = {SUBJECT} THEN NULL ELSE c_name END, NULL, NULL FROM customer
+UNION ALL SELECT 'report', NULL, NULL, 'vault: nulled', count(*), count(*) FILTER (c_custkey = {SUBJECT}) FROM customer
+UNION ALL SELECT 'report', NULL, NULL, 'silver: dropped', count(*), count(*) FILTER (o_custkey = {SUBJECT}) FROM orders""")
 def erase_subject(spark, d):
+    """Both tables after the erasure, written and read again, and the report of what it touched."""
     from driftwood.operators.govern import erase_subject as erase
+    from driftwood.operators.govern import erasure_report
+
+    root = workdir(spark, "erase")
+    c, o = load(spark, d, "customer").select("c_custkey", "c_name"), load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    subject = load(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.min("c_custkey")).scalar()
+    vault, silver = erase(c, o, subject, "c_custkey", "o_custkey", ["c_name"])
+    report = erasure_report({"vault": (c, "c_custkey", "nulled"), "silver": (o, "o_custkey", "dropped")}, subject)
+    for name, df in (("vault", vault), ("silver", silver), ("report", report)):
+        df.write.parquet(f"{root}/{name}")
+    none = F.lit(None)
+    parts = (("silver", "o_orderkey", "o_custkey", none, none, none), ("vault", "c_custkey", none, "c_name", none, none),
+             ("report", none, none, F.concat_ws(": ", "table_name", "action"), "table_rows", "rows_touched"))
+    kinds = {"id": "long", "ref": "long", "name": "string", "table_rows": "long", "rows_touched": "long"}
+    out = None
+    for name, *values in parts:
+        cols = [(F.col(v) if isinstance(v, str) else v).cast(kinds[k]).alias(k) for k, v in zip(kinds, values)]
+        part = spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("part"), *cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    c, o = load(spark, d, "customer"), load(spark, d, "orders")
-    subject = c.filter("c_mktsegment = 'BUILDING'").select(F.min("c_custkey")).scalar()
-    vault, silver = erase(c.select("c_custkey", "c_name"), o.select("o_orderkey", "o_custkey"),
-                          subject, "c_custkey", "o_custkey", ["c_name"])
-    return silver
+
+#: the case's own secret; a deployment takes its secret from the session
+VAULT_SECRET = b"secret of the pii_vault case"
+
+
+def _hmac_sql(value: str) -> str:
+    inner, outer = ("".join(f"\\x{b ^ pad:02X}" for b in VAULT_SECRET.ljust(64, b"\0")) for pad in (0x36, 0x5C))
+    return f"sha256('{outer}'::BLOB || from_hex(sha256('{inner}'::BLOB || encode({value}))))"
 
 
-@case("pii_vault", """
-SELECT o.o_orderkey, sha256(CAST(o.o_custkey AS VARCHAR)) AS customer_ref, c.c_name
+@case("pii_vault", f"""
+SELECT o.o_orderkey, {_hmac_sql("CAST(o.o_custkey AS VARCHAR)")} AS customer_ref, c.c_name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
 def pii_vault(spark, d):
     from driftwood.operators.govern import vault_split
 
     c, o = load(spark, d, "customer"), load(spark, d, "orders")
     bronze, vault = vault_split(o.select("o_orderkey", "o_custkey"), c.select("c_custkey", "c_name"),
-                                "o_custkey", "c_custkey")
+                                "o_custkey", "c_custkey", VAULT_SECRET)
     return bronze.join(vault, "customer_ref").select("o_orderkey", "customer_ref", "c_name")
 
 
@@ -306,13 +334,13 @@ def archive_split(spark, d):
 
 @case("sink_upsert", T1_SQL)
 def sink_upsert(spark, d):
-    """Change events streamed in three files; each micro-batch is merged into
-    the target by ``foreachBatch`` (latest per key, tombstones kept)."""
+    """Change events streamed in files; each micro-batch adds deltas to the buckets it touches and
+    merges those that have two (latest per key, tombstones kept)."""
     root = workdir(spark, "sink_upsert")
     ev = change_events(spark, d)
     for step in ("ts_ms < 1700000001600", "ts_ms BETWEEN 1700000001600 AND 1700000002500", "ts_ms > 1700000002500"):
         ev.filter(step).write.mode("append").parquet(f"{root}/in")
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    run_available_now(s, None, f"{root}/_ckpt", foreach_batch=ops.upsert_batch(f"{root}/target", KEY, "ts_ms", TB))
+    run_available_now(s, None, f"{root}/_ckpt", foreach_batch=ops.upsert_batch(f"{root}/target", KEY, "ts_ms", TB, buckets=8, merge_every=2))
     tgt = ops.read_latest_snapshot(spark, f"{root}/target")
     return tgt.filter("op <> 'd'").select(*COLS)

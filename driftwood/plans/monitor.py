@@ -154,17 +154,7 @@ def union_sql(spark, d):
 
 @case("health_board", HEALTH_SQL + " SELECT component, check_ts, status, metric FROM r WHERE rn = 1")
 def health_board(spark, d):
-    parts = health_parts(spark, d)
-    # tie-break inside a component: latest check, then largest metric, then status
-    from pyspark.sql import functions as Fn
-
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    row = Fn.struct("component", "check_ts", "status", "metric")
-    order = Fn.struct(Fn.col("check_ts"), Fn.col("metric"), Fn.lit(0) - Fn.ascii("status"))
-    latest = u.groupBy("component").agg(Fn.max_by(row, order).alias("r")).select("r.*")
-    return latest.orderBy(M.severity(), "component")
+    return M.health_board(health_parts(spark, d))
 
 
 EVLOG_SQL = """WITH log AS (
@@ -236,12 +226,24 @@ def drop_rate(spark, d):
     return M.drop_rate(metrics, 0.01)
 
 
-@case("schema_drift", check="A")
+@case("schema_drift", """
+WITH r AS (SELECT CASE o_orderkey % 10 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS batch, o_orderkey % 10 AS m FROM orders WHERE o_orderkey % 10 <> 3),
+kv AS (SELECT batch, unnest(['o_orderkey', 'o_custkey']) AS k, 'bigint' AS kind FROM r
+       UNION SELECT batch, 'o_orderstatus', 'string' FROM r UNION SELECT batch, 'o_totalprice', 'double' FROM r WHERE m NOT IN (1, 2)
+       UNION SELECT batch, 'o_totalprice', 'string' FROM r WHERE m = 2 UNION SELECT batch, 'channel', 'string' FROM r WHERE m = 0),
+seen AS (SELECT batch, k, list_sort(list(DISTINCT kind)) AS kinds FROM kv GROUP BY 1, 2),
+grid AS (SELECT b.batch, c.k FROM (SELECT DISTINCT batch FROM seen) b, (SELECT DISTINCT k FROM seen) c)
+SELECT g.batch, g.k, CASE WHEN s.kinds IS NULL THEN 'missing' WHEN p.kinds IS NULL THEN 'new' WHEN p.kinds <> s.kinds THEN 'retyped' ELSE 'same' END AS change
+FROM grid g LEFT JOIN seen s ON s.batch = g.batch AND s.k = g.k LEFT JOIN seen p ON p.batch = g.batch - 1 AND p.k = g.k
+WHERE s.kinds IS NOT NULL OR p.kinds IS NOT NULL""")
 def schema_drift(spark, d):
+    """Three batches: the plain lines, those with a further column, those that lack the price."""
     from driftwood.plans.sources import _messy_json_lines
 
     root = _messy_json_lines(spark, d)
-    raw = spark.read.text(root).withColumn("batch", (F.col("value").contains("channel")).cast("int"))
+    value = F.col("value")
+    batch = F.when(value.contains("channel"), 1).when(value.endswith("}") & ~value.contains("o_totalprice"), 2).otherwise(0)
+    raw = spark.read.text(root).withColumn("batch", batch)
     return M.schema_drift(raw, "value", "batch")
 
 

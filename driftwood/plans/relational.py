@@ -333,9 +333,8 @@ def join_salted(spark, d):
 @case("join_aqe_skew", """
 SELECT l.l_orderkey, l.l_linenumber, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 def join_aqe_skew(spark, d):
-    """Runtime skew split: AQE confs as in the guide; the plan is a plain join."""
-    for k, v in J.AQE_SKEW_CONF.items():
-        spark.conf.set(k, v)
+    """Runtime skew split: AQE confs as in the guide, in a session of their own; the plan is a plain join."""
+    spark = J.session_with(spark, J.AQE_SKEW_CONF)
     li, p = T(spark, d, "lineitem"), T(spark, d, "part").select("p_partkey", "p_brand")
     return li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", "l_linenumber", "p_brand")
 
@@ -366,14 +365,16 @@ SELECT o.o_orderkey, CAST(o.o_orderdate AS DATE) AS dt, count(*) AS n_items
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 GROUP BY o.o_orderkey, CAST(o.o_orderdate AS DATE)""")
 def join_partition_aligned(spark, d):
-    o = T(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("dt"))
-    li = T(spark, d, "lineitem")
-    # lineitem carries its order's date partition (dt) as data would after a
-    # partition-aligned load; the join key includes the partition column.
-    li_dt = li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("dt").alias("l_dt")), "l_orderkey")
-    return (o.join(li_dt.select("l_orderkey", "l_dt"),
-                   (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("dt") == F.col("l_dt")))
-            .groupBy("o_orderkey", "dt").agg(F.count(F.lit(1)).alias("n_items")))
+    """Both tables lie in month partitions and in buckets of the order key, written so at load time (when line items get their
+    order's date); the join on (month, key) then reads bucket beside bucket, without an Exchange on either side."""
+    o = T(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("dt"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("month").alias("l_month")), "l_orderkey")
+    root = workdir(spark, "aligned")
+    ot = J.write_bucketed(o, "o_orderkey", 4, root, "orders", partition_by="month")
+    lt = J.write_bucketed(li, "l_orderkey", 4, root, "lineitem", partition_by="l_month")
+    return J.aligned_join(spark, ot, lt, [("month", "l_month"), ("o_orderkey", "l_orderkey")]).groupBy("o_orderkey", "dt").agg(
+        F.count(F.lit(1)).alias("n_items"))
 
 
 @case("join_dpp", """
