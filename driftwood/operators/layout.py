@@ -10,6 +10,7 @@ Rewrites go to a new directory; publishing is the caller's choice.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -54,6 +55,35 @@ def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_
                                  "files_before long, files_after long, bytes_before long, bytes_after long")
 
 
+def compact_slice(spark: SparkSession, path: str, partition_by: Sequence[str], where: str,
+                  target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Compaction of the partitions of a table that match ``where`` (over its partition columns), in place.
+
+    A REBALANCE on the partition columns aims at ``target_bytes``, merging small pieces and splitting large ones, so one partition value may
+    fill several tasks and files; the job's commit replaces the slice's partitions by dynamic overwrite, all others stay as
+    they are. Returns files and bytes of the slice before and after."""
+    from driftwood.operators.joins import session_with
+
+    target = session_with(spark, {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+                                  "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"})
+    table = target.read.parquet(path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    slice_ = table.filter(where)
+    folders = f"{path.rstrip('/')}_slice-{uuid.uuid4().hex[:12]}"
+    slice_.select(folder.alias("folder")).distinct().write.parquet(folders)  # read before and after its files are replaced
+    chosen = spark.read.schema("folder string").parquet(folders)
+
+    def size(state: str) -> DataFrame:
+        files = data_files(spark, path).withColumn("folder", F.regexp_replace("path", "/[^/]*$", "")).join(chosen, "folder", "left_semi")
+        return files.agg(F.count(F.lit(1)).alias(f"files_{state}"), F.coalesce(F.sum("size"), F.lit(0)).alias(f"bytes_{state}"))
+
+    before = [tuple(r) for r in size("before").collect()]
+    (slice_.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    report = spark.createDataFrame(before, "files_before long, bytes_before long")
+    return report.join(size("after"))
+
+
 def sized_write(df: DataFrame, path: str, max_records_per_file: int | None = None,
                 partitions: int | None = None) -> None:
     """Right-sized files: a REBALANCE (AQE splits/merges to the advisory size)
@@ -267,6 +297,21 @@ def column_stats(spark: SparkSession, table: str, column: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {table} {column}")
 
 
+def stats_rows(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The catalog's column statistics (after ANALYZE ... FOR COLUMNS), one row for each column: type, min, max, num_nulls,
+    distinct_count (an estimate), avg_col_len, max_col_len and the histogram's height and bins, null where the catalog has none."""
+    names = ("data_type", "min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len", "histogram")
+    rows = []
+    for c in columns or spark.table(table).columns:  # catalog entries, a few for each column
+        told = column_stats(spark, table, f"`{c}`").collect()
+        got = {r["info_name"]: None if r["info_value"] == "NULL" else r["info_value"] for r in told}
+        bins = [r["info_name"] + ": " + (r["info_value"] or "") for r in told if r["info_name"].startswith("bin_")]
+        got["histogram"] = "; ".join([x for x in (got.get("histogram"), *bins) if x]) or None
+        rows.append((c, *[got.get(n) for n in names]))
+    raw = spark.createDataFrame(rows, "column_name string, " + ", ".join(f"{n} string" for n in names))
+    return raw.withColumns({n: F.col(n).cast("long") for n in ("num_nulls", "distinct_count", "avg_col_len", "max_col_len")})
+
+
 def table_stats_rollup(spark: SparkSession, path: str) -> DataFrame:
     """numFiles, bytes and average file size from the file listing."""
     return data_files(spark, path).agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("size_bytes"),

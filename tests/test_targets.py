@@ -3,13 +3,14 @@
 import glob
 import hashlib
 import hmac
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftwood.functions import masks
-from driftwood.operators import cdc, govern, joins, monitor
+from driftwood.operators import cdc, govern, joins, layout, monitor
 from driftwood.session import workdir
 from driftwood.streaming import ops
 
@@ -112,3 +113,33 @@ def test_empty_streaks(spark):
     rows = [(k, n, 10) for k, n in enumerate([1, 0, 0, 0, 0, 2, 0, 0, 3, 0, 0, 0])]
     got = monitor.batch_alerts(spark.createDataFrame(rows, "batch_id long, num_rows long, duration_ms long"), 20, 3).orderBy("batch_id")
     assert [r["empty_streak"] for r in got.collect()] == [False, False, False, True, True, False, False, False, False, False, False, True]
+
+
+def test_slice_compaction_leaves_the_rest(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(6000).select("id", (F.col("id") % 3).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(12).write.partitionBy("p").parquet(path)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/p=*/*.parquet")}
+    rows = sorted(map(tuple, spark.read.parquet(path).collect()))
+    r = layout.compact_slice(spark, path, ["p"], "p = 1", target_bytes=1 << 20).first()
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/p=*/*.parquet")}
+    assert {f: t for f, t in after.items() if "/p=1/" not in f} == {f: t for f, t in before.items() if "/p=1/" not in f}
+    assert (r["files_before"], r["files_after"]) == (12, 1) and sum("/p=1/" in f for f in after) == 1
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == rows
+    r = layout.compact_slice(spark, path, ["p"], "p IN (0, 2)", target_bytes=16 << 10).first()
+    assert 4 <= r["files_after"] < r["files_before"] == 24  # one partition value is several files where it is large
+    assert layout.compact_slice(spark, path, ["p"], "p = 77").first()["files_after"] == 0
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == rows
+
+
+def test_statistics_as_rows(spark):
+    name = "stats_rows_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.range(100).select(F.col("id"), F.when(F.col("id") % 4 > 0, F.col("id") % 7).alias("g"), F.lit("abc").alias("s")).write.saveAsTable(name)
+    try:
+        assert [r["min"] for r in layout.stats_rows(spark, name).collect()] == [None] * 3
+        layout.analyze_table(spark, name, ["id", "g", "s"])
+        got = {r["column_name"]: r for r in layout.stats_rows(spark, name).collect()}
+        assert (got["id"]["min"], got["id"]["max"], got["id"]["num_nulls"]) == ("0", "99", 0)
+        assert (got["g"]["num_nulls"], got["g"]["distinct_count"], got["s"]["max_col_len"]) == (25, 7, 3)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
