@@ -46,7 +46,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
                   latest: bool = False) -> DataFrame:
     """Keep one row per key: the smallest (or largest) by ``order``.
 
-    Uses ``min_by``/``max_by`` of the whole row, which is a hash aggregate
+    Uses ``min_by``/``max_by`` of the whole row, which plans a sort aggregate
     with a map-side partial step: a key holding a third of the rows is
     reduced on every mapper before the shuffle, instead of being sorted in
     one task as ``row_number() = 1`` would. ``order`` must be unique per key
