@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from driftwood import constants as C
 from driftwood.operators import layout as L
+from driftwood.operators import sketches
 from driftwood.streaming.runner import read_progress
 
 
@@ -145,10 +146,11 @@ def workload_summary(runs: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- advice
 
 def cluster_key_advice(qlog: DataFrame, table: DataFrame, lo: int = C.CLUSTER_NDV_BOUNDS[0],
-                       hi: int = C.CLUSTER_NDV_BOUNDS[1]) -> DataFrame:
+                       hi: int = C.CLUSTER_NDV_BOUNDS[1], exact: bool = False) -> DataFrame:
     """Score = .4 frequency + .2 cardinality fit + .2 filter share + .1 spread
     + .1 join/group gain, ranked. Frequency = share of distinct queries
-    touching the column; cardinality fit = 1 when ``lo <= ndv <= hi``."""
+    touching the column; cardinality fit = 1 when ``lo <= ndv <= hi``. Distinct counts come from
+    sketches (stated error in ``sketches``); ``exact`` counts, which copies every row once for each column."""
     total = qlog.select(F.count_distinct("query_id")).scalar()
     f = qlog.groupBy("column_name").agg(
         (F.count_distinct("query_id") / total).alias("frequency"),
@@ -156,8 +158,11 @@ def cluster_key_advice(qlog: DataFrame, table: DataFrame, lo: int = C.CLUSTER_ND
         (F.count_if(F.col("clause").isin("join", "group")) / F.count(F.lit(1))).alias("gain"))
     cols = [r[0] for r in qlog.select("column_name").distinct().collect()]  # column names: bounded
     cols = [c for c in cols if c in table.columns]
-    wide = table.agg(*[F.count_distinct(c).alias(c) for c in cols])
-    nd = wide.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") AS (column_name, ndv)")
+    if exact:
+        wide = table.agg(*[F.count_distinct(c).alias(c) for c in cols])
+        nd = wide.selectExpr(f"stack({len(cols)}, " + ", ".join(f"'{c}', `{c}`" for c in cols) + ") AS (column_name, ndv)")
+    else:
+        nd = sketches.profile(sketches.column_sketches(table, cols)).select("column_name", F.col("distinct_count").alias("ndv"))
     card = F.when(F.col("ndv").between(lo, hi), 1.0).otherwise(0.0)
     w8 = C.CLUSTER_SCORE_WEIGHTS
     s = f.join(nd, "column_name").withColumn("cardinality_score", card).withColumn(

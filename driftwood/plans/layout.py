@@ -224,7 +224,7 @@ def cluster_advice(spark, d):
     from driftwood.operators.monitor import cluster_key_advice
 
     li = load(spark, d, "lineitem")
-    return cluster_key_advice(query_log(spark, d), li)
+    return cluster_key_advice(query_log(spark, d), li, exact=True)
 
 
 @case("layout_advice", """
