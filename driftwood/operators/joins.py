@@ -242,11 +242,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     rows = _ranged(lrows.unionByName(r), ["__k"], ["__t", "__side", "__o"], True, partitions)
     w = Window.partitionBy("__k", "__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
     merged = rows.withColumn("__in", F.last("__p", ignorenulls=True).over(w)).filter("__side = 1")
-    last = rows.filter("__side = 0").groupBy("__k", "__part").agg(F.max("__id").alias("__id"))
-    last = rows.filter("__side = 0").join(last, ["__part", "__id"], "left_semi").select("__k", "__part", F.col("__p").alias("__last"))
-    parts = rows.select("__k", "__part").distinct()
+    last = rows.groupBy("__k", "__part").agg(F.max_by("__p", F.when(F.col("__side") == 0, F.col("__id"))).alias("__last"))
     wc = Window.partitionBy("__k").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = on_keys(parts, last, ["__k", "__part"], "left").select("__k", "__part", F.last("__last", ignorenulls=True).over(wc).alias("__carry")).filter("__carry IS NOT NULL")
+    carry = last.select("__k", "__part", F.last("__last", ignorenulls=True).over(wc).alias("__carry")).filter("__carry IS NOT NULL")
     out = on_keys(merged, carry, ["__k", "__part"], "left")
     best = F.coalesce(F.col("__in"), F.col("__carry"))
     return out.select("__l.*", *[best[c].alias(c) for c in rcols])
