@@ -3,7 +3,7 @@ Z-order and Hilbert clustering, per-file statistics and file skipping,
 bloom filters, table statistics, obsolete-file reports and advice queries.
 
 Jobs read and write whole tables as Spark jobs; the driver only sees file
-listings (paths, sizes) and bounded lists (quantile edges, per-column stats).
+listings (paths, sizes) and bounded lists (rank edges, per-column stats).
 Rewrites go to a new directory; publishing is the caller's choice.
 """
 
@@ -13,12 +13,14 @@ import math
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood import constants as C
+from driftwood.operators.windows import global_running_sum
 from driftwood.sources.ingest import list_files
 
 TARGET_FILE_BYTES = C.COMPACT_TARGET_BYTES
@@ -115,26 +117,67 @@ def auto_compact(spark: SparkSession, path: str, small_bytes: int = C.AUTO_COMPA
 
 # -------------------------------------------------------------- space-filling curves
 
-def rank_bits(df: DataFrame, cols: Sequence[str], bits: int = 8, accuracy: int = 10000) -> DataFrame:
-    """Each column mapped to an equi-depth bucket in [0, 2^bits): quantile
-    edges from ``percentile_approx`` (a bounded list of 2^bits - 1 values per
-    column, fetched once), bucket = number of edges below the value, found by
-    a ``bits``-step binary search in column algebra (O(bits) per row, code-
-    generated; no per-row scan of the edge list)."""
-    qs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = df.agg(*[F.percentile_approx(c, qs, accuracy).alias(c) for c in cols]).first()
+#: largest number of bits of a rank: 2^bits edges a key are sent to the tasks (8 MB of numbers at most)
+MAX_RANK_BITS = 20
+
+
+def _sort_key(df: DataFrame, name: str) -> Column:
+    """A bigint, double or string in the order of the column (decimals by their nearest double, so close ones may tie)."""
+    kind, c = df.schema[name].dataType.simpleString(), F.col(name)
+    if kind in ("boolean", "tinyint", "smallint", "int", "bigint"):
+        return c.cast("long")
+    if kind == "date":
+        return F.unix_date(c).cast("long")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp"))
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        return c.cast("double")
+    if kind == "binary":
+        return F.hex(c)
+    if kind == "string":
+        return c
+    raise ValueError(f"no curve order for {name} of type {kind}")
+
+
+def rank_edges(df: DataFrame, name: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort keys at which the rank changes, ascending, and the ranks from there on (at most 2^bits of each).
+
+    The rank of a value is floor(2^bits * share of the non-null rows below it), exact: rows are counted per value (a hot value
+    is one row from the map side on), values are summed up inside range partitions and shifted by the totals of
+    earlier ones.
+    """
+    counts = df.select(_sort_key(df, name).alias("__v")).filter("__v IS NOT NULL").groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
+    below = global_running_sum(counts, ["__v"], "__n", "__below", "__total")
+    rank = F.least(F.lit((1 << bits) - 1), F.floor(F.col("__below") / F.col("__total") * F.lit(1 << bits)))
+    edges = below.groupBy(rank.alias("__rank")).agg(F.min("__v").alias("__v")).orderBy("__rank").toArrow()
+    return edges["__v"].to_numpy(), edges["__rank"].to_numpy()
+
+
+def _rank_lookup(given):
+    @F.pandas_udf("long")
+    def rank(keys: pd.Series) -> pd.Series:
+        edges, of = given.value
+        at = np.searchsorted(edges, keys.to_numpy(dtype=edges.dtype), side="right") - 1
+        return pd.Series(of[np.maximum(at, 0)])
+
+    return rank
+
+
+def rank_bits(df: DataFrame, cols: Sequence[str], bits: int = 16) -> DataFrame:
+    """``df`` with ``__r_<column>``, the column's equi-depth rank in [0, 2^bits) (see ``rank_edges``); null has rank 0 and
+    equal values have equal ranks. Rows are not shuffled: tasks look values up in the sorted edges, a batch at a time."""
+    if not 1 <= bits <= MAX_RANK_BITS:
+        raise ValueError(f"1 to {MAX_RANK_BITS} bits")
+    sc = df.sparkSession.sparkContext
     out = df
     for c in cols:
-        name = f"__r_{c}"
-        vals = edges[c]
-        out = out.withColumn(name, F.lit(0).cast("long"))
-        if not vals:
+        values, ranks = rank_edges(df, c, bits)
+        if not len(values):
+            out = out.withColumn(f"__r_{c}", F.lit(0).cast("long"))
             continue
-        arr = F.array(*[F.lit(v) for v in vals])
-        for level in range(bits - 1, -1, -1):
-            probe = F.col(name) + F.lit(1 << level)
-            out = out.withColumn(name, F.when(F.col(c) > F.element_at(arr, probe.cast("int")), probe)
-                                 .otherwise(F.col(name)))
+        rank, key = _rank_lookup(sc.broadcast((values, ranks))), _sort_key(df, c)
+        any_value = F.lit("" if values.dtype == object else 0).cast(df.select(key).schema[0].dataType)
+        out = out.withColumn(f"__r_{c}", F.when(key.isNull(), F.lit(0).cast("long")).otherwise(rank(F.coalesce(key, any_value))))
     return out
 
 
@@ -150,19 +193,14 @@ def _spread_table(bits: int, n: int) -> Column:
 def zorder_value(cols: Sequence[Column], bits: int) -> Column:
     """Interleave the bits of the ranks: bit ``b`` of column ``j`` goes to
     position ``b * n + j`` (the first column takes the lowest bit of each group).
-    For ranks of up to 10 bits each column's bits are spread with one lookup
-    in a generated table; otherwise bit by bit."""
-    n = len(cols)
-    if bits <= 10:
-        table = _spread_table(bits, n)
-        z = F.lit(0).cast("long")
-        for j, c in enumerate(cols):
-            z = z.bitwiseOR(F.shiftleft(F.element_at(table, (c + F.lit(1)).cast("int")), j))
-        return z
+    Bits are spread by lookups in a generated table, eight at a time."""
+    n, step = len(cols), min(bits, 8)
+    table = _spread_table(step, n)
     z = F.lit(0).cast("long")
-    for b in range(bits):
-        for j, c in enumerate(cols):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(c, b).bitwiseAND(F.lit(1).cast("long")), b * n + j))
+    for j, c in enumerate(cols):
+        for low in range(0, bits, step):
+            part = F.shiftright(c, low).bitwiseAND(F.lit((1 << step) - 1).cast("long"))
+            z = z.bitwiseOR(F.shiftleft(F.element_at(table, (part + F.lit(1)).cast("int")), low * n + j))
     return z
 
 
@@ -209,10 +247,20 @@ def hilbert_value(df: DataFrame, cols: Sequence[str], bits: int, out: str = "__h
     return df.withColumn(out, h).drop(*X, "__t")
 
 
-def cluster_by_curve(df: DataFrame, cols: Sequence[str], curve: str = "zorder", bits: int = 8,
+def curve_bits(n_keys: int, files: int) -> int:
+    """Bits of a rank for a curve over ``n_keys`` keys cut into ``files`` files: 16, or so many that a file spans 16 ranks of a
+    key alone, as far as the curve's 62 bits and ``MAX_RANK_BITS`` go (15 for four keys)."""
+    return min(62 // n_keys, MAX_RANK_BITS, max(16, (files - 1).bit_length() + 4))
+
+
+def cluster_by_curve(df: DataFrame, cols: Sequence[str], curve: str = "zorder", bits: int | None = None,
                      files: int | None = None) -> DataFrame:
-    """Rows ordered along a Z-order or Hilbert curve of the ranked keys,
-    range-partitioned so each output file covers one stretch of the curve."""
+    """Rows ordered along a Z-order or Hilbert curve of the ranked keys, range-partitioned so each output file covers one
+    stretch of the curve. A hash of the row ends the order, so rows that share all keys fill several files if they are many.
+    ``files``: as many as shuffle partitions unless given (``cluster_table`` takes them from bytes)."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = bits or curve_bits(len(cols), n)
+    hashed = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
     r = rank_bits(df, cols, bits)
     rc = [f"__r_{c}" for c in cols]
     if curve == "zorder":
@@ -223,8 +271,19 @@ def cluster_by_curve(df: DataFrame, cols: Sequence[str], curve: str = "zorder",
         r = hilbert_value_vectorised(r, rc, bits, "__curve")
     else:
         raise ValueError(curve)
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return r.repartitionByRange(n, "__curve").sortWithinPartitions("__curve").drop(*rc)
+    return r.repartitionByRange(n, F.col("__curve"), F.xxhash64(*hashed)).sortWithinPartitions("__curve").drop(*rc)
+
+
+def cluster_table(spark: SparkSession, src: str, dst: str, cols: Sequence[str], curve: str = "zorder",
+                  file_bytes: int = C.AUTO_COMPACT_TARGET_BYTES, columns: Sequence[str] | None = None) -> int:
+    """Parquet table ``src`` (or some of its columns) written to ``dst`` along a curve, in files of about ``file_bytes`` by the size
+    of ``src``; returns their number."""
+    _, size = file_count_and_bytes(spark, src)
+    files = max(1, math.ceil(size / file_bytes))
+    df = spark.read.parquet(src)
+    df = df.select(*columns) if columns else df
+    cluster_by_curve(df, cols, curve, files=files).drop("__curve").write.parquet(dst)
+    return files
 
 
 # -------------------------------------------------------------- file statistics

@@ -51,17 +51,14 @@ def auto_compact(spark, d):
 @case("zorder_layout", f"SELECT {LI_COLS} FROM lineitem")
 def zorder_layout(spark, d):
     root = workdir(spark, "zorder")
-    li = load(spark, d, "lineitem").select(*[c.strip() for c in LI_COLS.split(",")])
-    L.cluster_by_curve(li, ["l_partkey", "l_suppkey"], "zorder", bits=8).drop("__curve").write.parquet(root)
+    L.cluster_table(spark, f"{d}/lineitem.parquet", root, ["l_partkey", "l_suppkey"], "zorder", columns=[c.strip() for c in LI_COLS.split(",")])
     return spark.read.parquet(root)
 
 
 @case("hilbert_layout", f"SELECT {LI_COLS} FROM lineitem")
 def hilbert_layout(spark, d):
     root = workdir(spark, "hilbert")
-    li = load(spark, d, "lineitem").select(*[c.strip() for c in LI_COLS.split(",")])
-    L.cluster_by_curve(li, ["l_partkey", "l_suppkey", "l_orderkey"], "hilbert", bits=8).drop("__curve") \
-        .write.parquet(root)
+    L.cluster_table(spark, f"{d}/lineitem.parquet", root, ["l_partkey", "l_suppkey", "l_orderkey"], "hilbert", columns=[c.strip() for c in LI_COLS.split(",")])
     return spark.read.parquet(root)
 
 
