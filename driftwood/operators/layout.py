@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftwood import constants as C
-from driftwood.operators.windows import global_running_sum
+from driftwood.operators.windows import global_running_sums
 from driftwood.sources.ingest import list_files
 
 TARGET_FILE_BYTES = C.COMPACT_TARGET_BYTES
@@ -147,7 +147,7 @@ def rank_edges(df: DataFrame, name: str, bits: int) -> tuple[np.ndarray, np.ndar
     earlier ones.
     """
     counts = df.select(_sort_key(df, name).alias("__v")).filter("__v IS NOT NULL").groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
-    below = global_running_sum(counts, ["__v"], "__n", "__below", "__total")
+    below = global_running_sums(counts, ["__v"], {"__n": ("__below", "__total")})
     rank = F.least(F.lit((1 << bits) - 1), F.floor(F.col("__below") / F.col("__total") * F.lit(1 << bits)))
     edges = below.groupBy(rank.alias("__rank")).agg(F.min("__v").alias("__v")).orderBy("__rank").toArrow()
     return edges["__v"].to_numpy(), edges["__rank"].to_numpy()

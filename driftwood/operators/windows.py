@@ -105,17 +105,19 @@ def running_sum(df: DataFrame, key: str, ts: str, tiebreak: str, value: str, nam
     return on_keys(summed, carry, [key, "__part"]).withColumn(name, both).drop("__id", "__part", "__in", "__carry")
 
 
-def global_running_sum(df: DataFrame, order: Sequence[str], value: str, name: str, total: str, partitions: int | None = None) -> DataFrame:
-    """``sum(value) OVER (ORDER BY order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)``, 0 in the first row, and the sum of
-    all rows as ``total``, without a single-task window."""
+def global_running_sums(df: DataFrame, order: Sequence[str], sums: dict[str, tuple[str, str]], partitions: int | None = None) -> DataFrame:
+    """For each ``value: (name, total)`` of ``sums``: ``sum(value) OVER (ORDER BY order ROWS BETWEEN UNBOUNDED PRECEDING AND
+    1 PRECEDING)`` as ``name``, 0 in the first row, and the sum of all rows as ``total``, without a single-task window."""
     rows = _ranged(df, [], order, True, partitions)
     inner = Window.partitionBy("__part").orderBy("__id").rowsBetween(Window.unboundedPreceding, -1)
     prev = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (rows.groupBy("__part").agg(F.sum(value).alias("__sum"))
-             .select("__part", F.sum("__sum").over(prev).alias("__carry"), F.sum("__sum").over(Window.partitionBy()).alias(total)))
-    out = rows.withColumn("__in", F.sum(value).over(inner)).join(F.broadcast(carry), "__part")  # one row a partition
-    before = F.coalesce("__in", F.lit(0)) + F.coalesce("__carry", F.lit(0))
-    return out.withColumn(name, before).drop("__id", "__part", "__in", "__carry")
+    at = list(enumerate(sums.items()))
+    carry = (rows.groupBy("__part").agg(*[F.sum(v).alias(f"__sum{i}") for i, (v, _) in at])
+             .select("__part", *[F.sum(f"__sum{i}").over(prev).alias(f"__carry{i}") for i, _ in at],
+                     *[F.sum(f"__sum{i}").over(Window.partitionBy()).alias(total) for i, (_, (_, total)) in at]))
+    out = rows.withColumns({f"__in{i}": F.sum(v).over(inner) for i, (v, _) in at}).join(F.broadcast(carry), "__part")  # one row a partition
+    both = {name: F.coalesce(f"__in{i}", F.lit(0)) + F.coalesce(f"__carry{i}", F.lit(0)) for i, (_, (name, _)) in at}
+    return out.withColumns(both).drop("__id", "__part", *[f"__{x}{i}" for i, _ in at for x in ("in", "carry")])
 
 
 def running_max(df: DataFrame, order: Sequence[str], value: str, name: str, partitions: int | None = None) -> DataFrame:

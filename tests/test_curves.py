@@ -46,13 +46,14 @@ def test_ranks_of_empty_and_null_columns(spark):
         L.rank_bits(spark.createDataFrame([([1],)], "v array<int>"), ["v"]).collect()
 
 
-def test_global_running_sum(spark):
+def test_global_running_sums(spark):
     r = random.Random(4)
     rows = [(k, r.randint(0, 9)) for k in range(500)]
     df = spark.createDataFrame(rows, "k int, n long").repartition(7)
-    got = windows.global_running_sum(df, ["k"], "n", "before", "total", partitions=6).collect()
+    got = windows.global_running_sums(df.withColumn("one", F.lit(1.0)), ["k"], {"n": ("before", "total"), "one": ("at", "rows")}, partitions=6).collect()
     assert {x["k"]: x["before"] for x in got} == {k: sum(n for j, n in rows if j < k) for k, _ in rows}
     assert {x["total"] for x in got} == {sum(n for _, n in rows)}
+    assert all(x["at"] == x["k"] and x["rows"] == 500 for x in got)
 
 
 def test_bits_follow_the_files():
