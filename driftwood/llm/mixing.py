@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftwood.llm.store import stored
+from driftwood.operators.windows import global_row_number, global_running_sums, keyed_row_number, on_keys
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 #: words of a block and of a shard
@@ -37,19 +38,25 @@ def n_words(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """source, source_size -> the same with weight and target. One row per source throughout."""
-    order = W.orderBy(F.col("source").asc_nulls_last())
-    s = sizes.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int")))
-    s = s.withColumn("limit", most * F.col("source_size"))
+    """source, source_size -> the same with weight and target. One row per source; ranks and running sums come from range
+    partitions, so many sources are no single task."""
+    s = global_row_number(sizes.withColumn("__none", F.col("source").isNull()), ["__none", "source"], "__n")
+    s = s.withColumn("weight", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("__n") - 1) % len(weights) + 1).cast("int")))
+    s = s.withColumn("limit", most * F.col("source_size")).withColumn("__by", F.col("limit") / F.col("weight"))
     # by limit per weight, the first sources are full; the rest share what is left at one level
-    by = W.orderBy((F.col("limit") / F.col("weight")), F.col("source").asc_nulls_last())
-    before = F.coalesce(F.sum("limit").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    after = F.sum("weight").over(by.rowsBetween(0, W.unboundedFollowing))
-    total = share * F.sum("source_size").over(W.partitionBy())
-    s = s.withColumn("level", (total - before) / after).withColumn("full", F.col("limit") <= F.col("level") * F.col("weight")).withColumn("place", F.row_number().over(by))
+    s = global_running_sums(s, ["__by", "__none", "source"], {"limit": ("__before", "__limits"), "weight": ("__lighter", "__weights"), "source_size": ("__smaller", "__all")})
+    s = s.withColumn("level", (share * F.col("__all") - F.col("__before")) / (F.col("__weights") - F.col("__lighter")))
+    s = s.withColumn("full", F.col("limit") <= F.col("level") * F.col("weight"))
     # the level of the first open source in that order: a tied one's level counts it as full
-    open_level = F.min(F.when(~F.col("full"), F.struct(F.col("place"), F.col("level").alias("level")))).over(W.partitionBy())
-    return s.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.coalesce(open_level["level"], F.lit(0.0)) * F.col("weight"))).select("source", "source_size", "weight", "target")
+    open_level = s.filter("NOT full").agg(F.min(F.struct("__by", "__none", "source", "level")).alias("o")).select("o.level").scalar()
+    return s.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.coalesce(open_level, F.lit(0.0)) * F.col("weight"))).select("source", "source_size", "weight", "target")
+
+
+def _with_sums(df: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with aggregates of each row's group: reduced on the map side and joined back, so a group of many rows is no single task."""
+    if not group:
+        return df.withColumns({name: df.select(x).scalar() for name, x in sums.items()})
+    return on_keys(df, df.groupBy(*group).agg(*[x.alias(name) for name, x in sums.items()]), group)
 
 
 def sainte_lague(parties: DataFrame, group: list[str], party: list[str], weight: str, seats: str) -> DataFrame:
@@ -57,42 +64,33 @@ def sainte_lague(parties: DataFrame, group: list[str], party: list[str], weight:
 
     With n parties of total weight w, the quotients that decide lie between w / (2 * (seats + n)) and
     w / (2 * (seats - n)), so seats above that range are given at once and at most 3n quotients compete.
-    These are ranked by a histogram of BUCKETS parts; only those in the deciding part are sorted.
+    These are ranked by a histogram of BUCKETS parts; only those in the deciding part are sorted, over range partitions.
     Ties go to the party first in order (nulls last). Parties of weight 0 get nothing.
     """
-    g = W.partitionBy(*group) if group else W.partitionBy()
-    live = parties.filter(F.col(weight) > 0)
-    n, total = F.count("*").over(g), F.sum(F.col(weight).cast("double")).over(g)
-    p = (live.withColumn("__low", F.greatest(F.lit(0.0), (F.col(seats) - n) / total)).withColumn("__high", (F.col(seats) + n) / total)
-         .withColumn("__sure", F.floor(F.col(weight) * F.col("__low") + 0.5).cast("long"))
-         .withColumn("__may", F.floor(F.col(weight) * F.col("__high") + 0.5).cast("long"))
-         .withColumn("__left", F.col(seats) - F.sum("__sure").over(g)))
+    live = _with_sums(parties.filter(F.col(weight) > 0), group, {"__parties": F.count(F.lit(1)), "__sum": F.sum(F.col(weight).cast("double"))})
+    low, high = F.greatest(F.lit(0.0), (F.col(seats) - F.col("__parties")) / F.col("__sum")), (F.col(seats) + F.col("__parties")) / F.col("__sum")
+    # written, so that the bounds are the same numbers wherever they are used
+    live = stored(live.withColumns({"__low": low, "__high": high}).drop("__parties", "__sum"), "mixing-parties")
+    p = live.withColumns({"__sure": F.floor(F.col(weight) * F.col("__low") + 0.5).cast("long"), "__may": F.floor(F.col(weight) * F.col("__high") + 0.5).cast("long")})
     # a seat's price is the inverse quotient (2k - 1) / (2 * weight); the cheapest go first
-    c = (p.withColumn("__k", F.explode(F.when(F.col("__may") > F.col("__sure"), F.sequence(F.col("__sure") + 1, F.col("__may"))).otherwise(F.array().cast("array<bigint>"))))
+    none = F.array().cast("array<bigint>")
+    c = (p.withColumn("__k", F.explode(F.when(F.col("__may") > F.col("__sure"), F.sequence(F.col("__sure") + 1, F.col("__may"))).otherwise(none)))
          .withColumn("__price", (2 * F.col("__k") - 1) / (2.0 * F.col(weight)))
-         .withColumn("__part", F.least(F.lit(BUCKETS - 1), F.floor((F.col("__price") - F.col("__low")) / (F.col("__high") - F.col("__low")) * BUCKETS)).cast("int")))
-    keys = [F.col(x) for x in group]
-    hist = c.groupBy(*keys, "__part").agg(F.count("*").alias("__in"), F.first("__left").alias("__left"))
-    hg = W.partitionBy(*group).orderBy("__part") if group else W.orderBy("__part")
-    hist = (hist.withColumn("__before", F.sum("__in").over(hg) - F.col("__in"))
-            .withColumn("__room", F.greatest(F.lit(0), F.least(F.col("__in"), F.col("__left") - F.col("__before")))))
-    same = [F.col(f"c.{x}").eqNullSafe(F.col(f"h.{x}")) for x in [*group, "__part"]]
-    cond = same[0]
-    for x in same[1:]:
-        cond = cond & x
-    ranked = c.alias("c").join(hist.alias("h"), cond).select("c.*", "h.__room", "h.__in").filter("__room > 0")
+         .withColumn("__bin", F.least(F.lit(BUCKETS - 1), F.floor((F.col("__price") - F.col("__low")) / (F.col("__high") - F.col("__low")) * BUCKETS)).cast("int")))
+    left = p.groupBy(*group).agg((F.first(seats) - F.sum("__sure")).alias("__left"))
+    hist = c.groupBy(*group, "__bin").agg(F.count(F.lit(1)).alias("__in"))
+    hist = on_keys(hist, left, group) if group else hist.withColumn("__left", left.scalar())
+    # at most BUCKETS rows a group
+    hg = W.partitionBy(*group).orderBy("__bin") if group else W.orderBy("__bin")
+    hist = hist.withColumn("__room", F.greatest(F.lit(0), F.least("__in", F.col("__left") - (F.sum("__in").over(hg) - F.col("__in"))))).drop("__left")
+    ranked = on_keys(c, hist, [*group, "__bin"]).filter("__room > 0")
     whole = ranked.filter("__room = __in")
-    edge = ranked.filter("__room < __in")
-    first = W.partitionBy(*group, "__part").orderBy("__price", *[F.col(x).asc_nulls_last() for x in party])
-    edge = edge.withColumn("__n", F.row_number().over(first)).filter("__n <= __room").drop("__n")
+    edge = ranked.filter("__room < __in").withColumns({f"__none{i}": F.col(x).isNull() for i, x in enumerate(party)})
+    order = ["__price", *[y for i, x in enumerate(party) for y in (f"__none{i}", x)]]
+    edge = keyed_row_number(edge, [*group, "__bin"], order, "__n").filter("__n <= __room")
     names = list(dict.fromkeys([*group, *party]))
-    won = whole.unionByName(edge).groupBy(*names).agg(F.count("*").alias("__won"))
-    cond = None
-    for x in names:
-        same = F.col(f"p.{x}").eqNullSafe(F.col(f"w.{x}"))
-        cond = same if cond is None else cond & same
-    joined = p.alias("p").join(won.alias("w"), cond, "left")
-    return joined.select(*[F.col(f"p.{x}").alias(x) for x in parties.columns], (F.col("__sure") + F.coalesce("__won", F.lit(0))).alias("quota"))
+    won = whole.select(*names).unionByName(edge.select(*names)).groupBy(*names).agg(F.count(F.lit(1)).alias("__won"))
+    return on_keys(p, won, names, "left").select(*parties.columns, (F.col("__sure") + F.coalesce("__won", F.lit(0))).alias("quota"))
 
 
 def _hash(x: np.ndarray, seed: int) -> np.ndarray:
@@ -145,7 +143,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: i
                         F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("h"))
     sized = stored(sized, "mixing-sizes")
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, float(most))
-    goals = goals.withColumn("__seats", F.round(F.sum("target").over(W.partitionBy()) / block).cast("long"))
+    goals = goals.withColumn("__seats", goals.select(F.round(F.sum("target") / block).cast("long")).scalar())
     seats = sainte_lague(goals, [], ["source"], "target", "__seats").select(F.col("source").alias("s"), F.col("quota").alias("blocks"))
     goals = goals.join(seats, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", F.coalesce("blocks", F.lit(0)).alias("blocks"))
     goals = stored(goals.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))), "mixing-sources")
