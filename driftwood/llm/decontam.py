@@ -22,12 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwood.llm.annotate import annotate
-from driftwood.llm.store import text_bytes
+from driftwood.llm.store import stored, text_bytes
 from driftwood.llm.text import buffer, byte_table, runs, span, sums, words
 
 WIDTH = 13
-#: benchmark bytes in one automaton; a larger benchmark is scanned in several passes
-PART_BYTES = 16 << 20
+#: bytes of windows in one automaton (some 100 000 windows of 13 words); a larger benchmark is scanned in several passes
+PART_BYTES = 8 << 20
+#: rows of a batch of windows
+WINDOW_ROWS = 10_000
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,20 +47,34 @@ def item_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(_UPPER))
 
 
-def windows(items: list[tuple[str | None, str | None]], width: int) -> dict[tuple[str, ...], set[str]]:
-    """Every window of the items with the ids of the items that hold it."""
-    found: dict[tuple[str, ...], set[str]] = {}
-    for item_id, text in items:
-        w = item_words(text)
-        for k in range(max(1, len(w) - width + 1)) if w else ():
-            found.setdefault(tuple(w[k : k + width]), set()).add(item_id or "")
-    return found
+def windows(items: DataFrame, width: int) -> DataFrame:
+    """window (its words joined by one space) and ids, a row for each different window of ``items`` (id, text)."""
+
+    def run(batches):
+        for b in batches:
+            out: list[tuple[str, str]] = []
+            for name, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
+                w = item_words(text)
+                for k in range(max(1, len(w) - width + 1)) if w else ():
+                    out.append((" ".join(w[k : k + width]), name or ""))
+                    if len(out) == WINDOW_ROWS:
+                        yield _window_rows(out)
+                        out = []
+            if out:
+                yield _window_rows(out)
+
+    return items.mapInArrow(run, "window string, id string").groupBy("window").agg(F.collect_set("id").alias("ids"))
+
+
+def _window_rows(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["window", "id"])
 
 
 class Scanner:
     """The automaton and the numbers of its words; made once in each task."""
 
-    def __init__(self, found: dict[tuple[str, ...], set[str]]) -> None:
+    def __init__(self, given: pa.Table) -> None:
+        found = {tuple(w.split(" ")): ids for w, ids in zip(given["window"].to_pylist(), given["ids"].to_pylist())}
         vocabulary = sorted({w for key in found for w in key})
         raw = [w.encode() for w in vocabulary]
         ends = np.cumsum([0, *map(len, raw)])
@@ -130,16 +146,18 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, out: str = "foun
          item_id: str = "item_id", item_text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with a struct ``out``: n_words, n_hit, items (ids as strings, sorted) and spans (character offsets).
 
-    The benchmark's windows travel to the tasks in parts of about ``part_bytes`` of item text, whatever
-    its size: each part is one automaton and one scan, so nothing of unknown size is broadcast at once.
+    Spark takes the windows apart and joins the ids of equal ones. They travel to the tasks in parts of about ``part_bytes`` of
+    distinct windows, whatever the benchmark's size: each part is one automaton and one scan. With several parts
+    what one has found is written before the next is collected, so the driver and every task hold one part at a time.
     """
     sc = docs.sparkSession.sparkContext
-    n = max(1, -(-text_bytes(items, item_text) // part_bytes))
-    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
+    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("string").alias("text"))
+    found = stored(windows(rows, width), "benchmark-windows")
+    n = max(1, -(-text_bytes(found, "window") // part_bytes))
     df, parts = docs, []
     for k in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)  # ids too: a text that many items repeat spreads over the parts
-        given = sc.broadcast(windows([(r["id"], r["text"]) for r in part.collect()], width))
+        part = found if n == 1 else found.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
+        given = sc.broadcast(part.toArrow())
         parts.append(f"__hits{k}")
 
         def make(given=given):
@@ -147,6 +165,9 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, out: str = "foun
             return lambda piece: scanner(piece, text)
 
         df = annotate(df, parts[-1], HITS, make, text)
+        if n > 1:
+            df = stored(df, "benchmark-hits")
+            given.destroy()
     return annotate(df, out, RESULT, lambda: lambda piece: _result(piece, text, parts), text).drop(*parts)
 
 
