@@ -284,16 +284,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, bucket_by
         raise ValueError("a window must hold a whole block wherever it starts: block <= window / 2")
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = power_of_two(max(1, text_bytes(docs) / bucket_bytes))
-    # as many tasks as buckets, so what one task reads does not grow with the input
-    spread = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Rows by bucket. Up to the session's number of shuffle partitions Spark joins small ones; beyond it a bucket has a
+        partition, so what one task reads does not grow with the input."""
+        many = buckets > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(buckets, "bucket") if many else rows
+
     sent = docs.select("doc_id", "text").mapInArrow(lambda it: _probes(it, buckets, window, block, chunk), _PACKED)
-    met = sent.repartition(spread, "bucket").groupBy("bucket").applyInArrow(lambda t: _meet(t, buckets), _PACKED)
-    places = met.repartition(spread, "bucket").groupBy("bucket").applyInArrow(_places, "doc_id bigint, keys binary, first binary, last binary")
+    met = dealt(sent).groupBy("bucket").applyInArrow(lambda t: _meet(t, buckets), _PACKED)
+    places = dealt(met).groupBy("bucket").applyInArrow(_places, "doc_id bigint, keys binary, first binary, last binary")
     texts = packed(docs, {"doc_id": F.col("doc_id"), "mark": F.xxhash64("text")})
     near = texts.join(places, "doc_id").select("doc_id", "mark", "z", "keys", "first", "last")
     windows = near.mapInArrow(lambda it: _windows(it, buckets, buckets, window, block, chunk), _PACKED)
-    found = windows.repartition(spread, "bucket").groupBy("bucket").applyInArrow(lambda t: _repeats(t, buckets), _PACKED)
-    return found.repartition(spread, "bucket").groupBy("bucket").applyInArrow(_starts, "doc_id bigint, mark bigint, at binary")
+    found = dealt(windows).groupBy("bucket").applyInArrow(lambda t: _repeats(t, buckets), _PACKED)
+    return dealt(found).groupBy("bucket").applyInArrow(_starts, "doc_id bigint, mark bigint, at binary")
 
 
 RESULT = "n_words bigint, n_removed bigint, spans array<struct<first: bigint, stop: bigint>>, kept string"

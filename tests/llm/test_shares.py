@@ -86,3 +86,15 @@ def test_decontamination_equals_brute_force(spark, part):
                     ids.add("" if item_id is None else str(item_id))
                     hit |= {i + j for i in at for j in range(len(q[k : k + 13]))}
         assert got[doc_id] == (len(w), len(hit), sorted(ids))
+
+
+def test_more_buckets_than_shuffle_partitions_give_equal_rows(spark):
+    from driftwood.llm import anchors
+
+    r = random.Random(14)
+    shared = " ".join(r.choice("abcdefgh") * r.randint(1, 4) for _ in range(90))
+    docs = spark.createDataFrame([(k, " ".join(r.choice("abcdefgh") * r.randint(1, 4) for _ in range(40)) + (" " + shared if k % 3 == 0 else "")) for k in range(60)], "doc_id long, text string")
+    size = sum(len(x["text"]) for x in docs.collect())
+    few = sorted(map(repr, anchors.cut(docs).collect()))
+    many = sorted(map(repr, anchors.cut(docs, bucket_bytes=size // 30).collect()))
+    assert few == many and any("n_removed=90" in x for x in few)
