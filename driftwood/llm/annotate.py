@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from driftwood.llm.text import SLICE_BYTES, slices
+from driftwood.llm.text import SLICE_BYTES, lean, slices
 
 
 def annotate(df: DataFrame, out: str, kind: str, make: Callable[[], Callable[[pa.RecordBatch], pa.Array]],
@@ -26,4 +26,4 @@ def annotate(df: DataFrame, out: str, kind: str, make: Callable[[], Callable[[pa
         for piece in slices(batches, text, limit):
             yield pa.RecordBatch.from_arrays([*piece.columns, f(piece)], names=[*piece.schema.names, out])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from driftwood.llm.annotate import annotate
 from driftwood.llm.store import stored, text_bytes
-from driftwood.llm.text import buffer, byte_table, runs, span, sums, words
+from driftwood.llm.text import buffer, byte_table, lean, runs, span, sums, words
 
 WIDTH = 13
 #: bytes of windows in one automaton (some 100 000 windows of 13 words); a larger benchmark is scanned in several passes
@@ -63,7 +63,7 @@ def windows(items: DataFrame, width: int) -> DataFrame:
             if out:
                 yield _window_rows(out)
 
-    return items.mapInArrow(run, "window string, id string").groupBy("window").agg(F.collect_set("id").alias("ids"))
+    return items.mapInArrow(lean(run), "window string, id string").groupBy("window").agg(F.collect_set("id").alias("ids"))
 
 
 def _window_rows(rows: list[tuple[str, str]]) -> pa.RecordBatch:

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftwood.llm.annotate import annotate
-from driftwood.llm.text import slices
+from driftwood.llm.text import lean, slices
 
 TOP = 300
 #: documents that teach a language, at most about so many (the bound of the labelled sample)
@@ -135,7 +135,7 @@ def profiles(docs: DataFrame, top: int = TOP, sample: int = SAMPLE, text: str =
             yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in row[new]], pa.string()), pa.array(gram[new], pa.int64()),
                                               pa.array(np.add.reduceat(n, new) if len(new) else n, pa.int64())], names=["lang", "gram", "n"])
 
-    counts = taught.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = taught.mapInArrow(lean(count), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = counts.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("rank") <= top)
     learned: dict[str, list] = {}
     for r in best.orderBy("lang", "rank").collect():

@@ -44,7 +44,7 @@ def packed(docs: DataFrame, keys: dict, text: str = "text") -> DataFrame:
     import pyarrow as pa
     import zstandard
 
-    from driftwood.llm.text import slices
+    from driftwood.llm.text import lean, slices
 
     df = docs.select(*[c.alias(k) for k, c in keys.items()], F.col(text).cast("string").alias("z"))
     fields = T.StructType([*df.schema.fields[:-1], T.StructField("z", T.BinaryType())])
@@ -55,7 +55,7 @@ def packed(docs: DataFrame, keys: dict, text: str = "text") -> DataFrame:
             z = pa.array([None if x is None else squeeze(x.encode()) for x in b.column("z").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], z], names=b.schema.names)
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(lean(run), fields)
 
 
 def unpacked(column) -> list[bytes]:

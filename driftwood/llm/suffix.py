@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from driftwood.llm.bwt import repeated
 from driftwood.llm.store import packed, power_of_two, stored, unpacked
-from driftwood.llm.text import U, buffer, byte_table, mix, rolling, runs, slices, span, sums
+from driftwood.llm.text import U, buffer, byte_table, give_back, lean, mix, rolling, runs, slices, span, sums
 
 LENGTH, GRAM = 400, 32
 #: bytes of segments in a bucket, of different segments of one anchor, and of text handled at once
@@ -96,7 +96,7 @@ def segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays([ids.take(at), marks.take(at), *(pa.array(x) for x in rest)], names=_NAMES)
 
-    return docs.mapInArrow(run, SEGMENT)
+    return docs.mapInArrow(lean(run), SEGMENT)
 
 
 def _same_doc(a: str, b: str):
@@ -132,7 +132,7 @@ def _split(texts: DataFrame, hot: DataFrame, part: int, length: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id] * m, pa.string()), pa.array([mark] * m, pa.int64()), pa.array(new.view(np.int64)), pa.array(d.view(np.int64)),
                                                   pa.array(lo), pa.array(end), pa.array(a), pa.array(copies), pa.array(hi - lo + 1)], names=_NAMES)
 
-    return _with_text(texts, hot, ["h", "first", "last", "anchor", "copies", "n"]).mapInArrow(run, SEGMENT)
+    return _with_text(texts, hot, ["h", "first", "last", "anchor", "copies", "n"]).mapInArrow(lean(run), SEGMENT)
 
 
 def _cutouts(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _cutouts(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([s[c] for s in some], pa.int64()) for c in ("h", "d", "total")]
                                                      + [pa.array([text[s["first"] : s["first"] + s["n"] - 1 + length] for s in some], pa.binary())], names=["h", "d", "total", "bytes"])
 
-    return _with_text(texts, chosen, ["h", "d", "total", "first", "n"]).mapInArrow(run, "h bigint, d bigint, total bigint, bytes binary")
+    return _with_text(texts, chosen, ["h", "d", "total", "first", "n"]).mapInArrow(lean(run), "h bigint, d bigint, total bigint, bytes binary")
 
 
 def _bucket(table: pa.Table, length: int) -> pa.Table:
@@ -153,6 +153,7 @@ def _bucket(table: pa.Table, length: int) -> pa.Table:
     h, d, total = (table[c].to_numpy() for c in ("h", "d", "total"))
     _, keep = np.unique(np.stack([h, d]), axis=1, return_index=True)  # an owner that repeats has sent its segments twice
     strings = table["bytes"].take(pa.array(keep)).to_pylist()
+    del table
     out = []
     for k, at in zip(keep, repeated(strings, total[keep], length)):
         if len(at):
@@ -161,6 +162,8 @@ def _bucket(table: pa.Table, length: int) -> pa.Table:
             a, b = runs(flag)
             out.append((h[k], d[k], np.stack([a, b - 1], 1).astype(np.int32).tobytes()))
     cols = list(zip(*out)) or [(), (), ()]
+    del strings, out
+    give_back()
     return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["h", "d", "at"])
 
 
@@ -209,7 +212,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_byte
                 blobs.append((np.array([[f, e]]) if c > 1 else pairs).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(blobs, pa.binary())], names=["doc_id", "mark", "at"])
 
-    hits = done.join(verdicts, ["h", "d"]).select("doc_id", "mark", "first", "last", "copies", "n", "at").mapInArrow(places, "doc_id string, mark bigint, at binary")
+    hits = done.join(verdicts, ["h", "d"]).select("doc_id", "mark", "first", "last", "copies", "n", "at").mapInArrow(lean(places), "doc_id string, mark bigint, at binary")
     return hits.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at"))
 
 
@@ -264,5 +267,5 @@ def cut(docs: DataFrame, length: int = LENGTH, keep: tuple = (), characters: boo
                                              names=["__own", "n_bytes", "n_removed", "spans", "kept"])
 
     result = T.StructType.fromDDL("n_bytes bigint, n_removed bigint, spans array<struct<first: bigint, stop: bigint>>, kept binary")
-    out = both.mapInArrow(run, T.StructType([both.schema["__own"], *result.fields]))
+    out = both.mapInArrow(lean(run), T.StructType([both.schema["__own"], *result.fields]))
     return out.select("__own.*", "n_bytes", "n_removed", "spans", "kept")

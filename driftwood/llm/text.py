@@ -6,7 +6,9 @@ memory is bounded by ``SLICE_BYTES`` of text (or by its longest document).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,29 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Memory that is free inside this process goes back to the system. A Python worker outlives its task, and what it keeps
+    counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only some C libraries have it
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, a function of batches, that gives its memory back when its task ends."""
+
+    @wraps(run)
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidy
+
+
 def byte_table(seed: int) -> np.ndarray:
     """A 64-bit value for each byte."""
     return np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64)
