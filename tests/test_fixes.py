@@ -128,3 +128,10 @@ def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
     run_available_now(s, None, str(tmp_path / "ckpt"), fmt="noop", state_partitions=None, progress=str(tmp_path / "progress"))
     got = monitor.batch_progress(spark, str(tmp_path / "progress")).filter("num_rows > 0")
     assert sorted(r["batch_id"] for r in got.collect()) == list(range(110))
+
+
+def test_salted_join_never_broadcasts_the_copies(spark):
+    big, small = spark.range(100).select((F.col("id") % 10).alias("a"), "id"), spark.range(10).select(F.col("id").alias("k"))
+    j = joins.salted_join(big, "a", small, "k")
+    assert j.count() == 100
+    assert "Broadcast" not in j._jdf.queryExecution().executedPlan().toString()
