@@ -131,14 +131,15 @@ def parse_with_rescue(raw: DataFrame, text_col: str, schema: T.StructType,
     cols: list[Column] = []
     bad_known = []
     for name, dt in known.items():
-        v = kv[name]
+        v = F.col("__kv")[name]  # the parsed map: a line is parsed once, not once for each use
         cast = v.try_cast(dt)
         cols.append(cast.alias(name))
         bad_known.append(F.when(v.isNotNull() & cast.isNull(), F.lit(name)))
-    df = raw.withColumn("__kv", kv)
     bad = F.filter(F.array(*bad_known), lambda x: x.isNotNull())
-    rescued = F.map_filter(F.col("__kv"), lambda k, v: ~F.array_contains(F.array(*[F.lit(n) for n in known]), k)
-                           | F.array_contains(bad, k))
+    df = raw.withColumn("__kv", kv).withColumn("__bad", bad)
+    df = df.withColumn("__rescued", F.map_filter(F.col("__kv"), lambda k, v: ~F.array_contains(F.array(*[F.lit(n) for n in known]), k)
+                                                 | F.array_contains(F.col("__bad"), k)))
+    rescued = F.col("__rescued")
     rescue = (F.when(F.col("__kv").isNull(), F.to_json(F.create_map(F.lit("_corrupt"), F.col(text_col))))
               .when(F.size(rescued) > 0, F.to_json(rescued)))
     return df.select(*[c for c in raw.columns if c != text_col], *cols, rescue.alias(rescue_col))

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwood.operators import cdc, joins, windows
 from driftwood.session import workdir
@@ -135,3 +136,16 @@ def test_salted_join_never_broadcasts_the_copies(spark):
     j = joins.salted_join(big, "a", small, "k")
     assert j.count() == 100
     assert "Broadcast" not in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rescue_parses_a_line_once(spark):
+    from driftwood.sources.files import parse_with_rescue
+
+    lines = ['{"a": 1, "b": "x"}', '{"a": "n/a", "c": 2}', '{"a": 3', None, "[1]", '{"a": null, "b": null}']
+    raw = spark.createDataFrame([(t,) for t in lines], "value string")
+    got = parse_with_rescue(raw, "value", T.StructType.fromDDL("a long, b string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") + plan.count("JsonToStructs") == 1 and plan.count("map_filter(") == 1
+    want = [(1, "x", None), (None, None, '{"a":"n/a","c":"2"}'), (None, None, '{"_corrupt":"{\\"a\\": 3"}'), (None, None, '{"_corrupt":null}'),
+            (None, None, '{"_corrupt":"[1]"}'), (None, None, None)]
+    assert [tuple(r) for r in got.collect()] == want
