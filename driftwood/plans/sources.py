@@ -111,8 +111,7 @@ def scan_text(spark, d):
 
 @case("scan_binary", check="A")
 def scan_binary(spark, d):
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(d).select(
-        "path", "modificationTime", "length", F.length("content").alias("content_len"))
+    return FS.scan_binary(spark, d, "*.parquet")
 
 
 @case("scan_xml", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")

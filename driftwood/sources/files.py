@@ -57,6 +57,27 @@ def write_slices(df: DataFrame, path: str, fmt: str, order_col: str, slices: int
     return cuts
 
 
+#: files up to this size are read as one binary value each, larger ones in ranges
+WHOLE_FILE_BYTES = 64 << 20
+
+
+def scan_binary(spark: SparkSession, path: str, glob: str, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """path, modificationTime, length and content_len (bytes read) of the files of a folder, whatever their bytes.
+
+    A binary row holds a whole file, so one task reads it (and one above 2 GB can't be read at all). Files above ``whole_bytes`` are
+    read by the splittable text source instead: the same bytes, cut at a byte that the format ends no file with (a Parquet file ends with
+    ``PAR1``), so each task reads a range of at most ``spark.sql.files.maxPartitionBytes``, and the cuts are counted back in.
+    """
+    def files():
+        return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+
+    whole = files().filter(F.col("length") <= whole_bytes).select("path", "modificationTime", "length", F.length("content").alias("content_len"))
+    large = files().filter(F.col("length") > whole_bytes).select("path", "modificationTime", "length", F.col("_metadata.file_path").alias("__file"))
+    pieces = spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(path).filter(F.col("_metadata.file_size") > whole_bytes)
+    read = pieces.groupBy(F.col("_metadata.file_path").alias("__file")).agg((F.sum(F.octet_length("value").cast("long") + 1) - 1).alias("content_len"))
+    return whole.withColumn("content_len", F.col("content_len").cast("long")).unionByName(large.join(read, "__file", "left").drop("__file"))
+
+
 def write_json_documents(df: DataFrame, path: str, rows_per_doc: int = 10_000) -> None:
     """Write ``df`` as multi-line JSON: each file holds one JSON array of about
     ``rows_per_doc`` records (``multiLine`` readers parse a whole file per

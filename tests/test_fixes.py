@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwood.operators import cdc, joins, windows
+from driftwood.operators import cdc, joins, relational, windows
 from driftwood.session import workdir
 from driftwood.sources import ingest
 
@@ -149,3 +149,24 @@ def test_rescue_parses_a_line_once(spark):
     want = [(1, "x", None), (None, None, '{"a":"n/a","c":"2"}'), (None, None, '{"_corrupt":"{\\"a\\": 3"}'), (None, None, '{"_corrupt":null}'),
             (None, None, '{"_corrupt":"[1]"}'), (None, None, None)]
     assert [tuple(r) for r in got.collect()] == want
+
+
+def test_large_binary_files_are_read_in_ranges(spark, tmp_path):
+    from driftwood.sources import files
+
+    spark.range(200_000).select("id", F.rand(3).alias("r"), F.lit("\n\r\n").alias("s")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    for n, p in enumerate((tmp_path / "t").glob("*.parquet")):
+        (folder / f"large {n}.parquet").write_bytes(p.read_bytes())
+    (folder / "small.parquet").write_bytes(b"PAR1\n\nPAR1")
+    (folder / "other.txt").write_bytes(b"x" * 100)
+    whole = files.scan_binary(spark, str(folder), "*.parquet", whole_bytes=1 << 40)
+    split = files.scan_binary(spark, str(folder), "*.parquet", whole_bytes=5)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(200_000))
+    try:
+        assert split.filter("length <> content_len OR content_len IS NULL").count() == 0
+        assert _rows(split) == _rows(whole) and split.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert split.schema["content_len"].dataType == whole.schema["content_len"].dataType
