@@ -102,18 +102,18 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
     """One aggregate pass over all columns, unpivoted to one row per column.
 
     count, distinct, cardinality pct, nulls, min, max (as strings),
-    average and max string length. Exact distinct counts make Spark expand
-    every row once per column for the shuffle; ``exact=False`` uses
-    HyperLogLog++ sketches (``rsd`` relative error) with no expansion, the
+    average and max string length. Exact distinct counts are an aggregate of their own for each
+    column, which moves that column's distinct values alone (together in one aggregate, Spark would
+    expand every row once per column and sort the copies); ``exact=False`` uses
+    HyperLogLog++ sketches (``rsd`` relative error) in the one pass, the
     choice for very wide or very large tables.
     """
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         s = F.col(c).cast("string")
-        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
+        aggs += [] if exact else [F.approx_count_distinct(F.col(c), rsd).alias(f"d{i}")]
         aggs += [
-            distinct.alias(f"d{i}"),
             F.count_if(F.col(c).isNull()).alias(f"z{i}"),
             F.min(F.col(c)).cast("string").alias(f"lo{i}"),
             F.max(F.col(c)).cast("string").alias(f"hi{i}"),
@@ -121,6 +121,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
             F.max(F.length(s)).alias(f"ml{i}"),
         ]
     wide = df.agg(*aggs)
+    if exact:
+        # distinct rows, then a count: Spark would merge count_distinct of several columns into one aggregate again
+        wide = wide.select("*", *[df.select(F.col(c).alias("v")).distinct().select(F.count("v")).scalar().alias(f"d{i}") for i, c in enumerate(cols)])
     parts = ", ".join(f"'{c}', d{i}, z{i}, lo{i}, hi{i}, al{i}, ml{i}" for i, c in enumerate(cols))
     long = wide.selectExpr(
         "__n",

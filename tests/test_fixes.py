@@ -151,6 +151,15 @@ def test_rescue_parses_a_line_once(spark):
     assert [tuple(r) for r in got.collect()] == want
 
 
+def test_exact_profile_expands_no_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, None), (None, "b")], "k int, v string")
+    prof = relational.column_profile(df)
+    assert "Expand" not in prof._jdf.queryExecution().executedPlan().toString()
+    got = {r["column_name"]: (r["row_count"], r["distinct_count"], r["null_count"], r["min_value"], r["max_value"]) for r in prof.collect()}
+    assert got == {"k": (4, 2, 1, "1", "2"), "v": (4, 2, 1, "a", "b")}
+    assert {r["distinct_count"] for r in relational.column_profile(df.limit(0)).collect()} == {0}
+
+
 def test_large_binary_files_are_read_in_ranges(spark, tmp_path):
     from driftwood.sources import files
 
