@@ -354,8 +354,9 @@ def join_bucketed(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", "o_orderdate")
     li = T(spark, d, "lineitem").select("l_orderkey", "l_quantity")
     root = workdir(spark, "bucketed")
-    ot = J.write_bucketed(o, "o_orderkey", 8, root, "orders")
-    lt = J.write_bucketed(li, "l_orderkey", 8, root, "lineitem")
+    buckets = J.bucket_count(8, o, li)
+    ot = J.write_bucketed(o, "o_orderkey", buckets, root, "orders")
+    lt = J.write_bucketed(li, "l_orderkey", buckets, root, "lineitem")
     a, b = spark.table(ot), spark.table(lt)
     return (a.join(b, a.o_orderkey == b.l_orderkey).groupBy("o_orderkey", "o_orderdate")
             .agg(F.sum("l_quantity").alias("qty")))
@@ -372,8 +373,9 @@ def join_partition_aligned(spark, d):
     li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), F.col("month").alias("l_month")), "l_orderkey")
     root = workdir(spark, "aligned")
-    ot = J.write_bucketed(o, "o_orderkey", 4, root, "orders", partition_by="month")
-    lt = J.write_bucketed(li, "l_orderkey", 4, root, "lineitem", partition_by="l_month")
+    buckets = J.bucket_count(4, T(spark, d, "orders"), T(spark, d, "lineitem"))
+    ot = J.write_bucketed(o, "o_orderkey", buckets, root, "orders", partition_by="month")
+    lt = J.write_bucketed(li, "l_orderkey", buckets, root, "lineitem", partition_by="l_month")
     return J.aligned_join(spark, ot, lt, [("month", "l_month"), ("o_orderkey", "l_orderkey")]).groupBy("o_orderkey", "dt").agg(
         F.count(F.lit(1)).alias("n_items"))
 

@@ -113,7 +113,8 @@ def widen_type(spark, d):
 @case("write_bucketed", """SELECT * FROM lineitem""")
 def write_bucketed(spark, d):
     root = workdir(spark, "bucketed")
-    name = J.write_bucketed(load(spark, d, "lineitem"), "l_orderkey", 8, root, "lineitem")
+    li = load(spark, d, "lineitem")
+    name = J.write_bucketed(li, "l_orderkey", J.bucket_count(8, li), root, "lineitem")
     return spark.table(name)
 
 
