@@ -175,6 +175,16 @@ def moving_avg_days(df: DataFrame, part: str, day_col: str, value: str, days: in
 
 # -------------------------------------------------------------- partitions
 
+#: rows that a partition is meant to hold
+PARTITION_ROWS = 4_000_000
+
+
+def partition_count(df: DataFrame, least: int, rows: int = PARTITION_ROWS) -> int:
+    """Partitions for ``df``: ``least``, or one for each ``rows`` rows (a Parquet table is counted by its footers), so that a
+    task's share doesn't grow with the table."""
+    return max(least, -(-df.count() // rows))
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per physical partition, as a DataFrame (no mapPartitions)."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(

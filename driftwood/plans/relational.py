@@ -622,22 +622,27 @@ def top_k(spark, d):
 
 @case("sort_within", """SELECT * FROM lineitem""")
 def sort_within(spark, d):
-    return T(spark, d, "lineitem").repartition(8, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+    li = T(spark, d, "lineitem")
+    return li.repartition(R.partition_count(li, 8), "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
 
 
 @case("repartition", """SELECT * FROM lineitem""")
 def repartition(spark, d):
-    return T(spark, d, "lineitem").repartition(16, "l_orderkey")
+    li = T(spark, d, "lineitem")
+    return li.repartition(R.partition_count(li, 16), "l_orderkey")
 
 
 @case("coalesce", """SELECT * FROM lineitem""")
 def coalesce(spark, d):
-    return T(spark, d, "lineitem").repartition(16).coalesce(4)
+    li = T(spark, d, "lineitem")
+    parts = R.partition_count(li, 4)
+    return li.repartition(4 * parts).coalesce(parts)
 
 
 @case("partition_sizes", check="A")
 def partition_sizes(spark, d):
-    return R.partition_sizes(T(spark, d, "lineitem").repartition(8, "l_orderkey"))
+    li = T(spark, d, "lineitem")
+    return R.partition_sizes(li.repartition(R.partition_count(li, 8), "l_orderkey"))
 
 
 # ------------------------------------------------------------------ 2.8 set ops, dedup

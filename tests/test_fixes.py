@@ -160,6 +160,21 @@ def test_exact_profile_expands_no_rows(spark):
     assert {r["distinct_count"] for r in relational.column_profile(df.limit(0)).collect()} == {0}
 
 
+def test_partitions_and_buckets_follow_the_rows(spark, sf, monkeypatch):
+    from driftwood.plans import relational as plans
+
+    monkeypatch.setattr(relational.partition_count, "__defaults__", (1000,))
+    n = plans.load(spark, sf, "lineitem").count()
+    assert plans.coalesce(spark, sf).rdd.getNumPartitions() == -(-n // 1000) > 4
+    assert plans.repartition(spark, sf).rdd.getNumPartitions() == max(16, -(-n // 1000))
+    assert plans.coalesce(spark, sf).count() == n
+    monkeypatch.setattr(joins.bucket_count, "__defaults__", (2000,))
+    joined = plans.join_partition_aligned(spark, sf)
+    buckets = max(4, -(-n // 2000))
+    assert f"SelectedBucketsCount: {buckets} out of {buckets}" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.agg(F.sum("n_items")).first()[0] == n
+
+
 def test_large_binary_files_are_read_in_ranges(spark, tmp_path):
     from driftwood.sources import files
 
