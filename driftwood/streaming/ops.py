@@ -125,12 +125,18 @@ def read_latest_snapshot(spark, root: str) -> DataFrame:
     return latest_events(_current(spark, root, schema).drop(V, B), m["keys"], m["seq"], m["tiebreak"])
 
 
-def upsert_batch(root: str, keys, seq: str, tiebreak=(), buckets: int = 16, merge_every: int = 4) -> Callable[[DataFrame, int], None]:
+#: a base of at most this many rows is merged whenever enough deltas are there, a larger one once they hold half as many rows
+SMALL_BASE_ROWS = 100_000
+
+
+def upsert_batch(root: str, keys, seq: str, tiebreak=(), buckets: int = 16, merge_every: int = 4,
+                 small_base: int = SMALL_BASE_ROWS) -> Callable[[DataFrame, int], None]:
     """foreachBatch MERGE into a target in hash buckets of the keys.
 
     A batch writes its latest event per key (tombstones kept) as delta files, only in the buckets that it
-    touches. A bucket with ``merge_every`` deltas is merged into a new base; what the merge before last replaced is removed, so
-    that a reader that began with the last one still ends. Nothing else of the target is read or written. A replayed
+    touches. A bucket with ``merge_every`` deltas is merged into a new base once they hold half the rows of its last base (or that
+    has at most ``small_base``), so that all merges together write a few times the target, however many batches come;
+    what the merge before last replaced is removed, so that a reader that began with the last one still ends. Nothing else of the target is read or written. A replayed
     batch overwrites its own delta and its own merges, from the same predecessors. Give about a bucket for each 512 MB of target.
     """
     from driftwood.operators.cdc import latest_events
@@ -146,8 +152,11 @@ def upsert_batch(root: str, keys, seq: str, tiebreak=(), buckets: int = 16, merg
         # a merge of this batch that a failed run left behind does not count
         now = _current(spark, root, schema, before=batch_id).filter(F.col(V) <= batch_id)
         last = _merged(spark, root, batch_id)
-        fresh = now.join(last, B, "left").filter(F.col(V) > F.coalesce(MV, F.lit(-1)))
-        due = [r[B] for r in fresh.groupBy(B).agg(F.count_distinct(V).alias("n")).filter(F.col("n") >= merge_every).select(B).collect()]
+        held = now.join(last, B, "left").withColumn("__new", F.col(V) > F.coalesce(MV, F.lit(-1))).groupBy(B, V, "__new").agg(F.count(F.lit(1)).alias("rows"))
+        held = held.groupBy(B).agg(F.count_if("__new").alias("n"), F.sum(F.when(F.col("__new"), F.col("rows")).otherwise(0)).alias("fresh"),
+                                   F.sum(F.when(F.col("__new"), 0).otherwise(F.col("rows"))).alias("base"))
+        worth = (F.col("base") <= small_base) | (2 * F.col("fresh") >= F.col("base"))
+        due = [r[B] for r in held.filter((F.col("n") >= merge_every) & worth).select(B).collect()]
         if not due:  # at most ``buckets`` numbers
             return
         new = latest_events(now.filter(F.col(B).isin(due)).drop(V), [*keys, B], seq, tiebreak)

@@ -143,3 +143,17 @@ def test_statistics_as_rows(spark):
         assert (got["g"]["num_nulls"], got["g"]["distinct_count"], got["s"]["max_col_len"]) == (25, 7, 3)
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_merges_write_a_few_times_the_target(spark, tmp_path, monkeypatch):
+    root, merged = str(tmp_path / "t"), []
+    up = ops.upsert_batch(root, ["id"], "seq", ["tb"], buckets=1, merge_every=2, small_base=10)
+    everything = []
+    for n in range(12):
+        rows = [(100 * n + k, "c", n, 0, f"{n}") for k in range(100)]
+        everything += rows
+        up(_batch(spark, rows), n)
+        at = f"{root}/base/{ops.V}={n}"
+        merged += [spark.read.parquet(at).count()] if os.path.exists(at) else []
+    assert merged == [200, 400, 600, 900]
+    assert sorted(map(tuple, ops.read_latest_snapshot(spark, root).collect())) == sorted(everything)
