@@ -34,14 +34,19 @@ def base_rules(docs: DataFrame, text: str = "text", window: int = 5) -> DataFram
         "__lines": lines,
     })
     d = d.withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long")).drop("__lines")
+    # equal windows have equal hashes: a text whose window hashes all differ repeats none, and its windows are never built
+    starts = F.when(F.col("n_words") >= window, F.sequence(F.lit(1), (F.col("n_words") - window + 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("__h", F.transform("words", lambda x: F.xxhash64(x)))
+    d = d.withColumn("__h", F.transform(starts, lambda i: F.xxhash64(*[F.get("__h", i + k - 1) for k in range(window)])))
+    d = d.withColumn("__again", F.size(F.array_distinct("__h")) < F.size("__h")).drop("__h")
     # windows sorted with their places: equal neighbours are found twice or more
-    at = F.when(F.col("n_words") >= window, F.sequence(F.lit(1), (F.col("n_words") - window + 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    at = F.when(F.col("__again"), F.sequence(F.lit(1), (F.col("n_words") - window + 1).cast("int"))).otherwise(F.array().cast("array<int>"))
     d = d.withColumn("__w", F.transform(at, lambda i: F.struct(F.array_join(F.slice("words", i, window), " ").alias("w"), i.alias("i"))))
     d = d.withColumn("__s", F.sort_array("__w")).drop("__w")
     twice = F.filter("__s", lambda x, k: F.coalesce(F.get("__s", k - 1)["w"] == x["w"], F.lit(False)) | F.coalesce(F.get("__s", k + 1)["w"] == x["w"], F.lit(False)))
     d = d.withColumn("__d", F.transform(twice, lambda x: x["i"])).drop("__s").withColumn("__d", F.sort_array("__d"))
     covered = F.aggregate(F.transform("__d", lambda x, k: F.least(F.lit(window), F.coalesce(F.get("__d", k + 1) - x, F.lit(window)))), F.lit(0), lambda a, x: a + x)
-    return (d.withColumn("n_repeat_words", covered.cast("long")).drop("__d")
+    return (d.withColumn("n_repeat_words", covered.cast("long")).drop("__d", "__again")
             .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))))
 
 
