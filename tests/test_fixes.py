@@ -72,6 +72,19 @@ def test_intervals_of_any_length_are_copied_a_few_times(spark):
     assert copied.count() <= 2 * spans.count()
 
 
+def test_range_join_keeps_its_partitions(spark):
+    t = lambda c: F.timestamp_seconds(c)
+    points = spark.range(0, 400_000, 101).select(F.col("id").alias("p"), t("id").alias("ts"))
+    points = points.unionByName(points.limit(50)).unionByName(spark.createDataFrame([(-1, None)], "p long, ts timestamp"))
+    spans = spark.range(0, 400_000, 997).select(F.col("id").alias("i"), t("id").alias("s"), t(F.col("id") + 3600).alias("e"))
+    want = _rows(points.join(spans, F.col("ts").between(F.col("s"), F.col("e"))).select("p", "i"))
+    for bound in (100, 1000):
+        got = joins.range_join_binned(points, "ts", spans, "s", "e", bin_seconds=3600, max_small_rows=bound)
+        assert _rows(got.select("p", "i")) == want
+    many = joins.range_join_binned(points, "ts", spans, "s", "e", bin_seconds=3600, max_small_rows=100)
+    assert many.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_running_max_over_files(spark):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("o"), (F.col("id") * 91 % 499).alias("v"))
     want = df.withColumn("m", F.max("v").over(W.orderBy("o").rowsBetween(W.unboundedPreceding, -1)))
