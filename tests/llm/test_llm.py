@@ -122,6 +122,20 @@ def test_transform_against_brute_force(monkeypatch):
         assert [list(x) for x in bwt.repeated(strings, copies, least)] == want
 
 
+def test_suffix_order_of_any_alphabet():
+    r = np.random.default_rng(2)
+    for trial in range(60):
+        size, base = int(r.choice([1, 2, 3, 100, 130, 256])), r.integers(0, 256, 60)
+        strings = [bytes((base[a : a + 40] % size).astype(np.uint8)) for a in r.integers(0, 60, 1 + trial % 6)]
+        sym = np.concatenate([[*(x + 1 for x in s), 0] for s in strings]).astype(np.uint16)
+        ends = np.flatnonzero(sym == 0)
+        stop = np.repeat(ends, np.diff([-1, *ends])).astype(np.int32)
+        rank, sa = bwt.suffix_order(sym, stop)
+        # ends are different symbols, in order of place
+        want = sorted(range(len(sym)), key=lambda k: ([int(x) for x in sym[k : stop[k]]] + [0], int(stop[k])))
+        assert list(sa) == want and list(rank[sa]) == list(range(len(sym)))
+
+
 def test_ball_hashing(docs):
     import xxhash
 
