@@ -122,6 +122,61 @@ def test_transform_against_brute_force(monkeypatch):
         assert [list(x) for x in bwt.repeated(strings, copies, least)] == want
 
 
+def test_transform_beyond_the_first_keys(monkeypatch):
+    # common prefixes shorter and longer than what a sort key holds, and strings that end within one
+    r = np.random.default_rng(3)
+    for trial in range(120):
+        monkeypatch.setattr(bwt, "LARGE", 3 if trial % 4 == 0 else 8192)
+        base = r.integers(0, int(r.choice([2, 5, 100, 256])), 200).astype(np.uint8)
+        strings = list({bytes(base[a : a + n]) + b"\x01" * int(r.integers(0, 3)) for a, n in r.integers(0, 120, (10, 2))})
+        copies, least, seen = r.integers(1, 3, len(strings)), int(r.integers(1, 80)), {}
+        for s, c in zip(strings, copies):
+            for k in range(len(s) - least + 1):
+                seen[s[k : k + least]] = seen.get(s[k : k + least], 0) + c
+        want = [[k for k in range(len(s) - least + 1) if seen[s[k : k + least]] > 1] for s in strings]
+        assert [list(x) for x in bwt.repeated(strings, copies, least)] == want
+
+
+def test_only_windows_that_may_repeat_are_transformed(monkeypatch):
+    r = random.Random(5)
+
+    def text(n):
+        return bytes(r.choice(b"abcdefgh ") for _ in range(n))
+
+    length, gram = 60, 8
+    half = (length - gram) // 2
+    for _ in range(40):
+        shared = [text(r.randrange(gram, 150)) for _ in range(3)]
+        texts = [text(r.randrange(0, 50)) + r.choice(shared) + text(r.randrange(0, 50)) for _ in range(12)]
+        buf = np.frombuffer(b"".join(texts), np.uint8)
+        row, h, d, first, _, anchor, copies, n = suffix.segments_of(buf, np.cumsum([0, *map(len, texts)]), length, gram)
+        one = {}
+        for k in range(len(h)):
+            total, *rest = one.get((h[k], d[k]), (0, texts[row[k]][first[k] : first[k] + n[k] - 1 + length], anchor[k] - first[k]))
+            one[h[k], d[k]] = (total + int(copies[k]), *rest)
+        seen, near = {}, {}
+        for (x, _), (total, s, a) in one.items():
+            for w in range(len(s) - length + 1):
+                seen[s[w : w + length]] = seen.get(s[w : w + length], 0) + total
+            sides = [("before", s[a - half : a])] if a >= half else []
+            sides += [("after", s[a + gram : a + gram + half])] if a - (len(s) - length) < half else []
+            for side in sides:
+                near[x, *side] = near.get((x, *side), 0) + total
+        given = []
+        monkeypatch.setattr(suffix, "repeated", lambda strings, copies, least: given.extend(strings) or bwt.repeated(strings, copies, least))
+        table = pa.table({"h": [int(x) for x, _ in one], "d": [int(x) for _, x in one], "total": [x[0] for x in one.values()],
+                          "anchor": pa.array([int(x[2]) for x in one.values()], pa.int64()), "bytes": pa.array([x[1] for x in one.values()], pa.binary())})
+        got = {(x["h"], x["d"]): [w for a, b in np.frombuffer(x["at"], np.int32).reshape(-1, 2) for w in range(a, b + 1)]
+               for x in suffix._bucket(table, length, gram).to_pylist()}
+        want = {k: [w for w in range(len(s) - length + 1) if seen[s[w : w + length]] > 1] for k, (_, s, a) in one.items()}
+        assert got == {k: v for k, v in want.items() if v}
+        windows = 0
+        for (x, _), (total, s, a) in one.items():
+            for w in range(len(s) - length + 1):
+                windows += near[(x, "before", s[a - half : a]) if a - w >= half else (x, "after", s[a + gram : a + gram + half])] > 1
+        assert sum(len(s) - length + 1 for s in given) == windows < sum(len(x[1]) - length + 1 for x in one.values())
+
+
 def test_suffix_order_of_any_alphabet():
     r = np.random.default_rng(2)
     for trial in range(60):
